@@ -1,0 +1 @@
+"""Intentionally empty: the data is a static batch extract, so there is no streaming operator to build."""
