@@ -60,10 +60,9 @@ def csv_problem(content: Column, header: Sequence[str] = OBSERVATION_HEADER) ->
     schema = ", ".join([*(f"f{i} string" for i in range(len(header))), "_surplus string"])
     got = F.from_csv(first, schema, {"escape": '"', "columnNameOfCorruptRecord": "_surplus"})
     # the corrupt-record column stays NULL only for exactly the expected number of fields
-    same = got.getField("_surplus").isNull()
-    for i, name in enumerate(header):
-        same = same & got.getField(f"f{i}").eqNullSafe(F.lit(name))
-    return F.when(~F.coalesce(same, F.lit(False)), F.concat(F.lit("header drift: "), first))
+    nothing = F.lit(None).cast("string").alias("_surplus")
+    want = F.struct(*[F.lit(name).alias(f"f{i}") for i, name in enumerate(header)], nothing)
+    return F.when(~got.eqNullSafe(want), F.concat(F.lit("header drift: "), first))
 
 
 def json_problem(content: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import parse_trending_date, profile_boolean, profile_integer, profile_publish_time
-from snapmart.operators.relational import broadcast_if_small, first_n_per_group, orphans
+from snapmart.operators.relational import first_n_per_group, orphans
 from snapmart.schemas import FLAGS, MEASURES, OBSERVATION_HEADER
 
 REGION = "_source_region"
@@ -158,7 +158,7 @@ def category_coverage(landed: DataFrame, categories: DataFrame) -> DataFrame:
     """Per region: ids seen, ids without a category row, and the first of those in sorted order."""
     seen = _seen_categories(landed)
     known = categories.select("region_code", "category_id").distinct().withColumn("_known", F.lit(True))
-    matched = seen.join(broadcast_if_small(known), ["region_code", "category_id"], "left")
+    matched = seen.join(known, ["region_code", "category_id"], "left")
     missing = F.col("_known").isNull()
     totals = matched.groupBy("region_code").agg(
         F.count("*").alias("category_ids_seen"), F.count_if(missing).alias("category_ids_no_match")

@@ -16,7 +16,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> Da
     """Mark `df` for broadcast if a bounded count proves it small, else leave the join to AQE.
 
     The count stops at `max_rows + 1` rows. Above the bound the join is an ordinary shuffle join, in
-    which AQE splits skewed partitions. For narrow reference data only (ids, titles, keys).
+    which AQE splits skewed partitions. For narrow reference data only (ids, titles, keys). Call it
+    once, where the reference table is made: the hint survives the selects the models apply.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from snapmart.operators import audit, quality
+from snapmart.operators.relational import broadcast_if_small
 from snapmart.plans import marts
 from snapmart.plans.dimensions import dim_category, dim_region, dim_video
 from snapmart.plans.enrich import int_enriched
@@ -70,6 +71,8 @@ def transform(
     plain_table("stg_categories", stg_categories(bronze["bronze_categories"], regions))
     plain_table("dim_region", dim_region(seed))
     plain_table("dim_category", dim_category(t["stg_categories"]))
+    for reference in ("stg_categories", "dim_region", "dim_category"):
+        t[reference] = broadcast_if_small(t[reference])
     item_table("dim_video", dim_video(t["stg_observations"]))
     item_table("int_lifecycle", int_lifecycle(t["stg_observations"]))
     t["int_enriched"] = create_view(int_enriched(t["stg_observations"], t["stg_categories"]), "int_enriched")

@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import days_between, engagement_rates, has_valid_engagement, normalize_tags, tag_count
-from snapmart.operators.relational import broadcast_if_small
 from snapmart.schemas import FLAGS, MEASURES
 
 
 def join_categories(observations: DataFrame, categories: DataFrame) -> DataFrame:
-    """Left join on the region-scoped category id; unknown ids keep NULL category columns."""
+    """Left join on the region-scoped category id; unknown ids keep NULL category columns.
+
+    A broadcast hint on `categories` carries over; without one Spark's size statistics decide.
+    """
     lookup = categories.select(
         "region_code", "category_id", "category_title", F.col("assignable").alias("category_assignable")
     )
-    return observations.join(broadcast_if_small(lookup), ["region_code", "category_id"], "left")
+    return observations.join(lookup, ["region_code", "category_id"], "left")
 
 
 def int_enriched(observations: DataFrame, categories: DataFrame) -> DataFrame:

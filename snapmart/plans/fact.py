@@ -5,22 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.operators.relational import broadcast_if_small
 from snapmart.schemas import FLAGS, MEASURES
 
 
 def fct_daily(enriched: DataFrame, regions: DataFrame, videos: DataFrame, categories: DataFrame) -> DataFrame:
     """One row per observation with dimension keys; an unmatched dimension leaves its key NULL.
 
-    The small dimensions come first, as broadcast joins; the item dimension shares the key of the
-    bucketed tables, so in the build this join needs no exchange.
+    The small dimensions come first, as broadcast joins where the caller found them small; the item
+    dimension shares the key of the bucketed tables, so in the build this join needs no exchange.
     """
     region_keys = regions.select("region_code", "region_key")
     category_keys = categories.select("region_code", "category_id", "category_key")
     video_keys = videos.select("region_code", "video_id", "video_key")
     return (
-        enriched.join(broadcast_if_small(region_keys), "region_code", "left")
-        .join(broadcast_if_small(category_keys), ["region_code", "category_id"], "left")
+        enriched.join(region_keys, "region_code", "left")
+        .join(category_keys, ["region_code", "category_id"], "left")
         .join(video_keys, ["region_code", "video_id"], "left")
         .select(
             "observation_key",

@@ -37,14 +37,15 @@ def row_status(corrupt: Column) -> Column:
 
     Too few fields: 'short'. Too many: 'truncated', the surplus is dropped. A marker field is appended
     and the row parsed with room to spare: any value past the expected width shows a surplus, even
-    when the surplus fields are empty.
+    when the surplus fields are empty. The parsed struct is inspected through the names of its
+    non-NULL fields, so a row is parsed once.
     """
-    width = len(OBSERVATION_HEADER)
     wide = ", ".join(f"f{i} string" for i in range(_WIDE_FIELDS))
     options = {k: v for k, v in _CSV_OPTIONS.items() if k != "columnNameOfCorruptRecord"}
     parsed = F.from_csv(F.concat(F.rtrim(corrupt, F.lit("\r\n")), F.lit(",x")), wide, options)
-    surplus = F.coalesce(*[parsed.getField(f"f{i}") for i in range(width, _WIDE_FIELDS)])
-    return F.when(corrupt.isNull(), STATUS_OK).when(surplus.isNotNull(), STATUS_LONG).otherwise(STATUS_SHORT)
+    surplus = F.array(*[F.lit(f"f{i}") for i in range(len(OBSERVATION_HEADER), _WIDE_FIELDS)])
+    has_surplus = F.arrays_overlap(F.json_object_keys(F.to_json(parsed)), surplus)
+    return F.when(corrupt.isNull(), STATUS_OK).when(has_surplus, STATUS_LONG).otherwise(STATUS_SHORT)
 
 
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
