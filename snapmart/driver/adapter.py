@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapmart.operators import relational
 from snapmart.sources.categories import flatten_documents
 
 # Region names of the driver tables, the allow-list of this landing area.
@@ -60,9 +61,9 @@ def landed_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     comments = F.when(F.col("l_returnflag") == "A", "True").when(F.col("l_returnflag") == "N", " f ").otherwise("maybe")
     unrated = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+    lines = relational.spread_scan(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_partkey", "l_linenumber"])
     return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))

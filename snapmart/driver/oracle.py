@@ -266,6 +266,9 @@ QUERIES["latest_row_pick"] = "SELECT * FROM latest"
 QUERIES["left_join_category"] = """
 SELECT o.region_code, o.video_id, o.trending_date, o.category_id, c.category_title, c.assignable AS category_assignable
 FROM source o LEFT JOIN cat c ON o.region_code = c.region_code AND o.category_id = c.category_id"""
+QUERIES["left_join_video"] = """
+SELECT o.region_code, o.video_id, o.trending_date, v.video_key
+FROM source o LEFT JOIN dvideo v ON o.region_code = v.region_code AND o.video_id = v.video_id"""
 QUERIES["inner_join_lifecycle"] = "SELECT * FROM labelled_item"
 QUERIES["anti_join_orphans"] = """
 SELECT o.region_code, o.video_id, o.trending_date, o.category_id

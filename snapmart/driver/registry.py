@@ -94,7 +94,7 @@ class Tables:
         return self.fact_of(self.enriched)
 
     def fact_of(self, enriched: DataFrame) -> DataFrame:
-        return fact.fct_daily(enriched, self.dim_region, self.dim_video, self.dim_category)
+        return fact.fct_daily(enriched, self.dim_region, self.dim_category)
 
 
 def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
@@ -249,6 +249,12 @@ def inner_join_lifecycle(t: Tables) -> DataFrame:
     return marts.items_with_lifecycle(t.fact, t.lifecycle)
 
 
+@query
+def left_join_video(t: Tables) -> DataFrame:
+    rows = t.source.select("region_code", "video_id", "trending_date")
+    return fact.join_video_keys(rows, t.dim_video).select(*rows.columns, "video_key")
+
+
 @query
 def anti_join_orphans(t: Tables) -> DataFrame:
     rows = t.source.select("region_code", "video_id", "trending_date", "category_id")

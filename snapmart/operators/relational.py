@@ -22,6 +22,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> Da
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def spread_scan(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Shuffle a scan by `keys` when it has fewer splits than the session has task slots.
+
+    A file of one row group is read by one task, and all work up to the next exchange would stay
+    there. A large table has far more splits than slots and is returned as it is.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots, *keys) if df.rdd.getNumPartitions() < slots else df
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One whole row per key: the greatest by `order` (descending, NULLs last).
 

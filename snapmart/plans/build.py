@@ -18,7 +18,7 @@ from snapmart.schemas import REGIONS
 from snapmart.sources import categories as category_files
 from snapmart.sources import observations as observation_files
 from snapmart.sources.seeds import read_region_seed
-from snapmart.sources.sinks import create_view, reload_regions, write_item_table, write_table
+from snapmart.sources.sinks import create_view, reload_regions, write_table
 
 LANDED = "landed_observations"
 CATEGORIES = "bronze_categories"
@@ -49,38 +49,32 @@ def reload(spark: SparkSession, raw_dir: str, multi_line: bool = True) -> None:
 
 
 def transform(
-    bronze: dict[str, DataFrame], seed: DataFrame, regions: Sequence[str] = REGIONS, buckets: int | None = None
+    bronze: dict[str, DataFrame], seed: DataFrame, regions: Sequence[str] = REGIONS
 ) -> dict[str, DataFrame]:
-    """Staging to marts. Item-grain tables are clustered by item, so the joins and aggregates between
-    them need no exchange; each layer is computed once and read back as a table.
+    """Staging to marts; each layer is computed once and read back as a table.
 
-    `buckets` should make one bucket of staging fit a task comfortably (around a gigabyte); it
-    defaults to the session's shuffle partitions.
+    Dedup is the one shuffle of whole rows. The fact is a scan of staging with broadcast lookups; the
+    item dimension, lifecycle and marts aggregate on the map side before they shuffle.
     """
-    spark = seed.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     t: dict[str, DataFrame] = {**bronze, "region_seed": seed}
 
-    def item_table(name: str, df: DataFrame) -> None:
-        t[name] = write_item_table(df, name, buckets)
+    def table(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        t[name] = write_table(df, name, partition_by)
 
-    def plain_table(name: str, df: DataFrame) -> None:
-        t[name] = write_table(df, name)
-
-    item_table("stg_observations", stg_observations(bronze["bronze_observations"], regions))
-    plain_table("stg_categories", stg_categories(bronze["bronze_categories"], regions))
-    plain_table("dim_region", dim_region(seed))
-    plain_table("dim_category", dim_category(t["stg_categories"]))
+    table("stg_observations", stg_observations(bronze["bronze_observations"], regions), ("region_code",))
+    table("stg_categories", stg_categories(bronze["bronze_categories"], regions))
+    table("dim_region", dim_region(seed))
+    table("dim_category", dim_category(t["stg_categories"]))
     for reference in ("stg_categories", "dim_region", "dim_category"):
         t[reference] = broadcast_if_small(t[reference])
-    item_table("dim_video", dim_video(t["stg_observations"]))
-    item_table("int_lifecycle", int_lifecycle(t["stg_observations"]))
+    table("dim_video", dim_video(t["stg_observations"]))
+    table("int_lifecycle", int_lifecycle(t["stg_observations"]))
     t["int_enriched"] = create_view(int_enriched(t["stg_observations"], t["stg_categories"]), "int_enriched")
-    item_table("fct_daily", fct_daily(t["int_enriched"], t["dim_region"], t["dim_video"], t["dim_category"]))
-    item_table("mart_video_lifecycle", marts.mart_video_lifecycle(t["int_lifecycle"]))
-    plain_table("mart_channel_performance", marts.mart_channel_performance(t["fct_daily"], t["int_lifecycle"]))
-    plain_table("mart_category_performance", marts.mart_category_performance(t["fct_daily"], t["dim_category"]))
-    plain_table("mart_regional_trending", marts.mart_regional_trending(t["fct_daily"]))
+    table("fct_daily", fct_daily(t["int_enriched"], t["dim_region"], t["dim_category"]), ("region_code",))
+    table("mart_video_lifecycle", marts.mart_video_lifecycle(t["int_lifecycle"]))
+    table("mart_channel_performance", marts.mart_channel_performance(t["fct_daily"], t["int_lifecycle"]))
+    table("mart_category_performance", marts.mart_category_performance(t["fct_daily"], t["dim_category"]))
+    table("mart_regional_trending", marts.mart_regional_trending(t["fct_daily"]))
     return t
 
 
@@ -89,12 +83,11 @@ def build(
     raw_dir: str,
     seed_path: str | None = None,
     regions: Sequence[str] = REGIONS,
-    buckets: int | None = None,
     multi_line: bool = True,
     strict: bool = False,
 ) -> dict[str, DataFrame]:
     """Audit, load, transform and check. The check report is table `check_report`; zero failures is a pass."""
     audit.require_sound(audit.audit_report(spark, raw_dir, regions, strict))
-    tables = transform(load(spark, raw_dir, multi_line), read_region_seed(spark, seed_path), regions, buckets)
+    tables = transform(load(spark, raw_dir, multi_line), read_region_seed(spark, seed_path), regions)
     tables["check_report"] = write_table(quality.check_all(tables, regions), "check_report")
     return tables

@@ -35,7 +35,7 @@ def dim_video(observations: DataFrame) -> DataFrame:
     attributes = ("title", "channel_title", "category_id", "publish_time", "thumbnail_link", "description", *FLAGS)
     latest = latest_attributes(
         observations,
-        keys=("region_code", "video_id"),
+        keys=("video_id", "region_code"),
         order=("trending_date_parsed", "_loaded_at", "trending_date"),
         attributes=attributes,
     )

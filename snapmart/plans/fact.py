@@ -2,25 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.functions import surrogate_key
 from snapmart.schemas import FLAGS, MEASURES
 
 
-def fct_daily(enriched: DataFrame, regions: DataFrame, videos: DataFrame, categories: DataFrame) -> DataFrame:
+def join_video_keys(enriched: DataFrame, videos: DataFrame) -> DataFrame:
+    """Left join of the item dimension's key on (region_code, video_id): a shuffle of the whole input,
+    in which AQE splits an item with very many rows."""
+    keys = videos.select("video_id", "region_code", "video_key")
+    return enriched.join(keys, ["video_id", "region_code"], "left")
+
+
+def derived_video_key() -> Column:
+    """The key that join would find. The item dimension has a row for every staged item and its key is a
+    function of (region_code, video_id), so no lookup is needed; a NULL part never matches a join."""
+    known = F.col("region_code").isNotNull() & F.col("video_id").isNotNull()
+    return F.when(known, surrogate_key("region_code", "video_id"))
+
+
+def fct_daily(
+    enriched: DataFrame, regions: DataFrame, categories: DataFrame, videos: DataFrame | None = None
+) -> DataFrame:
     """One row per observation with dimension keys; an unmatched dimension leaves its key NULL.
 
-    The small dimensions come first, as broadcast joins where the caller found them small; the item
-    dimension shares the key of the bucketed tables, so in the build this join needs no exchange.
+    With small region and category dimensions (broadcast by the caller) and no `videos`, the fact is
+    computed without any shuffle. Pass `videos` if it was not built from the same staged observations.
     """
     region_keys = regions.select("region_code", "region_key")
     category_keys = categories.select("region_code", "category_id", "category_key")
-    video_keys = videos.select("region_code", "video_id", "video_key")
+    keyed = enriched.withColumn("video_key", derived_video_key()) if videos is None else join_video_keys(enriched, videos)
     return (
-        enriched.join(region_keys, "region_code", "left")
+        keyed.join(region_keys, "region_code", "left")
         .join(category_keys, ["region_code", "category_id"], "left")
-        .join(video_keys, ["region_code", "video_id"], "left")
         .select(
             "observation_key",
             "region_code",

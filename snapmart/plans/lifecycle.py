@@ -25,7 +25,7 @@ def int_lifecycle(observations: DataFrame) -> DataFrame:
     first_date = F.min("trending_date_parsed")
     published = F.min("publish_time")
     return (
-        observations.groupBy("region_code", "video_id")
+        observations.groupBy("video_id", "region_code")
         .agg(
             first_date.alias("first_trending_date"),
             F.max("trending_date_parsed").alias("last_trending_date"),

@@ -52,8 +52,8 @@ def source_observations(landed: DataFrame, regions: Sequence[str] = REGIONS) ->
 
 
 def deduplicate(source: DataFrame) -> DataFrame:
-    """Latest load per grain key."""
-    return latest_per_key(source, GRAIN, DEDUP_ORDER)
+    """Latest load per grain key. The item id leads the key, so sorts settle most rows on its first bytes."""
+    return latest_per_key(source, ("video_id", "trending_date", "region_code"), DEDUP_ORDER)
 
 
 def stg_observations(landed: DataFrame, regions: Sequence[str] = REGIONS) -> DataFrame:

@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Item-grain tables share this clustering, so joins and aggregates between them need no exchange.
-ITEM_KEYS = ("region_code", "video_id")
-
-
 def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace a Parquet table and return it as read back."""
+    """Replace a Parquet table and return it as read back.
+
+    Rows are written where they are: no shuffle gathers a partition value, so a region with most of
+    the rows is written by all tasks.
+    """
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -20,23 +20,6 @@ def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.table(name)
 
 
-def write_item_table(df: DataFrame, name: str, buckets: int) -> DataFrame:
-    """Replace a table clustered and sorted by (region_code, video_id).
-
-    Each shuffle partition is one bucket and one file; sorting puts a region's rows into few row
-    groups, so a region filter still skips most of a bucket.
-    """
-    clustered = df.repartition(buckets, *ITEM_KEYS)
-    (
-        clustered.write.mode("overwrite")
-        .format("parquet")
-        .bucketBy(buckets, *ITEM_KEYS)
-        .sortBy(*ITEM_KEYS)
-        .saveAsTable(name)
-    )
-    return df.sparkSession.table(name)
-
-
 def reload_regions(df: DataFrame, name: str) -> DataFrame:
     """Replace only the partitions present in `df` of an existing partitioned table."""
     spark = df.sparkSession

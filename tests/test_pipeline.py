@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 from fixtures import EXPECTED, csv_text, sample_rows, write_landing
 from snapmart.operators import quality
 from snapmart.plans import build as pipeline
+from snapmart.plans.dimensions import dim_video
+from snapmart.plans.fact import fct_daily
 
 
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     raw = write_landing(tmp_path_factory.mktemp("raw"))
-    return pipeline.build(spark, str(raw), buckets=4)
+    return pipeline.build(spark, str(raw))
 
 
 def test_sizes(tables):
@@ -62,17 +64,26 @@ def test_checks_pass(tables):
     assert report.filter("check_name = 'relationships'").count() == 3
 
 
-def test_item_tables_join_without_exchange(spark, tables):
-    from snapmart.plans.fact import fct_daily
-    from snapmart.plans.marts import items_with_lifecycle
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning")
 
-    joined = items_with_lifecycle(spark.table("fct_daily"), spark.table("int_lifecycle"))
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning" not in plan
-    fact = fct_daily(
-        tables["int_enriched"], spark.table("dim_region"), spark.table("dim_video"), spark.table("dim_category")
-    )
-    assert "Exchange hashpartitioning" not in fact._jdf.queryExecution().executedPlan().toString()
+
+def test_fact_needs_no_shuffle(tables):
+    fact = fct_daily(tables["int_enriched"], tables["dim_region"], tables["dim_category"])
+    assert exchanges(fact) == 0
+
+
+def test_fact_keys_equal_joined_keys(tables):
+    args = (tables["int_enriched"], tables["dim_region"], tables["dim_category"])
+    joined = fct_daily(*args, videos=tables["dim_video"])
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, fct_daily(*args).collect()))
+
+
+def test_unused_dimension_join_is_dropped(tables):
+    fact = fct_daily(tables["int_enriched"], tables["dim_region"], tables["dim_category"], dim_video(tables["stg_observations"]))
+    plan = fact.select("region_code", "views")._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by" not in plan
 
 
 def test_reload_replaces_only_its_region(spark, tables, tmp_path):
