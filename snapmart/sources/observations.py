@@ -69,6 +69,7 @@ def read_observation_files(spark: SparkSession, raw_dir: str, multi_line: bool =
         .options(**_CSV_OPTIONS)
         .option("header", True)
         .option("multiLine", multi_line)
+        .option("columnPruning", False)  # a row is judged on all its fields, whichever are read
         .option("pathGlobFilter", "*videos*.csv")
         .csv(raw_dir)
     )
@@ -93,5 +94,5 @@ def accepted(landed: DataFrame) -> DataFrame:
 def rejects(landed: DataFrame) -> DataFrame:
     """Malformed rows with their raw text and class. Over-long rows appear here and among the accepted."""
     return landed.filter(F.col(PARSE_STATUS) != STATUS_OK).select(
-        "_source_region", "_source_file", "_loaded_at", PARSE_STATUS, CORRUPT
+        "_source_region", "_source_file", "_loaded_at", "video_id", PARSE_STATUS, CORRUPT
     )
