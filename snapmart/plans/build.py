@@ -24,14 +24,12 @@ LANDED = "landed_observations"
 CATEGORIES = "bronze_categories"
 
 
-def load(spark: SparkSession, raw_dir: str, multi_line: bool = True) -> dict[str, DataFrame]:
+def load(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     """Land the files: one pass over the CSVs writes every row once, with its class, partitioned by region.
 
     Accepted rows and rejects are both filters on that table, so the files are parsed once.
     """
-    landed = write_table(
-        observation_files.read_observation_files(spark, raw_dir, multi_line), LANDED, ("_source_region",)
-    )
+    landed = write_table(observation_files.read_landing(spark, raw_dir), LANDED, ("_source_region",))
     documents = category_files.read_category_documents(spark, raw_dir)
     categories = write_table(category_files.flatten_documents(documents), CATEGORIES, ("_source_region",))
     return {
@@ -41,9 +39,9 @@ def load(spark: SparkSession, raw_dir: str, multi_line: bool = True) -> dict[str
     }
 
 
-def reload(spark: SparkSession, raw_dir: str, multi_line: bool = True) -> None:
+def reload(spark: SparkSession, raw_dir: str) -> None:
     """Load again only the regions whose files are in `raw_dir`, leaving the other regions' rows alone."""
-    reload_regions(observation_files.read_observation_files(spark, raw_dir, multi_line), LANDED)
+    reload_regions(observation_files.read_landing(spark, raw_dir), LANDED)
     documents = category_files.read_category_documents(spark, raw_dir)
     reload_regions(category_files.flatten_documents(documents), CATEGORIES)
 
@@ -83,11 +81,10 @@ def build(
     raw_dir: str,
     seed_path: str | None = None,
     regions: Sequence[str] = REGIONS,
-    multi_line: bool = True,
     strict: bool = False,
 ) -> dict[str, DataFrame]:
     """Audit, load, transform and check. The check report is table `check_report`; zero failures is a pass."""
     audit.require_sound(audit.audit_report(spark, raw_dir, regions, strict))
-    tables = transform(load(spark, raw_dir, multi_line), read_region_seed(spark, seed_path), regions)
+    tables = transform(load(spark, raw_dir), read_region_seed(spark, seed_path), regions)
     tables["check_report"] = write_table(quality.check_all(tables, regions), "check_report")
     return tables

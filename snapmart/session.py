@@ -19,13 +19,16 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Driver time: no Python call-site capture on every Column call.
+DRIVER_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app: str = "snapmart", master: str | None = None, extra: dict[str, str] | None = None) -> SparkSession:
     """Create (or get) a session. `master` and `extra` are for local runs and tests."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SEMANTIC_CONF, **ADAPTIVE_CONF, **(extra or {})}.items():
+    for key, value in {**SEMANTIC_CONF, **ADAPTIVE_CONF, **DRIVER_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart.schemas import OBSERVATION_FILE, OBSERVATION_HEADER
+from snapmart.sources.files import list_files
+from snapmart.sources.split_records import read_records
 
 CORRUPT = "_corrupt_record"
 PARSE_STATUS = "_parse_status"
-STATUS_OK, STATUS_LONG, STATUS_SHORT = "ok", "truncated", "short"
+STATUS_OK, STATUS_LONG, STATUS_SHORT, STATUS_UNCLOSED = "ok", "truncated", "short", "unclosed"
 ACCEPTED = (STATUS_OK, STATUS_LONG)
 
 _REGION_FROM_NAME = r"^([A-Z]{2})videos.*\.csv$"
@@ -24,6 +26,11 @@ _CSV_OPTIONS = {
     "columnNameOfCorruptRecord": CORRUPT,
 }
 
+FILE_PATTERN = "*videos*.csv"
+
+# Above this size a file is read in splits rather than in one task.
+SPLIT_BYTES = 512 << 20
+
 # Room for surplus fields when a malformed row is counted.
 _WIDE_FIELDS = 64
 
@@ -41,7 +48,7 @@ def row_status(corrupt: Column) -> Column:
     non-NULL fields, so a row is parsed once.
     """
     wide = ", ".join(f"f{i} string" for i in range(_WIDE_FIELDS))
-    options = {k: v for k, v in _CSV_OPTIONS.items() if k != "columnNameOfCorruptRecord"}
+    options = {k: v for k, v in _CSV_OPTIONS.items() if k != "columnNameOfCorruptRecord"} | {"multiLine": "true"}
     parsed = F.from_csv(F.concat(F.rtrim(corrupt, F.lit("\r\n")), F.lit(",x")), wide, options)
     surplus = F.array(*[F.lit(f"f{i}") for i in range(len(OBSERVATION_HEADER), _WIDE_FIELDS)])
     has_surplus = F.arrays_overlap(F.json_object_keys(F.to_json(parsed)), surplus)
@@ -52,7 +59,8 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """CSV records held as text in a column, with the same options and classes as the file scan."""
     others = [c for c in lines.columns if c != line]
     schema = ", ".join(f"{f.name} string" for f in _with_corrupt(OBSERVATION_FILE))
-    parsed = lines.select(*others, F.from_csv(F.col(line), schema, _CSV_OPTIONS).alias("_row"))
+    options = {**_CSV_OPTIONS, "multiLine": "true"}
+    parsed = lines.select(*others, F.from_csv(F.col(line), schema, options).alias("_row"))
     return parsed.select(*others, "_row.*").withColumn(PARSE_STATUS, row_status(F.col(CORRUPT)))
 
 
@@ -70,19 +78,42 @@ def read_observation_files(spark: SparkSession, raw_dir: str, multi_line: bool =
         .option("header", True)
         .option("multiLine", multi_line)
         .option("columnPruning", False)  # a row is judged on all its fields, whichever are read
-        .option("pathGlobFilter", "*videos*.csv")
+        .option("pathGlobFilter", FILE_PATTERN)
         .csv(raw_dir)
     )
-    name = F.col("_metadata.file_name")
+    return _with_provenance(scan, F.col("_metadata.file_name"), row_status(F.col(CORRUPT)))
+
+
+def read_split_observation_files(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """The same rows with big files read in parallel (see `split_records`).
+
+    Lines swallowed by a quote that is never closed are kept one by one with the class 'unclosed'.
+    """
+    records = read_records(spark, raw_dir, FILE_PATTERN).withColumn("line", F.rtrim("line", F.lit("\r")))
+    parsed = parse_lines(records.withColumn("_text", F.col("line")))
+    status = F.when(F.col("_unclosed"), STATUS_UNCLOSED).otherwise(F.col(PARSE_STATUS))
+    kept_text = F.when(F.col("_unclosed"), F.col("_text")).otherwise(F.col(CORRUPT))
+    return _with_provenance(parsed.withColumn(CORRUPT, kept_text), F.col("_source_file"), status)
+
+
+def read_landing(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """One task per file, or in splits when some file is too large for that."""
+    largest = list_files(spark, raw_dir, FILE_PATTERN).agg(F.max("size_bytes")).first()[0]
+    if largest is not None and largest > SPLIT_BYTES:
+        return read_split_observation_files(spark, raw_dir)
+    return read_observation_files(spark, raw_dir)
+
+
+def _with_provenance(rows: DataFrame, file_name: Column, status: Column) -> DataFrame:
     any_text = F.concat_ws("", *OBSERVATION_HEADER)
-    return scan.select(
+    return rows.select(
         *OBSERVATION_HEADER,
         CORRUPT,
-        F.regexp_extract(name, _REGION_FROM_NAME, 1).alias("_source_region"),
-        name.alias("_source_file"),
+        F.regexp_extract(file_name, _REGION_FROM_NAME, 1).alias("_source_region"),
+        file_name.alias("_source_file"),
         F.current_timestamp().cast("timestamp_ntz").alias("_loaded_at"),
-        any_text.contains("�").alias("_bad_bytes"),
-        row_status(F.col(CORRUPT)).alias(PARSE_STATUS),
+        any_text.contains("\ufffd").alias("_bad_bytes"),
+        status.alias(PARSE_STATUS),
     )
 
 
