@@ -11,7 +11,10 @@ from snapmart.operators.relational import set_difference
 from snapmart.schemas import CATEGORY_FILE, OBSERVATION_HEADER, REGIONS
 from snapmart.sources.files import list_files, read_files
 
-CSV_PATTERN, JSON_PATTERN = "*videos.csv", "*_category_id.json"
+CSV_PATTERN, JSON_PATTERN = "*videos*.csv", "*_category_id*.json"
+
+# A region's data may come in numbered parts; a part stands for the file without its number.
+_PART_NUMBER = r"-[0-9]+(\.[a-z]+)$"
 
 # Fixed value: line ends are judged on this many leading bytes of a file.
 LINE_END_SAMPLE = 4096
@@ -19,7 +22,8 @@ LINE_END_SAMPLE = 4096
 # Keys every category item must have.
 ITEM_KEYS = ("id", "snippet")
 
-# A file is hashed as one value, so a larger one is reported instead of read.
+# A file is hashed as one value, so a larger one is listed but not read; the loader, which then reads it
+# in splits, checks its header.
 MAX_FILE_BYTES = 1 << 30
 
 
@@ -100,7 +104,10 @@ def presence(expected: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def audit_files(spark: SparkSession, raw_dir: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """One row per found file: size, hash, encoding, line ends, and the structural problem if any."""
+    """One row per found file: size, hash, encoding, line ends, and the structural problem if any.
+
+    A file over `max_bytes` has its size only and `unread` set.
+    """
     content = F.col("content")
     csv = read_files(spark, raw_dir, CSV_PATTERN, max_bytes).select(
         "file", *file_facts(content)[1:], csv_problem(content).alias("problem")
@@ -108,11 +115,10 @@ def audit_files(spark: SparkSession, raw_dir: str, max_bytes: int = MAX_FILE_BYT
     json = read_files(spark, raw_dir, JSON_PATTERN, max_bytes).select(
         "file", *file_facts(content)[1:], json_problem(content).alias("problem")
     )
-    too_large = F.when(F.col("size_bytes") > max_bytes, "larger than the audit limit; split the file")
     return (
         found_files(spark, raw_dir)
         .join(csv.unionByName(json), "file", "left")
-        .withColumn("problem", F.coalesce("problem", too_large))
+        .withColumn("unread", F.col("size_bytes") > max_bytes)
     )
 
 
@@ -129,20 +135,30 @@ def json_items(spark: SparkSession, raw_dir: str, max_bytes: int = MAX_FILE_BYTE
     )
 
 
-def audit_report(spark: SparkSession, raw_dir: str, regions: Sequence[str] = REGIONS, strict: bool = False) -> DataFrame:
-    """One row per expected or found file: status, verdict (ok, warn or fail) and facts.
+def audit_report(
+    spark: SparkSession,
+    raw_dir: str,
+    regions: Sequence[str] = REGIONS,
+    strict: bool = False,
+    max_bytes: int = MAX_FILE_BYTES,
+) -> DataFrame:
+    """One row per found or missing file: status, verdict (ok, warn or fail) and facts.
 
     A missing file fails; an extra one is a warning, or a failure under `strict`. Extra files are not
-    judged on their structure.
+    judged on their structure. A file too large to read here is a warning.
     """
-    status = presence(expected_files(spark, regions), found_files(spark, raw_dir).select("file"))
+    whole = F.regexp_replace("file", _PART_NUMBER, "$1").alias("_whole")
+    facts = audit_files(spark, raw_dir, max_bytes).withColumn("_whole", whole)
+    status = presence(expected_files(spark, regions), facts.select(F.col("_whole").alias("file")))
     verdict = (
         F.when(F.col("status") == "missing", "fail")
         .when(F.col("status") == "extra", "fail" if strict else "warn")
         .when(F.col("problem").isNotNull(), "fail")
+        .when(F.col("unread"), "warn")
         .otherwise("ok")
     )
-    return status.join(audit_files(spark, raw_dir), "file", "left").withColumn("verdict", verdict)
+    named = status.withColumnRenamed("file", "_whole").join(facts, "_whole", "left")
+    return named.withColumn("file", F.coalesce("file", "_whole")).withColumn("verdict", verdict).drop("_whole")
 
 
 def audit_totals(report: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snapmart.schemas import CATEGORY_FILE
 
-_REGION_FROM_NAME = r"^([A-Z]{2})_category_id.*\.json$"
+_REGION_FROM_NAME = r"^([A-Z]{2})_category_id(-[0-9]+)?\.json$"
 
 
 def read_category_documents(spark: SparkSession, raw_dir: str) -> DataFrame:
@@ -19,6 +19,7 @@ def read_category_documents(spark: SparkSession, raw_dir: str) -> DataFrame:
         .option("mode", "FAILFAST")
         .option("pathGlobFilter", "*_category_id*.json")
         .json(raw_dir)
+        .filter(name.rlike(_REGION_FROM_NAME))
         .select(
             F.regexp_extract(name, _REGION_FROM_NAME, 1).alias("_source_region"),
             name.alias("_source_file"),

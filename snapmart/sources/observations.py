@@ -15,7 +15,7 @@ PARSE_STATUS = "_parse_status"
 STATUS_OK, STATUS_LONG, STATUS_SHORT, STATUS_UNCLOSED = "ok", "truncated", "short", "unclosed"
 ACCEPTED = (STATUS_OK, STATUS_LONG)
 
-_REGION_FROM_NAME = r"^([A-Z]{2})videos.*\.csv$"
+_REGION_FROM_NAME = r"^([A-Z]{2})videos(-[0-9]+)?\.csv$"
 
 _CSV_OPTIONS = {
     "sep": ",",
@@ -26,6 +26,9 @@ _CSV_OPTIONS = {
     "columnNameOfCorruptRecord": CORRUPT,
 }
 
+# One record held as text: its line breaks are LF and a lone carriage return is content.
+_ONE_RECORD = {"multiLine": "true", "lineSep": "\n"}
+
 FILE_PATTERN = "*videos*.csv"
 
 # Above this size a file is read in splits rather than in one task.
@@ -48,7 +51,7 @@ def row_status(corrupt: Column) -> Column:
     non-NULL fields, so a row is parsed once.
     """
     wide = ", ".join(f"f{i} string" for i in range(_WIDE_FIELDS))
-    options = {k: v for k, v in _CSV_OPTIONS.items() if k != "columnNameOfCorruptRecord"} | {"multiLine": "true"}
+    options = {k: v for k, v in _CSV_OPTIONS.items() if k != "columnNameOfCorruptRecord"} | _ONE_RECORD
     parsed = F.from_csv(F.concat(F.rtrim(corrupt, F.lit("\r\n")), F.lit(",x")), wide, options)
     surplus = F.array(*[F.lit(f"f{i}") for i in range(len(OBSERVATION_HEADER), _WIDE_FIELDS)])
     has_surplus = F.arrays_overlap(F.json_object_keys(F.to_json(parsed)), surplus)
@@ -59,7 +62,7 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """CSV records held as text in a column, with the same options and classes as the file scan."""
     others = [c for c in lines.columns if c != line]
     schema = ", ".join(f"{f.name} string" for f in _with_corrupt(OBSERVATION_FILE))
-    options = {**_CSV_OPTIONS, "multiLine": "true"}
+    options = {**_CSV_OPTIONS, **_ONE_RECORD}
     parsed = lines.select(*others, F.from_csv(F.col(line), schema, options).alias("_row"))
     return parsed.select(*others, "_row.*").withColumn(PARSE_STATUS, row_status(F.col(CORRUPT)))
 
@@ -89,7 +92,7 @@ def read_split_observation_files(spark: SparkSession, raw_dir: str) -> DataFrame
 
     Lines swallowed by a quote that is never closed are kept one by one with the class 'unclosed'.
     """
-    records = read_records(spark, raw_dir, FILE_PATTERN).withColumn("line", F.rtrim("line", F.lit("\r")))
+    records = read_records(spark, raw_dir, FILE_PATTERN, OBSERVATION_HEADER)
     parsed = parse_lines(records.withColumn("_text", F.col("line")))
     status = F.when(F.col("_unclosed"), STATUS_UNCLOSED).otherwise(F.col(PARSE_STATUS))
     kept_text = F.when(F.col("_unclosed"), F.col("_text")).otherwise(F.col(CORRUPT))
@@ -106,7 +109,8 @@ def read_landing(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 def _with_provenance(rows: DataFrame, file_name: Column, status: Column) -> DataFrame:
     any_text = F.concat_ws("", *OBSERVATION_HEADER)
-    return rows.select(
+    # files with other names are skipped, not read
+    return rows.filter(file_name.rlike(_REGION_FROM_NAME)).select(
         *OBSERVATION_HEADER,
         CORRUPT,
         F.regexp_extract(file_name, _REGION_FROM_NAME, 1).alias("_source_region"),

@@ -10,6 +10,8 @@ neither of which grows with the size of the data as a whole.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -78,8 +80,8 @@ def _lines(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
 
 
 def _splits(lines: DataFrame, max_chars: int) -> DataFrame:
-    """Per split: the side at its start, the records open at its start and end, and whether each was
-    left unclosed. A record is named by the block and number of its first line."""
+    """Per split: the side at its start, the records open at its start and end, whether each was left
+    unclosed, and the file's header. A record is named by the block and number of its first line."""
 
     def last_record(start: bool) -> Column:
         return F.max(F.when(~_side(F.lit(start)), F.col("_line")))
@@ -94,6 +96,7 @@ def _splits(lines: DataFrame, max_chars: int) -> DataFrame:
         last_record(False).alias("_last_from_outside"),
         last_record(True).alias("_last_from_inside"),
         F.sum("_chars").alias("_chars"),
+        F.min_by("line", "_line").alias("_first_line"),
     )
     placed = _running_side(effects, ["_path"], "_block").withColumn("_starts_inside", _side(F.lit(False)))
     last = F.when(F.col("_starts_inside"), F.col("_last_from_inside")).otherwise(F.col("_last_from_outside"))
@@ -111,14 +114,20 @@ def _splits(lines: DataFrame, max_chars: int) -> DataFrame:
         F.lag("_tail_unclosed").over(in_file).alias("_open_unclosed"),
         "_tail",
         "_tail_unclosed",
+        F.first("_first_line").over(in_file).alias("_header"),
     )
 
 
-def read_records(spark: SparkSession, raw_dir: str, pattern: str, max_chars: int = MAX_RECORD_CHARS) -> DataFrame:
-    """(_source_file, line, _unclosed): every record of the files but their headers, as CSV text.
+def read_records(
+    spark: SparkSession, raw_dir: str, pattern: str, header: Sequence[str], max_chars: int = MAX_RECORD_CHARS
+) -> DataFrame:
+    """(_source_file, line, _unclosed): every record of the files but their headers, as CSV text
+    with LF for line breaks inside (line ends are CRLF where the header's is, else LF).
 
     A record that never ends is returned line by line with `_unclosed` true, so no text is lost and no
-    task holds it whole. Blank lines between records are skipped.
+    task holds it whole. Blank lines between records are skipped. A quote still open at the end of a
+    file does not take in the file's last line break. A file whose first line is not `header` fails
+    the job.
     """
     lines = _lines(spark, raw_dir, pattern)
     placed = lines.join(_splits(lines, max_chars), _SPLIT).withColumn("_inside", _side(F.col("_starts_inside")))
@@ -128,14 +137,19 @@ def read_records(spark: SparkSession, raw_dir: str, pattern: str, max_chars: int
     unclosed = F.when(F.col("_record") == F.col("_open"), F.col("_open_unclosed")).when(
         F.col("_record") == F.col("_tail"), F.col("_tail_unclosed")
     )
+    names = F.regexp_replace("_header", '["\r]', "")
+    drift = F.raise_error(F.concat_ws(": ", F.lit("header drift"), "_source_file", names)).cast("boolean")
+    returns = F.col("_header").endswith("\r")
     keyed = (
-        placed.withColumn("_begun", begun)
+        placed.filter(F.when(names == ",".join(header), True).otherwise(drift))
+        .withColumn("_begun", begun)
         .withColumn("_record", F.coalesce(here, "_open"))
         .filter((F.col("_record.block") != 0) | (F.col("_record.line") != 1))  # the header
         .withColumn("_unclosed", F.coalesce(unclosed, F.lit(False)))
+        .withColumn("line", F.when(returns, F.regexp_replace("line", "\r\\z", "")).otherwise(F.col("line")))
     )
     alone = F.col("_unclosed") | ~(F.col("_inside") | F.col("_from_outside"))
-    single = keyed.filter(alone & ~F.col("line").isin("", "\r")).select("_source_file", "line", "_unclosed")
+    single = keyed.filter(alone & (F.col("line") != "")).select("_source_file", "line", "_unclosed")
     in_order = F.array_sort(F.collect_list(F.struct("_block", "_line", "line")))
     assembled = (
         keyed.filter(~alone)

@@ -99,10 +99,23 @@ def test_encoding_reads_the_whole_file(spark, tmp_path):
 
 def test_large_file_is_reported_not_read(spark, tmp_path):
     raw = write_landing(tmp_path, ["CA"])
-    rows = {r.file: r for r in audit.audit_files(spark, str(raw), max_bytes=1000).collect()}
+    report = audit.audit_report(spark, str(raw), ["CA"], max_bytes=1000)
+    rows = {r.file: r for r in report.collect()}
     big = rows["CA_category_id.json"]
-    assert big.sha256 is None and big.size_bytes > 1000 and "limit" in big.problem
-    assert rows["CAvideos.csv"].problem is None
+    assert big.sha256 is None and big.size_bytes > 1000 and big.unread and big.verdict == "warn"
+    assert rows["CAvideos.csv"].verdict == "ok" and not rows["CAvideos.csv"].unread
+    audit.require_sound(report)
+
+
+def test_numbered_parts_stand_for_their_file(spark, tmp_path):
+    raw = write_landing(tmp_path, ["CA"])
+    (raw / "CAvideos.csv").rename(raw / "CAvideos-1.csv")
+    (raw / "CAvideos-2.csv").write_text("wrong header\n")
+    (raw / "CAvideos_old.csv").write_text("x\n")
+    report = audit.audit_report(spark, str(raw), ["CA"])
+    assert verdicts(report) == {
+        "CAvideos-1.csv": "ok", "CAvideos-2.csv": "fail", "CAvideos_old.csv": "warn", "CA_category_id.json": "ok",
+    }
 
 
 def test_manifest(spark, tmp_path):
