@@ -54,10 +54,14 @@ def counts(landed: DataFrame) -> DataFrame:
 
 
 def date_range(landed: DataFrame) -> DataFrame:
-    """First and last date in calendar order, and the raw texts that sort first and last among valid ones."""
+    """First and last date in calendar order, and the raw texts that sort first and last among valid ones.
+
+    Texts have no hash-aggregate minimum, so the distinct ones are found first and few rows are sorted.
+    """
+    texts = landed.select(F.col(REGION).alias("region_code"), "trending_date").distinct()
     parsed = parse_trending_date(F.col("trending_date"))
     valid_text = F.when(parsed.isNotNull(), F.col("trending_date"))
-    return landed.groupBy(F.col(REGION).alias("region_code")).agg(
+    return texts.groupBy("region_code").agg(
         F.min(parsed).alias("min_trending_date"),
         F.max(parsed).alias("max_trending_date"),
         F.min(valid_text).alias("min_trending_date_text"),
@@ -135,12 +139,14 @@ def numeric_ranges(landed: DataFrame) -> DataFrame:
 
 
 def unexpected_booleans(landed: DataFrame) -> DataFrame:
-    """Spellings outside the profiler's boolean grammar with their frequency over the three flags."""
-    long = landed.select(F.col(REGION).alias("region_code"), *FLAGS).unpivot(
-        ["region_code"], list(FLAGS), "flag", "raw_value"
-    )
+    """Spellings outside the profiler's boolean grammar with their frequency over the three flags.
+
+    Rows are counted per combination of the flags before each is spread over three rows.
+    """
+    combined = landed.groupBy(F.col(REGION).alias("region_code"), *FLAGS).agg(F.count("*").alias("_n"))
+    long = combined.unpivot(["region_code", "_n"], list(FLAGS), "flag", "raw_value")
     odd = (F.col("raw_value") != "") & profile_boolean(F.col("raw_value")).isNull()
-    return long.filter(odd).groupBy("region_code", "raw_value").agg(F.count("*").alias("n_rows"))
+    return long.filter(odd).groupBy("region_code", "raw_value").agg(F.sum("_n").alias("n_rows"))
 
 
 def _seen_categories(landed: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,9 +44,16 @@ def write_json_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_json_reports(reports: Mapping[str, DataFrame], path: str) -> None:
+    """A set of report tables, such as the profile, each as JSON lines under its own name."""
+    for name, df in reports.items():
+        write_json_report(df, f"{path}/{name}")
+
+
 def load_summary(landed: DataFrame) -> DataFrame:
     """Rows per region and, with a NULL region, in total."""
-    return landed.rollup("_source_region").agg(F.count("*").alias("n_rows"))
+    per_region = landed.groupBy("_source_region").agg(F.count("*").alias("_n"))
+    return per_region.rollup("_source_region").agg(F.sum("_n").alias("n_rows"))
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
