@@ -69,11 +69,11 @@ def _date(raw: str) -> str:
     )
 
 
+_WORDS = "MAP {'true': true, 't': true, '1': true, 'false': false, 'f': false, '0': false}"
+
+
 def _boolean(raw: str) -> str:
-    return (
-        f"CASE WHEN lower(trim({raw})) IN ('true', 't', '1') THEN true "
-        f"WHEN lower(trim({raw})) IN ('false', 'f', '0') THEN false END"
-    )
+    return f"{_WORDS}[lower(trim({raw}))]"
 
 
 def _key(*columns: str) -> str:
@@ -110,8 +110,8 @@ SELECT r_name AS region_code, p_brand AS category_id, 'Group ' || substr(p_brand
        r_name || '_category_id.json' AS _source_file, TIMESTAMP '2020-01-01 00:00:00' AS _loaded_at
 FROM region, (SELECT DISTINCT p_brand FROM part WHERE p_brand <> 'Brand#25') AS brands"""
 
-_VALID = """CASE WHEN video_error_or_removed = true THEN false WHEN ratings_disabled = true THEN false
-            WHEN views IS NULL OR views = 0 THEN false ELSE true END"""
+_VALID = """(NOT coalesce(video_error_or_removed, false) AND NOT coalesce(ratings_disabled, false)
+            AND coalesce(views, 0) <> 0)"""
 
 _NO_TAGS = "tags_raw IS NULL OR trim(tags_raw) = '' OR lower(trim(tags_raw)) = '[none]'"
 _TAGS = "regexp_replace(regexp_replace(tags_raw, '\"', '', 'g'), '[|]+', '|', 'g')"
@@ -172,26 +172,22 @@ FROM latest"""
 
 def _fact(relation: str) -> str:
     return f"""
-SELECT e.observation_key, e.region_code, e.video_id, e.trending_date_parsed AS trending_date, r.region_key,
-       v.video_key, c.category_key, e.title, e.channel_title, e.category_id, e.publish_time, e.days_since_publish,
-       e.views, e.likes, e.dislikes, e.comment_count, e.like_rate, e.dislike_rate, e.comment_rate, e.engagement_rate,
-       e.has_valid_engagement, e.comments_disabled, e.ratings_disabled, e.video_error_or_removed, e.tags_raw,
-       e.tags_normalized, e.tag_count
-FROM {relation} e LEFT JOIN dregion r ON e.region_code = r.region_code
-     LEFT JOIN dvideo v ON e.region_code = v.region_code AND e.video_id = v.video_id
-     LEFT JOIN dcat c ON e.region_code = c.region_code AND e.category_id = c.category_id"""
+SELECT observation_key, region_code, video_id, trending_date_parsed AS trending_date, region_key, video_key,
+       category_key, title, channel_title, category_id, publish_time, days_since_publish, views, likes, dislikes,
+       comment_count, like_rate, dislike_rate, comment_rate, engagement_rate, has_valid_engagement,
+       comments_disabled, ratings_disabled, video_error_or_removed, tags_raw, tags_normalized, tag_count
+FROM {relation}
+     LEFT JOIN (SELECT region_code, region_key FROM dregion) AS regions USING (region_code)
+     LEFT JOIN (SELECT region_code, video_id, video_key FROM dvideo) AS items USING (region_code, video_id)
+     LEFT JOIN (SELECT region_code, category_id, category_key FROM dcat) AS groups USING (region_code, category_id)"""
 
 
 CTES["fact"] = _fact("enriched")
 CTES["fact_undeduped"] = _fact("enriched_undeduped")
 
-CTES["per_item"] = """
-SELECT o.region_code, o.video_id,
-       max(l.latest_views) AS latest_views, max(l.peak_views) AS peak_views,
-       max(l.observed_trending_days) AS observed_trending_days,
-       max(CASE WHEN o.has_valid_engagement THEN o.engagement_rate END) AS latest_engagement_rate
-FROM fact o JOIN life l ON o.region_code = l.region_code AND o.video_id = l.video_id
-GROUP BY o.region_code, o.video_id"""
+CTES["best_rate"] = """
+SELECT region_code, video_id, max(engagement_rate) FILTER (has_valid_engagement) AS latest_engagement_rate
+FROM fact GROUP BY region_code, video_id"""
 
 CTES["item_label"] = """
 SELECT region_code, video_id, channel_title FROM fact WHERE channel_title IS NOT NULL
@@ -199,9 +195,8 @@ QUALIFY row_number() OVER (PARTITION BY region_code, video_id
     ORDER BY trending_date DESC NULLS LAST, channel_title DESC) = 1"""
 
 CTES["labelled_item"] = """
-SELECT p.region_code, p.video_id, l.channel_title, p.latest_engagement_rate, p.latest_views, p.peak_views,
-       p.observed_trending_days
-FROM per_item p LEFT JOIN item_label l ON p.region_code = l.region_code AND p.video_id = l.video_id"""
+SELECT region_code, video_id, channel_title, latest_engagement_rate, latest_views, peak_views, observed_trending_days
+FROM life JOIN best_rate USING (region_code, video_id) LEFT JOIN item_label USING (region_code, video_id)"""
 
 CTES["part_item"] = """
 SELECT ['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'][p_size % 5 + 1] AS _source_region,
@@ -212,7 +207,7 @@ FROM (SELECT *, 0 AS pos, CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_size <>
       SELECT *, 1 AS pos, p_brand AS id, p_type AS title FROM part) AS item
 WHERE p_size % 7 <> 0 AND p_size % 10 <> 0"""
 
-_VALID_RATE = "avg(CASE WHEN has_valid_engagement THEN {0}_rate END) AS avg_{0}_rate"
+_VALID_RATE = "avg({0}_rate) FILTER (has_valid_engagement) AS avg_{0}_rate"
 
 QUERIES: dict[str, str] = {}
 
@@ -271,9 +266,8 @@ SELECT o.region_code, o.video_id, o.trending_date, v.video_key
 FROM source o LEFT JOIN dvideo v ON o.region_code = v.region_code AND o.video_id = v.video_id"""
 QUERIES["inner_join_lifecycle"] = "SELECT * FROM labelled_item"
 QUERIES["anti_join_orphans"] = """
-SELECT o.region_code, o.video_id, o.trending_date, o.category_id
-FROM source o LEFT JOIN cat c ON o.region_code = c.region_code AND o.category_id = c.category_id
-WHERE c.category_id IS NULL"""
+SELECT region_code, video_id, trending_date, category_id FROM source
+WHERE (region_code, category_id) NOT IN (SELECT (region_code, category_id) FROM cat)"""
 QUERIES["relationships_violations"] = """
 SELECT o.category_id, count(*) AS n_rows
 FROM source o LEFT JOIN (SELECT DISTINCT category_id FROM cat WHERE assignable) c ON o.category_id = c.category_id
@@ -298,10 +292,10 @@ SELECT region_code, channel_title, count(DISTINCT video_id) AS distinct_videos,
        avg(peak_views) AS avg_peak_views, avg(latest_engagement_rate) AS avg_engagement_rate
 FROM labelled_item GROUP BY region_code, channel_title"""
 QUERIES["mart_category_performance"] = f"""
-SELECT f.region_code, f.category_id, c.category_title, f.trending_date, count(DISTINCT f.video_id) AS distinct_videos,
+SELECT region_code, category_id, category_title, trending_date, count(DISTINCT video_id) AS distinct_videos,
        count(*) AS observations, {", ".join(_VALID_RATE.format(r) for r in ("engagement", "like", "dislike", "comment"))}
-FROM fact f LEFT JOIN dcat c ON f.region_code = c.region_code AND f.category_id = c.category_id
-GROUP BY f.region_code, f.category_id, c.category_title, f.trending_date"""
+FROM fact LEFT JOIN dcat USING (region_code, category_id)
+GROUP BY region_code, category_id, category_title, trending_date"""
 QUERIES["mart_regional_trending"] = f"""
 SELECT region_code, trending_date, count(DISTINCT video_id) AS distinct_videos, count(*) AS observations,
        count(DISTINCT category_id) AS active_categories, count(DISTINCT channel_title) AS active_channels,
@@ -330,22 +324,22 @@ GROUP BY video_id"""
 QUERIES["dq_unique_combo"] = """
 SELECT region_code, video_id, count(*) AS n_rows FROM stg GROUP BY region_code, video_id HAVING count(*) > 1"""
 QUERIES["dq_orphan_category"] = """
-SELECT o.region_code, o.video_id, o.trending_date, o.category_id
-FROM stg o LEFT JOIN cat c ON o.region_code = c.region_code AND o.category_id = c.category_id
-WHERE c.category_id IS NULL AND NOT (o.category_id = '29')"""
+SELECT region_code, video_id, trending_date, category_id FROM stg
+WHERE category_id <> '29' AND NOT EXISTS (
+    SELECT 1 FROM cat WHERE cat.region_code = stg.region_code AND cat.category_id = stg.category_id)"""
 QUERIES["dq_lifecycle_dates"] = """
 SELECT region_code, video_id, first_trending_date, last_trending_date, observed_trending_days FROM life
-WHERE first_trending_date > last_trending_date OR observed_trending_days < 1"""
+WHERE observed_trending_days = 0 OR last_trending_date < first_trending_date"""
 QUERIES["dq_duplicate_grain"] = """
 SELECT observation_key, region_code, video_id, trending_date, count(*) AS c FROM fact_undeduped
 GROUP BY ALL HAVING count(*) > 1"""
 QUERIES["dq_nonnegative"] = """
 SELECT region_code, video_id, trending_date, views, likes, dislikes, comment_count
 FROM (SELECT * REPLACE (likes - 10 AS likes, comment_count - 5 AS comment_count) FROM fact) AS shifted
-WHERE views < 0 OR likes < 0 OR dislikes < 0 OR comment_count < 0"""
+WHERE least(views, likes, dislikes, comment_count) < 0"""
 QUERIES["dq_publish_before_trending"] = """
 SELECT region_code, video_id, trending_date_parsed, publish_time, days_since_publish FROM enriched
-WHERE days_since_publish IS NOT NULL AND days_since_publish < -1"""
+WHERE days_since_publish <= -2"""
 _STG_REQUIRED = (
     "observation_key region_code video_id trending_date trending_date_parsed category_id views likes dislikes "
     "comment_count"
