@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from snapmart.operators import audit, quality
 from snapmart.operators.relational import broadcast_if_small
@@ -15,6 +16,7 @@ from snapmart.plans.fact import fct_daily
 from snapmart.plans.lifecycle import int_lifecycle
 from snapmart.plans.staging import stg_categories, stg_observations
 from snapmart.schemas import REGIONS
+from snapmart.session import size_shuffles
 from snapmart.sources import categories as category_files
 from snapmart.sources import observations as observation_files
 from snapmart.sources.seeds import read_region_seed
@@ -85,6 +87,7 @@ def build(
 ) -> dict[str, DataFrame]:
     """Audit, load, transform and check. The check report is table `check_report`; zero failures is a pass."""
     audit.require_sound(audit.audit_report(spark, raw_dir, regions, strict))
+    size_shuffles(spark, audit.found_files(spark, raw_dir).agg(F.sum("size_bytes")).first()[0])
     tables = transform(load(spark, raw_dir), read_region_seed(spark, seed_path), regions)
     tables["check_report"] = write_table(quality.check_all(tables, regions), "check_report")
     return tables

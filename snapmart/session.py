@@ -44,3 +44,26 @@ def local_session(cores: int | str = 8, extra: dict[str, str] | None = None) ->
     spark = build_session("snapmart-local", f"local[{cores}]", {**conf, **(extra or {})})
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+# A shuffle partition of this many input bytes sorts within a task's memory with little spill; more than
+# the maximum number of partitions costs more in shuffle blocks than it saves.
+SHUFFLE_PARTITION_BYTES = 1 << 30
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
+def shuffle_partitions_for(input_bytes: int, slots: int) -> int:
+    """At least one partition per task slot, and enough to keep each near the target size."""
+    return min(max(-(-input_bytes // SHUFFLE_PARTITION_BYTES), slots), max(MAX_SHUFFLE_PARTITIONS, slots))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the session's shuffle partitions to suit the input; a higher setting is left alone.
+
+    AQE merges partitions that turn out small, so erring high is cheap.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    wanted = shuffle_partitions_for(input_bytes, spark.sparkContext.defaultParallelism)
+    number = max(wanted, int(spark.conf.get(setting)))
+    spark.conf.set(setting, number)
+    return number
