@@ -42,7 +42,10 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.landed = adapter.landed_observations(spark, sf_dir)
+
+    @cached_property
+    def landed(self) -> DataFrame:
+        return adapter.landed_observations(self.spark, self.sf_dir)
 
     def raw(self, name: str) -> DataFrame:
         return adapter.table(self.spark, self.sf_dir, name)
@@ -529,7 +532,8 @@ def audit_file_facts(t: Tables) -> DataFrame:
         .when(lang == "fr", F.encode(F.replace(text, F.lit(" "), F.lit("\r\n")), "UTF-8"))
         .otherwise(F.encode(text, "UTF-8"))
     )
-    files = t.raw("documents").select(F.concat(F.lit("doc"), "doc_id", F.lit(".txt")).alias("file"), content.alias("content"))
+    name = F.concat(F.lit("doc"), "doc_id", F.lit(".txt"))
+    files = t.raw("documents").select(name.alias("file"), content.alias("content"))
     return files.select("file", *audit.file_facts(F.col("content")))
 
 

@@ -252,8 +252,8 @@ def tag_samples(landed: DataFrame) -> DataFrame:
 def category_documents(documents: DataFrame) -> DataFrame:
     """Per region: items, ids and titles used more than once, missing titles, assignable tally, first ids.
 
-    Ids and titles are counted in separate grouped steps, so no list of a region's items is built. A
-    missing title counts as one more title when looking for repeats.
+    Ids and titles are counted in a grouped step, so no list of a region's items is built. A missing
+    title counts as one more title when looking for repeats.
     """
     items = documents.select(
         F.col(REGION).alias("region_code"), "_source_file", F.posexplode("items").alias("_pos", "item")
@@ -274,21 +274,21 @@ def category_documents(documents: DataFrame) -> DataFrame:
         F.count_if(flag.isNull()).alias("assignable_null"),
     )
 
-    def repeated(column: str, name: str) -> DataFrame:
-        per_value = items.groupBy("region_code", column).agg(F.count("*").alias("_n"))
-        return per_value.groupBy("region_code").agg(F.count_if(F.col("_n") > 1).alias(name))
-
+    # an id and a title per item, counted together
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in ("id", "title")]))
+    uses = items.select("region_code", kinds.alias("_use")).groupBy("region_code", "_use").agg(F.count("*").alias("_n"))
+    repeated = uses.filter(F.col("_n") > 1).groupBy("region_code").agg(
+        F.count_if(F.col("_use.kind") == "id").alias("duplicate_ids"),
+        F.count_if(F.col("_use.kind") == "title").alias("duplicate_titles"),
+    )
     first = first_n_per_group(items, ["region_code"], [F.col("_source_file"), F.col("_pos")], ID_SAMPLE, "_rank")
     sample = first.groupBy("region_code").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("_rank", "id"))), lambda s: s["id"]), ", "
         ).alias("ids_sample")
     )
-    return (
-        tally.join(repeated("id", "duplicate_ids"), "region_code", "left")
-        .join(repeated("title", "duplicate_titles"), "region_code", "left")
-        .join(sample, "region_code", "left")
-    )
+    joined = tally.join(repeated, "region_code", "left").join(sample, "region_code", "left")
+    return joined.fillna(0, ["duplicate_ids", "duplicate_titles"])
 
 
 def _per_item(landed: DataFrame) -> DataFrame:

@@ -243,8 +243,9 @@ def check_table(
 
 def check_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The same report for the five warehouse rules."""
+    staged, categories = tables["stg_observations"], tables["stg_categories"]
     rules = [
-        ("stg_observations", "orphan_categories", orphan_categories(tables["stg_observations"], tables["stg_categories"])),
+        ("stg_observations", "orphan_categories", orphan_categories(staged, categories)),
         ("int_lifecycle", "lifecycle_dates", lifecycle_dates(tables["int_lifecycle"])),
         ("fct_daily", "duplicate_grain", duplicate_grain(tables["fct_daily"])),
         ("fct_daily", "negative_measures", negative_measures(tables["fct_daily"])),
@@ -276,7 +277,9 @@ REQUIRED_COLUMNS = (
 )
 
 
-def check_loaded(spark: SparkSession, observations: str, categories: str, regions: Sequence[str] = REGIONS) -> DataFrame:
+def check_loaded(
+    spark: SparkSession, observations: str, categories: str, regions: Sequence[str] = REGIONS
+) -> DataFrame:
     """(subject, problem) rows for absent tables, absent columns, and missing or extra regions.
 
     The reference has a table per region; here a region is a value of `_source_region`.

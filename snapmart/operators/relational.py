@@ -55,7 +55,9 @@ def latest_attributes(
     return df.groupBy(*keys).agg(picked.alias("_latest")).select(*keys, "_latest.*")
 
 
-def first_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank_name: str) -> DataFrame:
+def first_n_per_group(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank_name: str
+) -> DataFrame:
     """The first `n` rows per group with their rank; only n rows per group and map task are shuffled."""
     window = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank_name, F.row_number().over(window)).filter(F.col(rank_name) <= n)

@@ -33,7 +33,10 @@ def fct_daily(
     """
     region_keys = regions.select("region_code", "region_key")
     category_keys = categories.select("region_code", "category_id", "category_key")
-    keyed = enriched.withColumn("video_key", derived_video_key()) if videos is None else join_video_keys(enriched, videos)
+    if videos is None:
+        keyed = enriched.withColumn("video_key", derived_video_key())
+    else:
+        keyed = join_video_keys(enriched, videos)
     return (
         keyed.join(region_keys, "region_code", "left")
         .join(category_keys, ["region_code", "category_id"], "left")

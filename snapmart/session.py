@@ -23,7 +23,9 @@ ADAPTIVE_CONF = {
 DRIVER_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
-def build_session(app: str = "snapmart", master: str | None = None, extra: dict[str, str] | None = None) -> SparkSession:
+def build_session(
+    app: str = "snapmart", master: str | None = None, extra: dict[str, str] | None = None
+) -> SparkSession:
     """Create (or get) a session. `master` and `extra` are for local runs and tests."""
     builder = SparkSession.builder.appName(app)
     if master:
