@@ -31,8 +31,9 @@ _ONE_RECORD = {"multiLine": "true", "lineSep": "\n"}
 
 FILE_PATTERN = "*videos*.csv"
 
-# Above this size a file is read in splits rather than in one task.
-SPLIT_BYTES = 512 << 20
+# Above this size a file is read in splits rather than in one task. Splitting costs several times the CPU,
+# so it pays only where one task would take very long.
+SPLIT_BYTES = 1 << 30
 
 # Room for surplus fields when a malformed row is counted.
 _WIDE_FIELDS = 64
@@ -67,8 +68,10 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     return parsed.select(*others, "_row.*").withColumn(PARSE_STATUS, row_status(F.col(CORRUPT)))
 
 
-def read_observation_files(spark: SparkSession, raw_dir: str, multi_line: bool = True) -> DataFrame:
-    """All regional files in one scan: text columns, provenance, `_parse_status`, `_bad_bytes`.
+def read_observation_files(
+    spark: SparkSession, raw_dir: str, multi_line: bool = True, up_to_bytes: int | None = None
+) -> DataFrame:
+    """All regional files (up to a size, if given) in one scan: text columns, provenance, `_parse_status`, `_bad_bytes`.
 
     The region is the file-name prefix, so a region may be split over any number of files
     (`USvideos.csv`, `USvideos-0001.csv`, ...). Quoted line breaks make a file one task; where the
@@ -84,15 +87,17 @@ def read_observation_files(spark: SparkSession, raw_dir: str, multi_line: bool =
         .option("pathGlobFilter", FILE_PATTERN)
         .csv(raw_dir)
     )
+    if up_to_bytes is not None:
+        scan = scan.filter(F.col("_metadata.file_size") <= up_to_bytes)  # skips whole files
     return _with_provenance(scan, F.col("_metadata.file_name"), row_status(F.col(CORRUPT)))
 
 
-def read_split_observation_files(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """The same rows with big files read in parallel (see `split_records`).
+def read_split_observation_files(spark: SparkSession, raw_dir: str, over_bytes: int = 0) -> DataFrame:
+    """The rows of files over a size, each file read in parallel (see `split_records`).
 
     Lines swallowed by a quote that is never closed are kept one by one with the class 'unclosed'.
     """
-    records = read_records(spark, raw_dir, FILE_PATTERN, OBSERVATION_HEADER)
+    records = read_records(spark, raw_dir, FILE_PATTERN, OBSERVATION_HEADER, over_bytes)
     parsed = parse_lines(records.withColumn("_text", F.col("line")))
     status = F.when(F.col("_unclosed"), STATUS_UNCLOSED).otherwise(F.col(PARSE_STATUS))
     kept_text = F.when(F.col("_unclosed"), F.col("_text")).otherwise(F.col(CORRUPT))
@@ -100,11 +105,12 @@ def read_split_observation_files(spark: SparkSession, raw_dir: str) -> DataFrame
 
 
 def read_landing(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """One task per file, or in splits when some file is too large for that."""
+    """One task per file, but files too large for that in splits."""
     largest = list_files(spark, raw_dir, FILE_PATTERN).agg(F.max("size_bytes")).first()[0]
-    if largest is not None and largest > SPLIT_BYTES:
-        return read_split_observation_files(spark, raw_dir)
-    return read_observation_files(spark, raw_dir)
+    if largest is None or largest <= SPLIT_BYTES:
+        return read_observation_files(spark, raw_dir)
+    small = read_observation_files(spark, raw_dir, up_to_bytes=SPLIT_BYTES)
+    return small.unionByName(read_split_observation_files(spark, raw_dir, SPLIT_BYTES))
 
 
 def _with_provenance(rows: DataFrame, file_name: Column, status: Column) -> DataFrame:

@@ -60,10 +60,10 @@ def _side(start: Column) -> Column:
     return F.coalesce("_forced", start) != F.col("_swapped")
 
 
-def _lines(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
-    """Lines with their file, split, number within the split, and effect on the side."""
+def _lines(spark: SparkSession, raw_dir: str, pattern: str, over_bytes: int) -> DataFrame:
+    """Lines of files over a size, with their file, split, number within the split, and effect on the side."""
     scan = spark.read.option("lineSep", "\n").option("pathGlobFilter", pattern).text(raw_dir)
-    numbered = scan.select(
+    numbered = scan.filter(F.col("_metadata.file_size") > over_bytes).select(
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_name").alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -119,9 +119,14 @@ def _splits(lines: DataFrame, max_chars: int) -> DataFrame:
 
 
 def read_records(
-    spark: SparkSession, raw_dir: str, pattern: str, header: Sequence[str], max_chars: int = MAX_RECORD_CHARS
+    spark: SparkSession,
+    raw_dir: str,
+    pattern: str,
+    header: Sequence[str],
+    over_bytes: int = 0,
+    max_chars: int = MAX_RECORD_CHARS,
 ) -> DataFrame:
-    """(_source_file, line, _unclosed): every record of the files but their headers, as CSV text
+    """(_source_file, line, _unclosed): every record of files over a size but their headers, as CSV text
     with LF for line breaks inside (line ends are CRLF where the header's is, else LF).
 
     A record that never ends is returned line by line with `_unclosed` true, so no text is lost and no
@@ -129,7 +134,7 @@ def read_records(
     file does not take in the file's last line break. A file whose first line is not `header` fails
     the job.
     """
-    lines = _lines(spark, raw_dir, pattern)
+    lines = _lines(spark, raw_dir, pattern, over_bytes)
     placed = lines.join(_splits(lines, max_chars), _SPLIT).withColumn("_inside", _side(F.col("_starts_inside")))
     so_far = Window.partitionBy(*_SPLIT).orderBy("_line").rowsBetween(Window.unboundedPreceding, 0)
     begun = F.last(F.when(~F.col("_inside"), F.col("_line")), ignorenulls=True).over(so_far)

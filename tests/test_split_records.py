@@ -82,9 +82,12 @@ def test_header_drift_fails(tiny_splits, tmp_path):
 
 def test_large_files_choose_the_split_reader(tiny_splits, tmp_path, monkeypatch):
     (tmp_path / "CAvideos.csv").write_text(csv_text(sample_rows("CA"), ['v1,"opened', *["x" * 20] * 100]))
-    monkeypatch.setattr(observations, "SPLIT_BYTES", 100)
-    monkeypatch.setattr(split_records.read_records, "__defaults__", (500,))
+    (tmp_path / "USvideos.csv").write_text(csv_text(sample_rows("US")))
+    monkeypatch.setattr(observations, "SPLIT_BYTES", 1000)
+    monkeypatch.setattr(split_records.read_records, "__defaults__", (0, 500))
     landed = observations.read_landing(tiny_splits, str(tmp_path))
-    assert landed.filter("_parse_status = 'unclosed'").count() == 101
-    assert observations.accepted(landed).count() == 2
-    assert observations.rejects(landed).filter("_corrupt_record is null").count() == 0
+    # only the large file goes through the split reader, and no row is read twice
+    classes = collections.Counter((r._source_file, r._parse_status) for r in landed.collect())
+    assert classes == {("CAvideos.csv", "unclosed"): 101, ("CAvideos.csv", "ok"): 2, ("USvideos.csv", "ok"): 2}
+    assert len(observations.accepted(landed).collect()) == 4
+    assert all(r._corrupt_record for r in observations.rejects(landed).collect())
