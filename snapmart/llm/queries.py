@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import mixing, sentencepiece_bpe, token_files
+from snapmart.llm import mixing, near_duplicates, sentencepiece_bpe, token_files
 from snapmart.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
     written = token_files.write_files(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), folder, END_ID)
@@ -47,7 +52,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op6_token_files, op7_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_near_duplicates, op6_token_files, op7_mixing)}
 
 _OP7 = """
 WITH d AS (
