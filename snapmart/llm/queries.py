@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import mixing, near_duplicates, sentencepiece_bpe, token_files
+from snapmart.llm import language_id, mixing, near_duplicates, sentencepiece_bpe, token_files, toxicity
 from snapmart.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,21 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, vocabulary = table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model")
+    held_out = F.coalesce(language_id.bucket(F.col("doc_id"), 3) == 1, F.lit(True))
+    model = language_id.learn(docs.filter(~held_out), vocabulary)
+    found = language_id.identify(docs, model, vocabulary)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), F.coalesce(language_id.bucket(F.col("doc_id"), 5) == 0, F.lit(True))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    scored = model.score(docs)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
     written = token_files.write_files(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), folder, END_ID)
@@ -52,7 +67,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_near_duplicates, op6_token_files, op7_mixing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_near_duplicates, op4_language_id, op5_toxicity, op6_token_files, op7_mixing)}
 
 _OP7 = """
 WITH d AS (
