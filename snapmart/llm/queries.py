@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import language_id, mixing, near_duplicates, sentencepiece_bpe, token_files, toxicity
+from snapmart.llm import language_id, mixing, near_duplicates, repetition, sentencepiece_bpe, token_files, toxicity
 from snapmart.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,7 +67,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_near_duplicates, op4_language_id, op5_toxicity, op6_token_files, op7_mixing)}
+def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = repetition.measure(table(spark, sf_dir, "documents"))
+    failed = repetition.base_failed()
+    base = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return measured.select(*base, failed.alias("base_failed"), (~failed & ~repetition.repetitive()).alias("kept"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_near_duplicates, op4_language_id, op5_toxicity, op6_token_files, op7_mixing, op8_repetition)}
 
 _OP7 = """
 WITH d AS (
@@ -93,4 +100,28 @@ SELECT doc_id, size, source_size, target,
 FROM m
 """
 
-ORACLE: dict[str, str] = {"op7_mixing": _OP7}
+_OP8 = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT k, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM d),
+n AS (SELECT k, len(w) AS n_words, unnest(range(1, len(w) + 1)) AS p, w FROM w),
+g AS (SELECT k, p, n_words, [w[p], w[p + 1], w[p + 2], w[p + 3], w[p + 4]] AS five, list_slice(w, p, p + 9) AS ten,
+             CASE WHEN p + 50 <= n_words THEN md5(array_to_string(list_slice(w, p, p + 50), ' ')) END AS beyond FROM n),
+c AS (SELECT k, p, n_words, p + 4 <= n_words AND count(*) OVER (PARTITION BY k, five) > 1 AS five,
+             p + 9 <= n_words AND count(*) OVER (PARTITION BY k, ten) > 1 AS ten,
+             beyond IS NOT NULL AND count(*) OVER (PARTITION BY k, beyond) > 1 AS beyond FROM g),
+m AS (SELECT k, p, bool_or(five) OVER (PARTITION BY k ORDER BY p ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS in_five,
+             bool_or(ten) OVER (PARTITION BY k ORDER BY p ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS in_ten, beyond FROM c),
+r AS (SELECT k, count(*) FILTER (in_five) AS n5, count(*) FILTER (in_ten) AS n10, bool_or(beyond) AS beyond FROM m GROUP BY k),
+l AS (SELECT k, unnest(string_split(t, chr(10))) AS line FROM d),
+u AS (SELECT k, count(*) - count(DISTINCT line) AS dup FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY k),
+x AS (SELECT w.doc_id, len(w.w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup, 0)::BIGINT AS n_dup_lines,
+             coalesce(n5, 0)::BIGINT AS n_repeat_words, coalesce(n10, 0) AS n10, coalesce(beyond, false) AS beyond
+      FROM w LEFT JOIN r USING (k) LEFT JOIN u USING (k))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (100 * n10 > 20 * n_words OR beyond) AS kept
+FROM x
+"""
+
+ORACLE: dict[str, str] = {"op7_mixing": _OP7, "op8_repetition": _OP8}
