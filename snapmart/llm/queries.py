@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import language_id, mixing, near_duplicates, repetition, sentencepiece_bpe, token_files, toxicity
+from snapmart.llm import language_id, mixing, near_duplicates, repetition, sentencepiece_bpe, suffix_dedup, token_files, toxicity
 from snapmart.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,7 +74,12 @@ def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select(*base, failed.alias("base_failed"), (~failed & ~repetition.repetitive()).alias("kept"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_near_duplicates, op4_language_id, op5_toxicity, op6_token_files, op7_mixing, op8_repetition)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_near_duplicates, op4_language_id, op5_toxicity, op6_token_files, op7_mixing, op8_repetition, op10_suffix_dedup)}
 
 _OP7 = """
 WITH d AS (
@@ -124,4 +129,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM x
 """
 
-ORACLE: dict[str, str] = {"op7_mixing": _OP7, "op8_repetition": _OP8}
+_OP10 = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents),
+s AS (SELECT k, unnest(range(1, (len(t) // 2 - 198)::BIGINT)) AS p, t FROM d WHERE len(t) >= 400),
+g AS (SELECT k, p, md5(substr(t, 2 * p - 1, 400)) AS x FROM s),
+r AS (SELECT k, p FROM (SELECT *, count(*) OVER (PARTITION BY x) AS n FROM g) WHERE n > 1),
+b AS (SELECT *, coalesce(p > max(p) OVER (PARTITION BY k ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 200, true) AS new FROM r),
+i AS (SELECT *, sum(new::INT) OVER (PARTITION BY k ORDER BY p) AS i FROM b),
+o AS (SELECT k, i, min(p) AS lo, max(p) + 199 AS hi FROM i GROUP BY k, i),
+e AS (SELECT k, lo, hi, coalesce(lag(hi) OVER (PARTITION BY k ORDER BY lo), 0) AS before, row_number() OVER (PARTITION BY k ORDER BY lo DESC) = 1 AS last FROM o),
+q AS (SELECT k, count(*) AS n_spans, sum(hi - lo + 1) AS n_removed,
+             string_agg(substr(t, 2 * before + 1, 2 * (lo - before - 1)), '' ORDER BY lo) || max(CASE WHEN last THEN substr(t, 2 * hi + 1) ELSE '' END) AS kept
+      FROM e JOIN d USING (k) GROUP BY k)
+SELECT doc_id, (len(t) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, t))) AS kept_sha256
+FROM d LEFT JOIN q USING (k)
+"""
+
+ORACLE: dict[str, str] = {"op7_mixing": _OP7, "op8_repetition": _OP8, "op10_suffix_dedup": _OP10}
