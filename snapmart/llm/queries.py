@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import language_id, mixing, near_duplicates, repetition, sentencepiece_bpe, suffix_dedup, token_files, toxicity
+from snapmart.llm import language_id, mixing, near_duplicates, repetition, rotated_codes, sentencepiece_bpe, suffix_dedup, token_files, toxicity
 from snapmart.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,12 +74,17 @@ def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select(*base, failed.alias("base_failed"), (~failed & ~repetition.repetitive()).alias("kept"))
 
 
+def op9_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, means = rotated_codes.build_index(table(spark, sf_dir, "embeddings"))
+    return rotated_codes.search(index, means, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_near_duplicates, op4_language_id, op5_toxicity, op6_token_files, op7_mixing, op8_repetition, op10_suffix_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_near_duplicates, op4_language_id, op5_toxicity, op6_token_files, op7_mixing, op8_repetition, op9_rotated_codes, op10_suffix_dedup)}
 
 _OP7 = """
 WITH d AS (
@@ -129,6 +134,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM x
 """
 
+_OP9 = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT q.r, q.vec_id AS query_id, v.r AS other, v.vec_id,
+             list_reduce(list_transform(range(1, len(v.e) + 1), lambda i: q.e[i] * v.e[i]), lambda x, y: x + y) AS score
+      FROM v q JOIN v ON q.r <> v.r AND len(q.e) = len(v.e) WHERE q.vec_id % 20 = 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other) AS rank FROM p)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM n WHERE rank <= 20
+"""
+
 _OP10 = """
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents),
 s AS (SELECT k, unnest(range(1, (len(t) // 2 - 198)::BIGINT)) AS p, t FROM d WHERE len(t) >= 400),
@@ -146,4 +161,4 @@ SELECT doc_id, (len(t) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT
 FROM d LEFT JOIN q USING (k)
 """
 
-ORACLE: dict[str, str] = {"op7_mixing": _OP7, "op8_repetition": _OP8, "op10_suffix_dedup": _OP10}
+ORACLE: dict[str, str] = {"op7_mixing": _OP7, "op8_repetition": _OP8, "op9_rotated_codes": _OP9, "op10_suffix_dedup": _OP10}
