@@ -27,6 +27,11 @@ def text_table(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[col(n) for n in names])
 
 
+def with_text(df: DataFrame, keep: Iterable[str], text: str) -> DataFrame:
+    """The columns `keep`, numbered, and the text, so that neither names nor a text kept twice can clash."""
+    return df.select(*[col(n).alias(f"_{k}") for k, n in enumerate(keep)], col(text).alias("_text"))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that driver and executors share: below `spark.checkpoint.dir`.
 

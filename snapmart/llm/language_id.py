@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from snapmart.llm.common import chunks, col, map_batches, shared_folder, staged, text_table
+from snapmart.llm.common import chunks, col, map_batches, shared_folder, staged, text_table, with_text
 
 UNDETERMINED = "und"
 #: Labelled rows learned from, per language.
@@ -207,11 +207,11 @@ def learn(labelled: DataFrame, model_path: str, sample: int = SAMPLE, doc_id: st
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], model_path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` with lang_pred and score, the predicted language's share of the text's probability."""
     langs, theta = model
-    source = text_table(docs, *keep, text)
     if not langs:
-        return source.select(*keep, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return text_table(docs, *keep).select("*", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    source = with_text(docs, keep, text)
     shared = docs.sparkSession.sparkContext.broadcast(theta)  # pieces by languages
-    fields = [source.schema[k] for k in keep]
+    fields = source.schema.fields[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model_path, shared.value)
@@ -222,9 +222,10 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], model_path: s
                 best = sums.argmax(axis=1)
                 share = 1.0 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
                 names = [langs[b] if y else UNDETERMINED for b, y in zip(best, lettered, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(names, pa.string()), pa.array(np.where(lettered, share, 0.0))], names=[*keep, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(names, pa.string()), pa.array(np.where(lettered, share, 0.0))], names=[*[f.name for f in fields], "lang_pred", "score"])
 
-    return map_batches(source, run, T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return map_batches(source, run, schema).toDF(*keep, "lang_pred", "score")
 
 
 _SCORERS: dict[bytes, Scorer] = {}

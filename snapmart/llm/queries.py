@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import language_id, mixing, near_duplicates, repetition, rotated_codes, sentencepiece_bpe, suffix_dedup, token_files, toxicity
+from snapmart.llm import language_id, mixing, near_duplicates, repetition, rotated_codes, sentencepiece_bpe, suffix_dedup, token_files, toxicity, url_filter
 from snapmart.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), model).drop("probability")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, vocabulary = table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model")
     held_out = F.coalesce(language_id.bucket(F.col("doc_id"), 3) == 1, F.lit(True))
@@ -84,7 +89,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_near_duplicates, op4_language_id, op5_toxicity, op6_token_files, op7_mixing, op8_repetition, op9_rotated_codes, op10_suffix_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_near_duplicates, op3_url_filter, op4_language_id, op5_toxicity, op6_token_files, op7_mixing, op8_repetition, op9_rotated_codes, op10_suffix_dedup)}
 
 _OP7 = """
 WITH d AS (

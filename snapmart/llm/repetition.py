@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmart.llm.common import map_batches, text_table
+from snapmart.llm.common import map_batches, with_text
 
 #: A repeat for the base rule, in words, and the percentage of words in such repeats that it allows.
 WINDOW, MOST_PERCENT = 5, 20
@@ -127,7 +127,7 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` with the measures of each whole text."""
-    source = text_table(docs, *keep, text)
+    source = with_text(docs, keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,10 +138,11 @@ def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
                 if len(rows):
                     part = batch.slice(int(rows[0]), len(rows))
                     got = _measure([t or b"" for t in texts[int(rows[0]) : int(rows[-1]) + 1].to_pylist()])
-                    yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *map(pa.array, got.T)], names=[*keep, *MEASURES])
+                    yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *map(pa.array, got.T)], names=[*names, *MEASURES])
 
-    schema = T.StructType([*[source.schema[k] for k in keep], *[T.StructField(m, T.LongType()) for m in MEASURES]])
-    return map_batches(source, run, schema)
+    names = source.columns[:-1]
+    schema = T.StructType([*source.schema.fields[:-1], *[T.StructField(m, T.LongType()) for m in MEASURES]])
+    return map_batches(source, run, schema).toDF(*keep, *MEASURES)
 
 
 def base_failed() -> Column:

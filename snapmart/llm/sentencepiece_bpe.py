@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from snapmart.llm.common import Memo, chunks, map_batches, text_table
+from snapmart.llm.common import Memo, chunks, map_batches, with_text
 
 MARK = "▁"
 #: Remembered pieces of text per generation and worker, about 200 bytes each.
@@ -189,7 +189,7 @@ def encode_and_decode(df: DataFrame, model_path: str, text: str = "text", keep:
 
     `model_path` is a file that every worker has.
     """
-    source = text_table(df, *keep, text)
+    source = with_text(df, keep, text)
     schema = T.StructType(
         [*source.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("decoded", T.StringType(), False)]
     )
@@ -209,4 +209,4 @@ def encode_and_decode(df: DataFrame, model_path: str, text: str = "text", keep:
                     schema=pa.schema([*[part.schema.field(i) for i in range(len(keep))], pa.field("ids", pa.list_(pa.field("element", pa.int32(), False)), False), pa.field("decoded", pa.string(), False)]),
                 )
 
-    return map_batches(source, run, schema)
+    return map_batches(source, run, schema).toDF(*keep, "ids", "decoded")

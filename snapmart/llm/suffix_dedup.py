@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmart.llm.common import chunks, col, map_batches, shared_folder, staged, text_table
+from snapmart.llm.common import chunks, col, map_batches, shared_folder, staged, text_table, with_text
 
 LENGTH = 200
 #: Bytes of the strings whose smallest hash deals out longer ones.
@@ -371,9 +371,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text: str = "text") ->
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` with n_bytes, n_removed, n_spans and kept (the remaining bytes)."""
     spans = repeated_spans(docs, length, text)
-    source = text_table(docs, *keep, text)
-    kinds = [T.StructField(f"_{k}", source.schema[c].dataType) for k, c in enumerate(keep)]
-    rows = source.select(*[col(c).alias(f"_{k}") for k, c in enumerate(keep)], col(text).alias("_text"), text_key(col(text)).alias("key"))
+    source = with_text(docs, keep, text)
+    kinds = source.schema.fields[:-1]
+    rows = source.withColumn("key", text_key(F.col("_text")))
     joined = rows.join(spans, "key", "left").select(*[f.name for f in kinds], "_text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from snapmart.llm.common import chunks, col, map_batches, shared_folder, staged, text_table
+from snapmart.llm.common import chunks, col, map_batches, shared_folder, staged, text_table, with_text
 
 #: Labelled rows learned from, at most.
 SAMPLE = 20_000
@@ -134,8 +134,8 @@ def _features(lexicon: dict[str, float]) -> Features:
 
 
 def featurise(docs: DataFrame, lexicon: dict[str, float], keep: tuple[str, ...], text: str = "text") -> DataFrame:
-    """The columns `keep` with the vector `features`."""
-    source = text_table(docs, *keep, text)
+    """The columns `keep`, numbered, with the vector `features`."""
+    source = with_text(docs, keep, text)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # at most ENTRIES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,10 +145,11 @@ def featurise(docs: DataFrame, lexicon: dict[str, float], keep: tuple[str, ...],
                 part = batch.slice(rows[0], len(rows))
                 got = table.texts(part.column(len(keep)).to_pylist())
                 offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(FEATURES))
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.ListArray.from_arrays(offsets, pa.array(got.ravel()))], names=[*keep, "f"])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.ListArray.from_arrays(offsets, pa.array(got.ravel()))], names=[*names, "f"])
 
-    schema = T.StructType([*[source.schema[k] for k in keep], T.StructField("f", T.ArrayType(T.DoubleType()))])
-    return map_batches(source, run, schema).select(*keep, array_to_vector("f").alias("features"))
+    names = source.columns[:-1]
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("f", T.ArrayType(T.DoubleType()))])
+    return map_batches(source, run, schema).select(*names, array_to_vector("f").alias("features"))
 
 
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:
@@ -184,9 +185,10 @@ class Model:
         """The columns `keep` with the score, 0 to 1."""
         if self.trees is None:
             return text_table(docs, *keep).withColumn("score", F.lit(0.0))
-        scored = self.trees.transform(featurise(docs, self.lexicon, keep, text)).select(*keep, _raw("probability").alias("raw"))
+        names = [f"_{k}" for k in range(len(keep))]
+        scored = self.trees.transform(featurise(docs, self.lexicon, keep, text)).select(*names, _raw("probability").alias("raw"))
         scored = self.calibration.transform(scored)
-        return scored.select(*keep, F.greatest(F.lit(0.0), F.least(F.lit(1.0), "prediction")).alias("score"))
+        return scored.select(*names, F.greatest(F.lit(0.0), F.least(F.lit(1.0), "prediction"))).toDF(*keep, "score")
 
 
 def _raw(probability: str) -> Column:
@@ -203,7 +205,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     rows = texts.join(F.broadcast(marked), "doc_id").withColumn("part", F.pmod(turn, F.lit(6)))
     rows = staged(rows.select("text", "label", "part"), shared_folder(spark), "labelled")
     lexicon = learn_lexicon(rows.filter("part < 3").select("text", "label"))
-    seen = staged(featurise(rows.filter("part >= 3"), lexicon, ("label", "part")), shared_folder(spark), "features")
+    seen = staged(featurise(rows.filter("part >= 3"), lexicon, ("label", "part")).toDF("label", "part", "features"), shared_folder(spark), "features")
     counts = {(r["cal"], r["label"]): r["n"] for r in seen.groupBy((F.col("part") == 5).alias("cal"), "label").agg(F.count("*").alias("n")).collect()}
     if any(counts.get((part, label), 0) < LEAST for part in (False, True) for label in (0, 1)):
         return Model(lexicon, None, None)
