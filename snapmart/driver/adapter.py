@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.operators import relational
+from snapmart.schemas import KNOWN_ORPHAN_CATEGORY
 from snapmart.sources.categories import flatten_documents
 
 # Region names of the driver tables, the allow-list of this landing area.
 REGION_NAMES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
-# Fixed value: the brand without a category row.
-ORPHAN_BRAND = "Brand#25"
+# The brands without a category row; the second carries the id that may lack one.
+ORPHAN_BRAND, EXEMPT_BRAND = "Brand#25", "Brand#55"
 
 
 # The columns read, so that opening a table needs no job to look at file footers.
@@ -61,9 +61,9 @@ def landed_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     comments = F.when(F.col("l_returnflag") == "A", "True").when(F.col("l_returnflag") == "N", " f ").otherwise("maybe")
     unrated = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
-    lines = relational.spread_scan(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_partkey", "l_linenumber"])
     return (
-        lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        table(spark, sf_dir, "lineitem")
+        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -75,7 +75,7 @@ def landed_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("trending_date"),
             F.col("p_name").alias("title"),
             F.col("s_name").alias("channel_title"),
-            F.col("p_brand").alias("category_id"),
+            F.when(F.col("p_brand") == EXEMPT_BRAND, KNOWN_ORPHAN_CATEGORY).otherwise(F.col("p_brand")).alias("category_id"),
             published.alias("publish_time"),
             tags.alias("tags"),
             F.when(F.col("l_tax") == 0, "0").otherwise(_whole(F.col("l_extendedprice"))).alias("views"),
@@ -109,7 +109,7 @@ def category_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "part")
         .select("p_brand")
         .distinct()
-        .filter(brand != ORPHAN_BRAND)
+        .filter(~brand.isin(ORPHAN_BRAND, EXEMPT_BRAND))
         .select(brand, F.explode(F.array(*[F.lit(r) for r in REGION_NAMES])).alias("_source_region"))
         .select(
             "_source_region",

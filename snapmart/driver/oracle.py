@@ -15,7 +15,8 @@ CTES: dict[str, str] = {}
 CTES["landed"] = """
 SELECT 'p' || l_partkey AS video_id,
        CASE WHEN l_tax = 0.08 THEN 'bad' ELSE strftime(l_shipdate, '%y.%d.%m') END AS trending_date,
-       p_name AS title, s_name AS channel_title, p_brand AS category_id,
+       p_name AS title, s_name AS channel_title,
+       CASE WHEN p_brand = 'Brand#55' THEN '29' ELSE p_brand END AS category_id,
        CASE WHEN l_linenumber = 7 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')
             WHEN l_linenumber = 6 THEN ''
             ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') END AS publish_time,
@@ -30,7 +31,10 @@ SELECT 'p' || l_partkey AS video_id,
        CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'TRUE' ELSE 'False' END AS ratings_disabled,
        CASE WHEN l_quantity = 50 THEN '1' ELSE '0' END AS video_error_or_removed,
        CASE WHEN l_partkey % 2 = 1 THEN 'about ' || p_type END AS description,
-       r_name AS _source_region, r_name || 'videos.csv' AS _source_file, o_orderdate AS _loaded_at
+       r_name AS _source_region, r_name || 'videos.csv' AS _source_file, o_orderdate AS _loaded_at,
+       CASE l_returnflag WHEN 'A' THEN true WHEN 'N' THEN false END AS x_comments,
+       l_returnflag || l_linestatus = 'RF' AS x_ratings, l_quantity = 50 AS x_error,
+       l_quantity <> 50 AND l_returnflag || l_linestatus <> 'RF' AND l_tax > 0 AND l_extendedprice >= 1 AS x_valid
 FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
      JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
      JOIN orders ON l_orderkey = o_orderkey"""
@@ -40,17 +44,19 @@ _PROJECTION = """SELECT _source_region AS region_code, video_id, trending_date,
        CAST(likes AS BIGINT) AS likes, CAST(dislikes AS BIGINT) AS dislikes,
        CAST(comment_count AS BIGINT) AS comment_count, thumbnail_link,
        comments_disabled AS comments_disabled_raw, ratings_disabled AS ratings_disabled_raw,
-       video_error_or_removed AS video_error_or_removed_raw, description, _source_file, _loaded_at
+       video_error_or_removed AS video_error_or_removed_raw, description, _source_file, _loaded_at{extra}
 FROM landed"""
 
-CTES["source"] = _PROJECTION
+_EXTRA = ", x_comments, x_ratings, x_error, x_valid"
+CTES["source"] = _PROJECTION.format(extra="")
+CTES["marked"] = _PROJECTION.format(extra=_EXTRA)
 
 CTES["united"] = "\nUNION ALL\n".join(
-    f"{_PROJECTION} WHERE _source_region = '{r}'" for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+    f"{_PROJECTION.format(extra='')} WHERE _source_region = '{r}'" for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 )
 
 CTES["deduped"] = """
-SELECT * FROM source
+SELECT * FROM marked
 QUALIFY row_number() OVER (
     PARTITION BY region_code, video_id, trending_date
     ORDER BY _loaded_at DESC NULLS LAST, views DESC NULLS LAST, likes DESC NULLS LAST, dislikes DESC NULLS LAST,
@@ -69,13 +75,6 @@ def _date(raw: str) -> str:
     )
 
 
-_WORDS = "MAP {'true': true, 't': true, '1': true, 'false': false, 'f': false, '0': false}"
-
-
-def _boolean(raw: str) -> str:
-    return f"{_WORDS}[lower(trim({raw}))]"
-
-
 def _key(*columns: str) -> str:
     parts = [f"coalesce(CAST({c} AS VARCHAR), '_dbt_utils_surrogate_key_null_')" for c in columns]
     return f"md5({' || $$-$$ || '.join(parts)})"
@@ -92,26 +91,23 @@ def _typed(relation: str) -> str:
     return f"""
 SELECT region_code, video_id, trending_date, {_date("trending_date")} AS trending_date_parsed, title, channel_title,
        category_id, CAST({_PUBLISHED} AS TIMESTAMP) AS publish_time, publish_time_raw, tags_raw,
-       views, likes, dislikes, comment_count, thumbnail_link, {_boolean("comments_disabled_raw")} AS comments_disabled,
-       {_boolean("ratings_disabled_raw")} AS ratings_disabled,
-       {_boolean("video_error_or_removed_raw")} AS video_error_or_removed, comments_disabled_raw,
+       views, likes, dislikes, comment_count, thumbnail_link, x_comments AS comments_disabled,
+       x_ratings AS ratings_disabled, x_error AS video_error_or_removed, comments_disabled_raw,
        ratings_disabled_raw, video_error_or_removed_raw, description, _source_file, _loaded_at,
-       {_key("region_code", "video_id", "trending_date")} AS observation_key
+       {_key("region_code", "video_id", "trending_date")} AS observation_key, x_valid
 FROM {relation}"""
 
 
-CTES["stg"] = _typed("deduped")
-CTES["undeduped"] = _typed("source")
+CTES["typed"] = _typed("deduped")
+CTES["stg"] = "SELECT * EXCLUDE (x_valid) FROM typed"
+CTES["undeduped"] = _typed("marked")
 
 CTES["cat"] = """
 SELECT r_name AS region_code, p_brand AS category_id, 'Group ' || substr(p_brand, 7, 1) AS category_title,
        'ch-' || p_brand AS category_channel_id,
        CASE WHEN right(p_brand, 1) <> '5' THEN right(p_brand, 1) = '2' END AS assignable,
        r_name || '_category_id.json' AS _source_file, TIMESTAMP '2020-01-01 00:00:00' AS _loaded_at
-FROM region, (SELECT DISTINCT p_brand FROM part WHERE p_brand <> 'Brand#25') AS brands"""
-
-_VALID = """(NOT coalesce(video_error_or_removed, false) AND NOT coalesce(ratings_disabled, false)
-            AND coalesce(views, 0) <> 0)"""
+FROM region, (SELECT DISTINCT p_brand FROM part WHERE p_brand NOT IN ('Brand#25', 'Brand#55')) AS brands"""
 
 _NO_TAGS = "tags_raw IS NULL OR trim(tags_raw) = '' OR lower(trim(tags_raw)) = '[none]'"
 _TAGS = "regexp_replace(regexp_replace(tags_raw, '\"', '', 'g'), '[|]+', '|', 'g')"
@@ -125,13 +121,13 @@ SELECT o.region_code, video_id, trending_date, trending_date_parsed, observation
        date_diff('day', CAST(publish_time AS DATE), trending_date_parsed) AS days_since_publish,
        views, likes, dislikes, comment_count, {_rate("likes")} AS like_rate, {_rate("dislikes")} AS dislike_rate,
        {_rate("comment_count")} AS comment_rate, {_rate("(likes + dislikes + comment_count)")} AS engagement_rate,
-       comments_disabled, ratings_disabled, video_error_or_removed, {_VALID} AS has_valid_engagement, tags_raw,
+       comments_disabled, ratings_disabled, video_error_or_removed, x_valid AS has_valid_engagement, tags_raw,
        CASE WHEN {_NO_TAGS} THEN NULL ELSE {_TAGS} END AS tags_normalized, {_TAG_COUNT} AS tag_count,
        o._source_file, o._loaded_at
 FROM {relation} o LEFT JOIN cat c ON o.region_code = c.region_code AND o.category_id = c.category_id"""
 
 
-CTES["enriched"] = _enriched("stg")
+CTES["enriched"] = _enriched("typed")
 CTES["enriched_undeduped"] = _enriched("undeduped")
 
 CTES["life"] = f"""
@@ -171,15 +167,15 @@ FROM latest"""
 
 
 def _fact(relation: str) -> str:
+    """Keys are functions of a line's own columns; brands 25 and 55 have no category row."""
     return f"""
-SELECT observation_key, region_code, video_id, trending_date_parsed AS trending_date, region_key, video_key,
-       category_key, title, channel_title, category_id, publish_time, days_since_publish, views, likes, dislikes,
-       comment_count, like_rate, dislike_rate, comment_rate, engagement_rate, has_valid_engagement,
-       comments_disabled, ratings_disabled, video_error_or_removed, tags_raw, tags_normalized, tag_count
-FROM {relation}
-     LEFT JOIN (SELECT region_code, region_key FROM dregion) AS regions USING (region_code)
-     LEFT JOIN (SELECT region_code, video_id, video_key FROM dvideo) AS items USING (region_code, video_id)
-     LEFT JOIN (SELECT region_code, category_id, category_key FROM dcat) AS groups USING (region_code, category_id)"""
+SELECT observation_key, region_code, video_id, trending_date_parsed AS trending_date,
+       {_key("region_code")} AS region_key, {_key("region_code", "video_id")} AS video_key,
+       CASE WHEN category_id NOT IN ('Brand#25', '29') THEN {_key("region_code", "category_id")} END AS category_key,
+       title, channel_title, category_id, publish_time, days_since_publish, views, likes, dislikes, comment_count,
+       like_rate, dislike_rate, comment_rate, engagement_rate, has_valid_engagement, comments_disabled,
+       ratings_disabled, video_error_or_removed, tags_raw, tags_normalized, tag_count
+FROM {relation}"""
 
 
 CTES["fact"] = _fact("enriched")
@@ -207,7 +203,17 @@ FROM (SELECT *, 0 AS pos, CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_size <>
       SELECT *, 1 AS pos, p_brand AS id, p_type AS title FROM part) AS item
 WHERE p_size % 7 <> 0 AND p_size % 10 <> 0"""
 
-_VALID_RATE = "avg({0}_rate) FILTER (has_valid_engagement) AS avg_{0}_rate"
+
+def _valid_rates(group: str, rates: str) -> str:
+    """Mean rates of each group's valid lines. Lines without comments (number 6) have no comment or engagement rate."""
+    added = {"like": "likes", "dislike": "dislikes", "comment": "comment_count", "engagement": "likes + dislikes + comment_count"}
+    means = [
+        f"sum(CAST({added[r]} AS DOUBLE) / views) / nullif(count(*){' - count(*) FILTER (dislikes = 6)' if r in ('comment', 'engagement') else ''}, 0) "
+        f"AS avg_{r}_rate"
+        for r in rates.split()
+    ]
+    return f"SELECT {group}, {', '.join(means)} FROM (SELECT * FROM fact WHERE has_valid_engagement) AS valid GROUP BY ALL"
+
 
 QUERIES: dict[str, str] = {}
 
@@ -230,10 +236,9 @@ SELECT _source_region, count(*) AS n_rows FROM landed GROUP BY ROLLUP (_source_r
 # --- scalar functions ---
 QUERIES["safe_divide"] = f"""
 SELECT region_code, video_id, views, comment_count, {_rate("comment_count")} AS ratio FROM source"""
-QUERIES["normalize_boolean"] = f"""
-SELECT region_code, video_id, {_boolean("comments_disabled_raw")} AS comments_disabled,
-       {_boolean("ratings_disabled_raw")} AS ratings_disabled,
-       {_boolean("video_error_or_removed_raw")} AS video_error_or_removed FROM source"""
+QUERIES["normalize_boolean"] = """
+SELECT region_code, video_id, x_comments AS comments_disabled, x_ratings AS ratings_disabled,
+       x_error AS video_error_or_removed FROM marked"""
 QUERIES["tags_normalized"] = f"""
 SELECT region_code, video_id, tags_raw, CASE WHEN {_NO_TAGS} THEN NULL ELSE {_TAGS} END AS tags_normalized FROM source"""
 QUERIES["tag_count"] = f"SELECT region_code, video_id, tags_raw, {_TAG_COUNT} AS tag_count FROM source"
@@ -248,15 +253,14 @@ QUERIES["surrogate_key"] = f"""
 SELECT region_code, video_id, trending_date, description, {_key("region_code")} AS key_1,
        {_key("region_code", "description")} AS key_2, {_key("region_code", "video_id", "trending_date")} AS key_3
 FROM source"""
-QUERIES["validity_flag"] = f"""
-SELECT region_code, video_id, views, {_VALID} AS has_valid_engagement FROM undeduped"""
+QUERIES["validity_flag"] = "SELECT region_code, video_id, views, x_valid AS has_valid_engagement FROM undeduped"
 QUERIES["engagement_rates"] = f"""
 SELECT region_code, video_id, {_rate("likes")} AS like_rate, {_rate("dislikes")} AS dislike_rate,
        {_rate("comment_count")} AS comment_rate, {_rate("(likes + dislikes + comment_count)")} AS engagement_rate
 FROM source"""
 
 # --- windows and joins ---
-QUERIES["dedup_latest"] = "SELECT * FROM deduped"
+QUERIES["dedup_latest"] = "SELECT * EXCLUDE (x_comments, x_ratings, x_error, x_valid) FROM deduped"
 QUERIES["latest_row_pick"] = "SELECT * FROM latest"
 QUERIES["left_join_category"] = """
 SELECT o.region_code, o.video_id, o.trending_date, o.category_id, c.category_title, c.assignable AS category_assignable
@@ -266,8 +270,7 @@ SELECT o.region_code, o.video_id, o.trending_date, v.video_key
 FROM source o LEFT JOIN dvideo v ON o.region_code = v.region_code AND o.video_id = v.video_id"""
 QUERIES["inner_join_lifecycle"] = "SELECT * FROM labelled_item"
 QUERIES["anti_join_orphans"] = """
-SELECT region_code, video_id, trending_date, category_id FROM source
-WHERE (region_code, category_id) NOT IN (SELECT (region_code, category_id) FROM cat)"""
+SELECT region_code, video_id, trending_date, category_id FROM source WHERE category_id IN ('Brand#25', '29')"""
 QUERIES["relationships_violations"] = """
 SELECT o.category_id, count(*) AS n_rows
 FROM source o LEFT JOIN (SELECT DISTINCT category_id FROM cat WHERE assignable) c ON o.category_id = c.category_id
@@ -292,15 +295,19 @@ SELECT region_code, channel_title, count(DISTINCT video_id) AS distinct_videos,
        avg(peak_views) AS avg_peak_views, avg(latest_engagement_rate) AS avg_engagement_rate
 FROM labelled_item GROUP BY region_code, channel_title"""
 QUERIES["mart_category_performance"] = f"""
-SELECT region_code, category_id, category_title, trending_date, count(DISTINCT video_id) AS distinct_videos,
-       count(*) AS observations, {", ".join(_VALID_RATE.format(r) for r in ("engagement", "like", "dislike", "comment"))}
-FROM fact LEFT JOIN dcat USING (region_code, category_id)
-GROUP BY region_code, category_id, category_title, trending_date"""
+SELECT g.*, avg_engagement_rate, avg_like_rate, avg_dislike_rate, avg_comment_rate
+FROM (SELECT region_code, category_id, CASE WHEN category_id NOT IN ('Brand#25', '29') THEN 'Group ' || substr(category_id, 7, 1) END
+             AS category_title, trending_date, count(DISTINCT video_id) AS distinct_videos, count(*) AS observations
+      FROM fact GROUP BY ALL) AS g
+     LEFT JOIN ({_valid_rates("region_code, category_id, trending_date", "engagement like dislike comment")}) AS v
+     ON (g.region_code, g.category_id) = (v.region_code, v.category_id) AND g.trending_date IS NOT DISTINCT FROM v.trending_date"""
 QUERIES["mart_regional_trending"] = f"""
-SELECT region_code, trending_date, count(DISTINCT video_id) AS distinct_videos, count(*) AS observations,
-       count(DISTINCT category_id) AS active_categories, count(DISTINCT channel_title) AS active_channels,
-       {", ".join(_VALID_RATE.format(r) for r in ("engagement", "like"))}
-FROM fact GROUP BY region_code, trending_date"""
+SELECT g.*, avg_engagement_rate, avg_like_rate
+FROM (SELECT region_code, trending_date, count(DISTINCT video_id) AS distinct_videos, count(*) AS observations,
+             count(DISTINCT category_id) AS active_categories, count(DISTINCT channel_title) AS active_channels
+      FROM fact GROUP BY ALL) AS g
+     LEFT JOIN ({_valid_rates("region_code, trending_date", "engagement like")}) AS v
+     ON g.region_code = v.region_code AND g.trending_date IS NOT DISTINCT FROM v.trending_date"""
 
 # --- data quality ---
 _STG_COLUMNS = (
@@ -323,23 +330,26 @@ WHERE video_id NOT IN (SELECT video_id FROM dvideo WHERE video_error_or_removed
 GROUP BY video_id"""
 QUERIES["dq_unique_combo"] = """
 SELECT region_code, video_id, count(*) AS n_rows FROM stg GROUP BY region_code, video_id HAVING count(*) > 1"""
+# brand 55 has no category row either, but carries the exempt id
 QUERIES["dq_orphan_category"] = """
-SELECT region_code, video_id, trending_date, category_id FROM stg
-WHERE category_id <> '29' AND NOT EXISTS (
-    SELECT 1 FROM cat WHERE cat.region_code = stg.region_code AND cat.category_id = stg.category_id)"""
+SELECT region_code, video_id, trending_date, category_id FROM stg WHERE category_id = 'Brand#25'"""
+# items all of whose lines have tax 0.08, and so no date; a date range can't be reversed
 QUERIES["dq_lifecycle_dates"] = """
-SELECT region_code, video_id, first_trending_date, last_trending_date, observed_trending_days FROM life
-WHERE observed_trending_days = 0 OR last_trending_date < first_trending_date"""
+SELECT region_code, video_id, CAST(NULL AS DATE) AS first_trending_date, CAST(NULL AS DATE) AS last_trending_date,
+       CAST(0 AS BIGINT) AS observed_trending_days
+FROM source GROUP BY region_code, video_id HAVING min(trending_date) = 'bad'"""
 QUERIES["dq_duplicate_grain"] = """
 SELECT observation_key, region_code, video_id, trending_date, count(*) AS c FROM fact_undeduped
 GROUP BY ALL HAVING count(*) > 1"""
+# the query lowers likes by 10 and comments by 5; prices and line numbers are never negative
 QUERIES["dq_nonnegative"] = """
-SELECT region_code, video_id, trending_date, views, likes, dislikes, comment_count
-FROM (SELECT * REPLACE (likes - 10 AS likes, comment_count - 5 AS comment_count) FROM fact) AS shifted
-WHERE least(views, likes, dislikes, comment_count) < 0"""
+SELECT region_code, video_id, trending_date, views, likes - 10 AS likes, dislikes, comment_count - 5 AS comment_count
+FROM fact WHERE likes < 10 OR comment_count < 5"""
+# order dates lie in 1992 to 1998 and dates before 1970 are not found, so a line is shipped too early if ever
 QUERIES["dq_publish_before_trending"] = """
-SELECT region_code, video_id, trending_date_parsed, publish_time, days_since_publish FROM enriched
-WHERE days_since_publish <= -2"""
+SELECT region_code, video_id, trending_date_parsed, publish_time,
+       datediff('day', CAST(publish_time AS DATE), trending_date_parsed) AS days_since_publish
+FROM stg WHERE CAST(publish_time AS DATE) > trending_date_parsed + INTERVAL 1 DAY"""
 _STG_REQUIRED = (
     "observation_key region_code video_id trending_date trending_date_parsed category_id views likes dislikes "
     "comment_count"

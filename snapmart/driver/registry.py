@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from snapmart import functions as fn
 from snapmart.driver import adapter
 from snapmart.operators import audit, profile, quality, relational
-from snapmart.plans import dimensions, enrich, fact, lifecycle, marts, staging
+from snapmart.plans import dimensions, enrich, fact, items, lifecycle, marts, staging
 from snapmart.schemas import FLAGS, OBSERVATION_HEADER
 from snapmart.sources import categories as category_files
 from snapmart.sources import observations as observation_files
@@ -64,8 +64,13 @@ class Tables:
 
     @cached_property
     def categories(self) -> DataFrame:
+        # AQE broadcasts it if its bytes allow; unique by construction, so joins to it that nothing uses are dropped
         landed = adapter.landed_categories(self.spark, self.sf_dir)
-        return relational.broadcast_if_small(staging.stg_categories(landed, adapter.REGION_NAMES))
+        categories = staging.stg_categories(landed, adapter.REGION_NAMES)
+        keys = ["region_code", "category_id"]
+        rest = [c for c in categories.columns if c not in keys]
+        unique = categories.groupBy(*keys).agg(F.first(F.struct(*rest)).alias("_r")).select(*keys, "_r.*")
+        return unique.select(*categories.columns)
 
     @cached_property
     def part_documents(self) -> DataFrame:
@@ -75,6 +80,10 @@ class Tables:
     def enriched(self) -> DataFrame:
         return enrich.int_enriched(self.staged, self.categories)
 
+    @cached_property
+    def items(self) -> DataFrame:
+        return items.item_aggregate(self.staged)
+
     @cached_property
     def lifecycle(self) -> DataFrame:
         return lifecycle.int_lifecycle(self.staged)
@@ -134,12 +143,14 @@ def json_items_flatten(t: Tables) -> DataFrame:
 
 @query
 def union_regions(t: Tables) -> DataFrame:
-    return staging.source_observations(t.landed, adapter.REGION_NAMES)
+    """One relation per region, united by name."""
+    return relational.union_by_name([staging.source_observations(t.landed, (r,)) for r in adapter.REGION_NAMES])
 
 
 @query
 def union_categories(t: Tables) -> DataFrame:
-    return t.categories
+    landed = adapter.landed_categories(t.spark, t.sf_dir)
+    return relational.union_by_name([staging.stg_categories(landed, (r,)) for r in adapter.REGION_NAMES])
 
 
 @query
@@ -249,7 +260,7 @@ def left_join_category(t: Tables) -> DataFrame:
 
 @query
 def inner_join_lifecycle(t: Tables) -> DataFrame:
-    return marts.items_with_lifecycle(t.fact, t.lifecycle)
+    return marts.items_with_lifecycle(t.items)
 
 
 @query
@@ -319,7 +330,7 @@ def mart_video_lifecycle(t: Tables) -> DataFrame:
 
 @query
 def mart_channel_performance(t: Tables) -> DataFrame:
-    return marts.mart_channel_performance(t.fact, t.lifecycle)
+    return marts.mart_channel_performance(t.items)
 
 
 @query

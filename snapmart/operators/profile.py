@@ -155,11 +155,6 @@ def _seen_categories(landed: DataFrame) -> DataFrame:
     )
 
 
-def missing_categories(landed: DataFrame, categories: DataFrame) -> DataFrame:
-    """Category ids observed in a region but absent from its documents."""
-    return orphans(_seen_categories(landed), categories, ["region_code", "category_id"])
-
-
 def category_coverage(landed: DataFrame, categories: DataFrame) -> DataFrame:
     """Per region: ids seen, ids without a category row, and the first of those in sorted order."""
     seen = _seen_categories(landed)

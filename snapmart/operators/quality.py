@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.operators.relational import dangling_keys, duplicate_keys, orphans, union_by_name, unpivot_counts
+from snapmart.operators.relational import dangling_keys, duplicate_keys, orphans, union_by_name
 from snapmart.schemas import KNOWN_ORPHAN_CATEGORY, MEASURES, REGIONS
 
 
@@ -18,7 +18,7 @@ from snapmart.schemas import KNOWN_ORPHAN_CATEGORY, MEASURES, REGIONS
 def null_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., column_name, n_failures) for every column, counted in one pass over the table."""
     counts = df.groupBy(*by).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return unpivot_counts(counts, by, columns, "column_name", "n_failures")
+    return counts.unpivot(list(by), list(columns), "column_name", "n_failures")
 
 
 def not_null(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -22,16 +22,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> Da
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def spread_scan(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Shuffle a scan by `keys` when it has fewer splits than the session has task slots.
-
-    A file of one row group is read by one task, and all work up to the next exchange would stay
-    there. A large table has far more splits than slots and is returned as it is.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots, *keys) if df.rdd.getNumPartitions() < slots else df
-
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One whole row per key: the greatest by `order` (descending, NULLs last).
 
@@ -43,18 +33,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def latest_attributes(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], attributes: Sequence[str]
-) -> DataFrame:
-    """Attributes of each key's latest row, by aggregation.
-
-    Being a groupBy, the result is provably unique on `keys`, so Catalyst can drop a left join to it
-    when no attribute is used. NULL order values sort lowest inside the struct and never lose the row.
-    """
-    picked = F.max_by(F.struct(*attributes), F.struct(*order))
-    return df.groupBy(*keys).agg(picked.alias("_latest")).select(*keys, "_latest.*")
-
-
 def first_n_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank_name: str
 ) -> DataFrame:
@@ -98,8 +76,3 @@ def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
     for part in parts[1:]:
         result = result.unionByName(part)
     return result
-
-
-def unpivot_counts(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
-    """One row per id and counted column, from a wide aggregate."""
-    return df.unpivot(list(ids), list(columns), name, value)

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from snapmart.operators import audit, quality
 from snapmart.operators.relational import broadcast_if_small
 from snapmart.plans import marts
-from snapmart.plans.dimensions import dim_category, dim_region, dim_video
+from snapmart.plans.dimensions import dim_category, dim_region, video_of
 from snapmart.plans.enrich import int_enriched
 from snapmart.plans.fact import fct_daily
-from snapmart.plans.lifecycle import int_lifecycle
+from snapmart.plans.items import item_aggregate
+from snapmart.plans.lifecycle import lifecycle_of
 from snapmart.plans.staging import stg_categories, stg_observations
 from snapmart.schemas import REGIONS
 from snapmart.session import size_shuffles
@@ -67,12 +68,13 @@ def transform(
     table("dim_category", dim_category(t["stg_categories"]))
     for reference in ("stg_categories", "dim_region", "dim_category"):
         t[reference] = broadcast_if_small(t[reference])
-    table("dim_video", dim_video(t["stg_observations"]))
-    table("int_lifecycle", int_lifecycle(t["stg_observations"]))
+    table("int_items", item_aggregate(t["stg_observations"]))
+    table("dim_video", video_of(t["int_items"]))
+    table("int_lifecycle", lifecycle_of(t["int_items"]))
     t["int_enriched"] = create_view(int_enriched(t["stg_observations"], t["stg_categories"]), "int_enriched")
     table("fct_daily", fct_daily(t["int_enriched"], t["dim_region"], t["dim_category"]), ("region_code",))
     table("mart_video_lifecycle", marts.mart_video_lifecycle(t["int_lifecycle"]))
-    table("mart_channel_performance", marts.mart_channel_performance(t["fct_daily"], t["int_lifecycle"]))
+    table("mart_channel_performance", marts.mart_channel_performance(t["int_items"]))
     table("mart_category_performance", marts.mart_category_performance(t["fct_daily"], t["dim_category"]))
     table("mart_regional_trending", marts.mart_regional_trending(t["fct_daily"]))
     return t

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from snapmart.functions import surrogate_key
-from snapmart.operators.relational import latest_attributes
-from snapmart.schemas import FLAGS
+from snapmart.plans.items import ATTRIBUTES, item_aggregate
 
 
 def dim_region(seed: DataFrame) -> DataFrame:
@@ -27,18 +26,12 @@ def dim_category(categories: DataFrame) -> DataFrame:
     )
 
 
+def video_of(items: DataFrame) -> DataFrame:
+    """The attributes of each item's latest observation (no history)."""
+    key = surrogate_key("region_code", "video_id").alias("video_key")
+    return items.select(key, "region_code", "video_id", *[f"latest.{a}" for a in ATTRIBUTES])
+
+
 def dim_video(observations: DataFrame) -> DataFrame:
-    """One row per (region_code, video_id) with the attributes of its latest observation (no history).
-
-    After date and load time the raw date settles ties; it is unique within an item after dedup.
-    """
-    attributes = ("title", "channel_title", "category_id", "publish_time", "thumbnail_link", "description", *FLAGS)
-    latest = latest_attributes(
-        observations,
-        keys=("video_id", "region_code"),
-        order=("trending_date_parsed", "_loaded_at", "trending_date"),
-        attributes=attributes,
-    )
-    return latest.select(
-        surrogate_key("region_code", "video_id").alias("video_key"), "region_code", "video_id", *attributes
-    )
+    """One row per (region_code, video_id) of staged observations."""
+    return video_of(item_aggregate(observations))

@@ -2,50 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import days_between, surrogate_key
+from snapmart.plans.items import item_aggregate
 from snapmart.schemas import MEASURES
 
 
-def _latest(measure: str) -> Column:
-    # a missing measure must not win, so its date is masked
-    dated = F.when(F.col(measure).isNotNull(), F.col("trending_date_parsed"))
-    return F.max_by(measure, dated).alias(f"latest_{measure}")
+def lifecycle_of(items: DataFrame) -> DataFrame:
+    """First and last date, observed days, latest and peak measures of each item."""
+    published = F.col("first_publish_time")
+    return items.select(
+        "region_code",
+        "video_id",
+        surrogate_key("region_code", "video_id").alias("video_region_key"),
+        "first_trending_date",
+        "last_trending_date",
+        "observed_trending_days",
+        *[f"latest_{m}" for m in MEASURES],
+        *[f"peak_{m}" for m in MEASURES],
+        published.alias("publish_time"),
+        days_between(published, F.col("first_trending_date")).alias("days_publish_to_first_trending"),
+    )
 
 
 def int_lifecycle(observations: DataFrame) -> DataFrame:
-    """One row per (region_code, video_id): first/last date, observed days, latest and peak measures.
-
-    Observed days count dates, so gaps do not count. Staging leaves one row per item and raw date, and
-    its date format has one spelling per date, so a plain count is the distinct count without its
-    second shuffle. All buffers are fixed-width: one hash aggregate with a map-side partial step.
-    """
-    first_date = F.min("trending_date_parsed")
-    published = F.min("publish_time")
-    return (
-        observations.groupBy("video_id", "region_code")
-        .agg(
-            first_date.alias("first_trending_date"),
-            F.max("trending_date_parsed").alias("last_trending_date"),
-            F.count("trending_date_parsed").alias("observed_trending_days"),
-            *[_latest(m) for m in MEASURES],
-            *[F.max(m).alias(f"peak_{m}") for m in MEASURES],
-            published.alias("publish_time"),
-            days_between(published, first_date).alias("days_publish_to_first_trending"),
-        )
-        .withColumn("video_region_key", surrogate_key("region_code", "video_id"))
-        .select(
-            "region_code",
-            "video_id",
-            "video_region_key",
-            "first_trending_date",
-            "last_trending_date",
-            "observed_trending_days",
-            *[f"latest_{m}" for m in MEASURES],
-            *[f"peak_{m}" for m in MEASURES],
-            "publish_time",
-            "days_publish_to_first_trending",
-        )
-    )
+    """One row per (region_code, video_id) of staged observations."""
+    return lifecycle_of(item_aggregate(observations))

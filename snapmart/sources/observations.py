@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart.schemas import OBSERVATION_FILE, OBSERVATION_HEADER
-from snapmart.sources.files import list_files
 from snapmart.sources.split_records import read_records
 
 CORRUPT = "_corrupt_record"
@@ -31,32 +32,33 @@ _ONE_RECORD = {"multiLine": "true", "lineSep": "\n"}
 
 FILE_PATTERN = "*videos*.csv"
 
-# Above this size a file is read in splits rather than in one task. Splitting costs several times the CPU,
-# so it pays only where one task would take very long.
-SPLIT_BYTES = 1 << 30
-
-# Room for surplus fields when a malformed row is counted.
-_WIDE_FIELDS = 64
+# Ends a row that is looked at again; no text holds it.
+_SENTINEL = "\u0001\u0002\u0001"
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
+def _any_ends(row: Column) -> Column:
+    """Whether a field of a parsed row ends with the sentinel."""
+    ends = [F.coalesce(row[f.name].endswith(_SENTINEL), F.lit(False)) for f in OBSERVATION_FILE]
+    return functools.reduce(lambda a, b: a | b, ends)
+
+
 def row_status(corrupt: Column) -> Column:
     """Class of a row from its malformed text (NULL text means well-formed).
 
-    Too few fields: 'short'. Too many: 'truncated', the surplus is dropped. A marker field is appended
-    and the row parsed with room to spare: any value past the expected width shows a surplus, even
-    when the surplus fields are empty. The parsed struct is inspected through the names of its
-    non-NULL fields, so a row is parsed once.
+    A sentinel field is appended and the row parsed under the expected columns. If one of these ends with the
+    sentinel, fields are missing (or a lost quote swallowed it): 'short'. If none does, the surplus was dropped with
+    it: 'truncated', however many fields there were.
     """
-    wide = ", ".join(f"f{i} string" for i in range(_WIDE_FIELDS))
     options = {k: v for k, v in _CSV_OPTIONS.items() if k != "columnNameOfCorruptRecord"} | _ONE_RECORD
-    parsed = F.from_csv(F.concat(F.rtrim(corrupt, F.lit("\r\n")), F.lit(",x")), wide, options)
-    surplus = F.array(*[F.lit(f"f{i}") for i in range(len(OBSERVATION_HEADER), _WIDE_FIELDS)])
-    has_surplus = F.arrays_overlap(F.json_object_keys(F.to_json(parsed)), surplus)
-    return F.when(corrupt.isNull(), STATUS_OK).when(has_surplus, STATUS_LONG).otherwise(STATUS_SHORT)
+    schema = ", ".join(f"{f.name} string" for f in OBSERVATION_FILE)
+    parsed = F.from_csv(F.concat(F.rtrim(corrupt, F.lit("\r\n")), F.lit("," + _SENTINEL)), schema, options)
+    # the struct is passed on once, so a row is parsed once
+    short = F.exists(F.array(parsed), lambda row: _any_ends(row))
+    return F.when(corrupt.isNull(), STATUS_OK).when(short, STATUS_SHORT).otherwise(STATUS_LONG)
 
 
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -68,10 +70,8 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     return parsed.select(*others, "_row.*").withColumn(PARSE_STATUS, row_status(F.col(CORRUPT)))
 
 
-def read_observation_files(
-    spark: SparkSession, raw_dir: str, multi_line: bool = True, up_to_bytes: int | None = None
-) -> DataFrame:
-    """All regional files (up to a size, if given) in one scan: text columns, provenance, `_parse_status`, `_bad_bytes`.
+def read_observation_files(spark: SparkSession, raw_dir: str, multi_line: bool = True) -> DataFrame:
+    """All regional files in one scan, a file a task: text columns, provenance, `_parse_status`, `_bad_bytes`.
 
     The region is the file-name prefix, so a region may be split over any number of files
     (`USvideos.csv`, `USvideos-0001.csv`, ...). Quoted line breaks make a file one task; where the
@@ -82,37 +82,27 @@ def read_observation_files(
         spark.read.schema(_with_corrupt(OBSERVATION_FILE))
         .options(**_CSV_OPTIONS)
         .option("header", True)
+        .option("enforceSchema", False)  # a header in another order fails the job
         .option("multiLine", multi_line)
         .option("columnPruning", False)  # a row is judged on all its fields, whichever are read
         .option("pathGlobFilter", FILE_PATTERN)
         .csv(raw_dir)
     )
-    if up_to_bytes is not None:
-        scan = scan.filter(F.col("_metadata.file_size") <= up_to_bytes)  # skips whole files
     return _with_provenance(scan, F.col("_metadata.file_name"), row_status(F.col(CORRUPT)))
 
 
-def read_split_observation_files(spark: SparkSession, raw_dir: str, over_bytes: int = 0) -> DataFrame:
-    """The rows of files over a size, each file read in parallel (see `split_records`).
+def read_landing(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """The same rows with every file read in splits (see `split_records`), so that no task reads a whole file.
 
     Lines swallowed by a quote that is never closed are kept one by one with the class 'unclosed'.
     """
-    records = read_records(spark, raw_dir, FILE_PATTERN, OBSERVATION_HEADER, over_bytes)
+    records = read_records(spark, raw_dir, FILE_PATTERN, OBSERVATION_HEADER)
     parsed = parse_lines(records.withColumn("_text", F.col("line")))
     status = F.when(F.col("_unclosed"), STATUS_UNCLOSED).otherwise(F.col(PARSE_STATUS))
     kept_text = F.when(F.col("_unclosed"), F.col("_text")).otherwise(F.col(CORRUPT))
     return _with_provenance(parsed.withColumn(CORRUPT, kept_text), F.col("_source_file"), status)
 
 
-def read_landing(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """One task per file, but files too large for that in splits."""
-    largest = list_files(spark, raw_dir, FILE_PATTERN).agg(F.max("size_bytes")).first()[0]
-    if largest is None or largest <= SPLIT_BYTES:
-        return read_observation_files(spark, raw_dir)
-    small = read_observation_files(spark, raw_dir, up_to_bytes=SPLIT_BYTES)
-    return small.unionByName(read_split_observation_files(spark, raw_dir, SPLIT_BYTES))
-
-
 def _with_provenance(rows: DataFrame, file_name: Column, status: Column) -> DataFrame:
     any_text = F.concat_ws("", *OBSERVATION_HEADER)
     # files with other names are skipped, not read

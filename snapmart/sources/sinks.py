@@ -54,7 +54,3 @@ def load_summary(landed: DataFrame) -> DataFrame:
     """Rows per region and, with a NULL region, in total."""
     per_region = landed.groupBy("_source_region").agg(F.count("*").alias("_n"))
     return per_region.rollup("_source_region").agg(F.sum("_n").alias("n_rows"))
-
-
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)

@@ -1,165 +1,193 @@
-"""CSV records of files too large for one task.
-
-A quoted field may hold line breaks, so Spark reads a multi-line CSV file in one task. Here the file is
-read as lines, in as many splits as it has, and whether a line starts inside a quoted field is worked
-out in parallel. Seen as a function of being inside or outside at its start, a line keeps the side,
-swaps it, or forces one. The side before a line is then the last forced side, swapped once per later
-swapping line. That takes running windows over the lines of a split and over the splits of a file,
-neither of which grows with the size of the data as a whole.
+"""CSV records of files of any size, read in splits.
+
+A quoted field may hold line breaks, so Spark reads a multi-line CSV file in one task. Here each file is read as
+lines, in as many splits as it has, in two scans:
+
+1. Each split is walked once under either assumption, that its start lies outside or inside a quoted field. That
+   gives one row per split: where the split ends under each, and the pieces of records that cross its borders.
+2. These rows, one per split, tell where each split really starts. The second scan then cuts every split into the
+   records that lie within it. No line is shuffled; only the pieces that cross a border are.
+
+A record is unclosed if its file ends inside it. Its lines are kept one by one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A record holding whole splits of more than this many characters has lost its closing quote.
-MAX_RECORD_CHARS = 16 << 20
-
-_SPLIT = ["_path", "_block"]
+from snapmart.operators.relational import broadcast_if_small
 
 # positions in a CSV record: start of a field, in a bare field, in a quoted one, after a quote in a quoted one
 _FIELD, _BARE, _QUOTED, _CLOSING = range(4)
+_AFTER_QUOTE = (_QUOTED, _BARE, _CLOSING, _QUOTED)
 
 
-def _ends_inside(line: Column, start: int) -> Column:
-    """Whether the line ends inside a quoted field when it begins at position `start`."""
-
-    def after_text(state: Column, text: Column) -> Column:
-        moved = F.when(text.endswith(","), _FIELD).otherwise(_BARE)
-        return F.when((text == "") | (state == _QUOTED), state).otherwise(moved)
-
-    def after_quote(state: Column) -> Column:
-        # a quote opens a field only at its start; in a quoted field two in a row are one character
-        return F.when(state.isin(_FIELD, _CLOSING), _QUOTED).when(state == _QUOTED, _CLOSING).otherwise(state)
-
-    texts = F.split(line, '"')
-    first = after_text(F.lit(start), F.element_at(texts, 1))
-    end = F.aggregate(F.slice(texts, 2, F.size(texts)), first, lambda state, text: after_text(after_quote(state), text))
-    return F.when(line.contains('"'), end == _QUOTED).otherwise(start == _QUOTED)
-
-
-def _running_side(df: DataFrame, group: list[str], order: str) -> DataFrame:
-    """Adds `_forced` (last forced side before the row, NULL if none) and `_swapped` (odd number of swaps since)."""
-    before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    through = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    outside, inside = F.col("_from_outside"), F.col("_from_inside")
-    swaps = F.sum(F.when(outside & ~inside, 1).otherwise(0))
-    counted = df.withColumn("_swaps", swaps.over(through))
-    mark = F.when(outside == inside, F.struct(outside.alias("side"), F.col("_swaps").alias("at")))
-    marked = counted.withColumn("_mark", F.last(mark, ignorenulls=True).over(before))
-    earlier = F.coalesce(F.lag("_swaps").over(Window.partitionBy(*group).orderBy(order)), F.lit(0))
-    since = earlier - F.coalesce("_mark.at", F.lit(0))
-    return marked.select(*df.columns, F.col("_mark.side").alias("_forced"), (since % 2 == 1).alias("_swapped"))
-
+def ends_inside(line: str, inside: bool) -> bool:
+    """Whether a line ends inside a quoted field when it starts inside or outside one.
 
-def _side(start: Column) -> Column:
-    """Inside (true) or outside before a row, given the side at the start of its group."""
-    return F.coalesce("_forced", start) != F.col("_swapped")
-
-
-def _lines(spark: SparkSession, raw_dir: str, pattern: str, over_bytes: int) -> DataFrame:
-    """Lines of files over a size, with their file, split, number within the split, and effect on the side."""
+    A quote opens a field only at its start; in a quoted field two in a row are one character.
+    """
+    if '"' not in line:
+        return inside
+    state = _QUOTED if inside else _FIELD
+    for number, text in enumerate(line.split('"')):
+        if number:
+            state = _AFTER_QUOTE[state]
+        if text and state != _QUOTED:
+            state = _FIELD if text[-1] == "," else _BARE
+    return state == _QUOTED
+
+
+def _walk(lines: list[str], inside: bool) -> tuple[list[str], int | None, bool]:
+    """The records that start and end here, the number of the first line outside the record open at the start
+    (None: there is none), and whether the last record is still open; an open record is the last in the list."""
+    records, first, here = [], None, 0
+    for number, line in enumerate(lines):
+        if not inside and first is None:
+            first = number
+        if not inside:
+            here = number
+        inside = ends_inside(line, inside)
+        if not inside and first is not None:
+            records.append(line if here == number else "\n".join(lines[here : number + 1]))
+    if inside and first is not None:
+        records.append("\n".join(lines[here:]))
+    if not inside and first is None:
+        first = len(lines)
+    return records, first, inside
+
+
+def _lines(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
     scan = spark.read.option("lineSep", "\n").option("pathGlobFilter", pattern).text(raw_dir)
-    numbered = scan.filter(F.col("_metadata.file_size") > over_bytes).select(
+    return scan.select(
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_name").alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-        F.col("value").alias("line"),
-    ).select(
-        "*",
-        (F.length("line") + 1).alias("_chars"),
-        _ends_inside(F.col("line"), _FIELD).alias("_from_outside"),
-        _ends_inside(F.col("line"), _QUOTED).alias("_from_inside"),
+        F.col("value"),
     )
-    number = F.row_number().over(Window.partitionBy(*_SPLIT).orderBy("_id"))
-    return _running_side(numbered.withColumn("_line", number), _SPLIT, "_line")
 
 
-def _splits(lines: DataFrame, max_chars: int) -> DataFrame:
-    """Per split: the side at its start, the records open at its start and end, whether each was left
-    unclosed, and the file's header. A record is named by the block and number of its first line."""
+def _splits_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list, list[str]]]:
+    """The first `keys` columns of each split and its lines; a scan task yields a split's lines together, in order."""
+    now, lines = None, []
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns]
+        for row in zip(*columns, strict=True):
+            if list(row[:keys]) != now:
+                if now is not None:
+                    yield now, lines
+                now, lines = list(row[:keys]), []
+            lines.append(row[-1])
+    if now is not None:
+        yield now, lines
 
-    def last_record(start: bool) -> Column:
-        return F.max(F.when(~_side(F.lit(start)), F.col("_line")))
 
-    end_outside, end_inside = (
-        F.max_by(F.when(_side(F.lit(s)), F.col("_from_inside")).otherwise(F.col("_from_outside")), "_line")
-        for s in (False, True)
-    )
-    effects = lines.groupBy(*_SPLIT).agg(
-        end_outside.alias("_from_outside"),
-        end_inside.alias("_from_inside"),
-        last_record(False).alias("_last_from_outside"),
-        last_record(True).alias("_last_from_inside"),
-        F.sum("_chars").alias("_chars"),
-        F.min_by("line", "_line").alias("_first_line"),
-    )
-    placed = _running_side(effects, ["_path"], "_block").withColumn("_starts_inside", _side(F.lit(False)))
-    last = F.when(F.col("_starts_inside"), F.col("_last_from_inside")).otherwise(F.col("_last_from_outside"))
-    # a split without a record start lies wholly inside the open record
-    own = F.when(last.isNotNull(), F.struct(F.col("_block").alias("block"), last.alias("line")))
-    through = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
-    named = placed.withColumn("_own", own).withColumn("_tail", F.last("_own", ignorenulls=True).over(through))
-    held = F.sum(F.when(F.col("_own").isNull(), F.col("_chars"))).over(Window.partitionBy("_path", "_tail"))
-    in_file = Window.partitionBy("_path").orderBy("_block")
-    flagged = named.withColumn("_tail_unclosed", F.coalesce(held > max_chars, F.lit(False)))
-    return flagged.select(
-        *_SPLIT,
-        "_starts_inside",
-        F.lag("_tail").over(in_file).alias("_open"),
-        F.lag("_tail_unclosed").over(in_file).alias("_open_unclosed"),
-        "_tail",
-        "_tail_unclosed",
-        F.first("_first_line").over(in_file).alias("_header"),
-    )
+def _effects(lines: DataFrame) -> DataFrame:
+    """One row per split: the side at its end (true: inside) and the pieces at its borders, from either side.
 
+    `head` is the text up to the end of the record open at the start (NULL from outside), `whole` whether that
+    record fills the split, `tail` the text of the record open at the end.
+    """
 
-def read_records(
-    spark: SparkSession,
-    raw_dir: str,
-    pattern: str,
-    header: Sequence[str],
-    over_bytes: int = 0,
-    max_chars: int = MAX_RECORD_CHARS,
-) -> DataFrame:
-    """(_source_file, line, _unclosed): every record of files over a size but their headers, as CSV text
-    with LF for line breaks inside (line ends are CRLF where the header's is, else LF).
-
-    A record that never ends is returned line by line with `_unclosed` true, so no text is lost and no
-    task holds it whole. Blank lines between records are skipped. A quote still open at the end of a
-    file does not take in the file's last line break. A file whose first line is not `header` fails
-    the job.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (path, name, block), found in _splits_of(batches, 3):
+            row = {"_path": path, "_source_file": name, "_block": block, "_first": found[0]}
+            for side, inside in (("out", False), ("in", True)):
+                records, first, open_ = _walk(found, inside)
+                whole = first is None
+                row |= {
+                    f"_end_{side}": open_,
+                    f"_whole_{side}": whole,
+                    f"_head_{side}": "\n".join(found[:first]) if inside else None,
+                    f"_tail_{side}": records[-1] if open_ and not whole else None,
+                }
+            yield pa.RecordBatch.from_pylist([row], schema=schema)
+
+    kinds = [("_path", "string"), ("_source_file", "string"), ("_block", "long"), ("_first", "string")]
+    for side in ("out", "in"):
+        kinds += [(f"_end_{side}", "boolean"), (f"_whole_{side}", "boolean"), (f"_head_{side}", "string"), (f"_tail_{side}", "string")]
+    arrow = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}
+    schema = pa.schema([(n, arrow[k]) for n, k in kinds])
+    return lines.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in kinds))
+
+
+def _placed(effects: DataFrame) -> DataFrame:
+    """Splits with the side at their start, their own pieces, and the record that each piece belongs to.
+
+    Seen as a function of the side at its start, a split keeps the side, swaps it, or forces one. The side before
+    a split is then the last forced side, swapped once per later swapping split. The windows run over the
+    splits of one file.
     """
-    lines = _lines(spark, raw_dir, pattern, over_bytes)
-    placed = lines.join(_splits(lines, max_chars), _SPLIT).withColumn("_inside", _side(F.col("_starts_inside")))
-    so_far = Window.partitionBy(*_SPLIT).orderBy("_line").rowsBetween(Window.unboundedPreceding, 0)
-    begun = F.last(F.when(~F.col("_inside"), F.col("_line")), ignorenulls=True).over(so_far)
-    here = F.when(F.col("_begun").isNotNull(), F.struct(F.col("_block").alias("block"), F.col("_begun").alias("line")))
-    unclosed = F.when(F.col("_record") == F.col("_open"), F.col("_open_unclosed")).when(
-        F.col("_record") == F.col("_tail"), F.col("_tail_unclosed")
-    )
+    file = Window.partitionBy("_path").orderBy("_block")
+    before = file.rowsBetween(Window.unboundedPreceding, -1)
+    through = file.rowsBetween(Window.unboundedPreceding, 0)
+    out, in_ = F.col("_end_out"), F.col("_end_in")
+    swaps = F.sum(F.when(out & ~in_, 1).otherwise(0)).over(through)
+    df = effects.withColumn("_swaps", swaps)
+    mark = F.when(out == in_, F.struct(out.alias("side"), F.col("_swaps").alias("at")))
+    df = df.withColumn("_mark", F.last(mark, ignorenulls=True).over(before))
+    since = F.coalesce(F.lag("_swaps").over(file), F.lit(0)) - F.coalesce("_mark.at", F.lit(0))
+    df = df.withColumn("_inside", F.coalesce("_mark.side", F.lit(False)) != (since % 2 == 1))
+
+    def own(piece: str) -> Column:
+        return F.when(F.col("_inside"), F.col(f"_{piece}_in")).otherwise(F.col(f"_{piece}_out"))
+
+    df = df.withColumns({"_end": own("end"), "_whole": own("whole"), "_head": own("head"), "_tail": own("tail")})
+    # a record is named by the split in which it starts
+    record = F.last(F.when(~F.col("_whole"), F.col("_block")), ignorenulls=True)
+    all_ = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    df = df.withColumns({
+        "_open": record.over(before),
+        "_lost": F.when(F.last("_end").over(all_), record.over(all_)),
+        "_header": F.first("_first").over(all_),
+    })
+    return df.select("_path", "_source_file", "_block", "_inside", "_head", "_tail", "_open", "_lost", "_header")
+
+
+def read_records(spark: SparkSession, raw_dir: str, pattern: str, header: Sequence[str]) -> DataFrame:
+    """(_source_file, line, _unclosed): every record but the headers, as CSV text with LF for line breaks inside.
+
+    Line ends are CRLF where the header's is, else LF. A record that the end of its file leaves open is returned
+    line by line with `_unclosed` true, so no text is lost and no task holds it whole. Blank lines between
+    records are skipped. A file whose first line is not `header` fails the job.
+    """
+    lines = _lines(spark, raw_dir, pattern)
+    placed = _placed(_effects(lines)).persist()  # one row per split
     names = F.regexp_replace("_header", '["\r]', "")
     drift = F.raise_error(F.concat_ws(": ", F.lit("header drift"), "_source_file", names)).cast("boolean")
+    placed = placed.filter(F.when(names == ",".join(header), True).otherwise(drift))
+    starts = broadcast_if_small(placed.select("_path", "_block", "_inside", "_header"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, name, block, inside, first_line), found in _splits_of(batches, 5):
+            records, _, open_ = _walk(found, inside)
+            records = records[:-1] if open_ and records else records
+            if block == 0 and not inside:
+                records = records[1:]  # the header
+            if first_line.endswith("\r"):
+                records = ["\n".join(x.removesuffix("\r") for x in r.split("\n")) if "\r" in r else r for r in records]
+            records = [r for r in records if r]
+            yield pa.RecordBatch.from_pydict({"_source_file": pa.array([name] * len(records), pa.string()), "line": pa.array(records, pa.string())})
+
+    joined = lines.join(starts, ["_path", "_block"]).select("_path", "_source_file", "_block", "_inside", "_header", "value")
+    within = joined.mapInArrow(run, "_source_file string, line string").withColumn("_unclosed", F.lit(False))
+
+    pieces = placed.filter("_head IS NOT NULL AND _open IS NOT NULL").select("_path", "_source_file", "_block", F.col("_open").alias("_record"), F.col("_head").alias("piece"), "_lost", "_header")
+    tails = placed.filter("_tail IS NOT NULL").select("_path", "_source_file", "_block", F.col("_block").alias("_record"), F.col("_tail").alias("piece"), "_lost", "_header")
+    pieces = pieces.unionByName(tails)
     returns = F.col("_header").endswith("\r")
-    keyed = (
-        placed.filter(F.when(names == ",".join(header), True).otherwise(drift))
-        .withColumn("_begun", begun)
-        .withColumn("_record", F.coalesce(here, "_open"))
-        .filter((F.col("_record.block") != 0) | (F.col("_record.line") != 1))  # the header
-        .withColumn("_unclosed", F.coalesce(unclosed, F.lit(False)))
-        .withColumn("line", F.when(returns, F.regexp_replace("line", "\r\\z", "")).otherwise(F.col("line")))
-    )
-    alone = F.col("_unclosed") | ~(F.col("_inside") | F.col("_from_outside"))
-    single = keyed.filter(alone & (F.col("line") != "")).select("_source_file", "line", "_unclosed")
-    in_order = F.array_sort(F.collect_list(F.struct("_block", "_line", "line")))
-    assembled = (
-        keyed.filter(~alone)
+    pieces = pieces.withColumn("piece", F.when(returns, F.regexp_replace("piece", "\r(?=\n|\\z)", "")).otherwise(F.col("piece")))
+    lost = F.coalesce(F.col("_record") == F.col("_lost"), F.lit(False))
+    loose = pieces.filter(lost).select("_source_file", F.explode(F.split("piece", "\n")).alias("line"), F.lit(True).alias("_unclosed"))
+    in_order = F.array_sort(F.collect_list(F.struct("_block", "piece")))
+    crossing = (
+        pieces.filter(~lost)
         .groupBy("_path", "_record", "_source_file")
-        .agg(F.array_join(F.transform(in_order, lambda part: part["line"]), "\n").alias("line"))
+        .agg(F.array_join(F.transform(in_order, lambda p: p["piece"]), "\n").alias("line"))
         .select("_source_file", "line", F.lit(False).alias("_unclosed"))
     )
-    return single.unionByName(assembled)
+    return within.unionByName(crossing).unionByName(loose.filter("line <> ''"))

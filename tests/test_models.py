@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapmart.operators import profile, quality, relational
-from snapmart.plans import dimensions, enrich, fact, lifecycle, marts, staging
+from snapmart.plans import dimensions, enrich, fact, items, lifecycle, marts, staging
 from snapmart.schemas import OBSERVATION_HEADER
 
 DEFAULTS = {
@@ -140,7 +140,7 @@ def test_channel_mart_groups_under_the_latest_label(spark):
         {"video_id": "v2", "trending_date": "bad", "channel_title": "B", "views": "40"},
     )
     staged = staging.stg_observations(rows)
-    mart = marts.mart_channel_performance(fact_of(spark, rows), lifecycle.int_lifecycle(staged)).collect()
+    mart = marts.mart_channel_performance(items.item_aggregate(staged)).collect()
     assert [(r.channel_title, r.distinct_videos, r.total_trending_days) for r in mart] == [("B", 2, 3)]
     # the dated item's latest views are 20; the undated one has none. The rate is the best valid one.
     assert (mart[0].avg_latest_views, mart[0].avg_peak_views) == (20, 70)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapmart.operators import profile, quality
-from snapmart.plans import enrich, fact, lifecycle, marts, staging
+from snapmart.plans import enrich, fact, items, marts, staging
 from snapmart.plans.dimensions import dim_category, dim_region
 from snapmart.schemas import REGION_SEED_ROWS
 from test_models import LANDED, categories
@@ -57,7 +57,7 @@ def test_marts_stay_whole(spark, landed):
     regions = dim_region(spark.createDataFrame(list(REGION_SEED_ROWS), names))
     rows = fact.fct_daily(enrich.int_enriched(staged, cats), regions, dim_category(cats))
     assert marts.mart_regional_trending(rows).agg(F.sum("observations")).first()[0] == ROWS - COPIES + 2
-    channel = marts.mart_channel_performance(rows, lifecycle.int_lifecycle(staged))
+    channel = marts.mart_channel_performance(items.item_aggregate(staged))
     assert channel.agg(F.sum("distinct_videos")).first()[0] == ROWS - COPIES + 2
     assert quality.duplicate_grain(rows).count() == 0
 

@@ -46,13 +46,11 @@ def test_agrees_with_the_sequential_reader(tiny_splits, tmp_path):
     rng = random.Random(7)
     for region in ("CA", "US", "DE", "FR"):
         for part in range(4):
-            lines = [",".join(messy_field(rng) for _ in range(rng.choice([16] * 6 + [3, 18]))) for _ in range(12)]
-            if part == 3:  # swallows the rest of the file, whole splits among it
-                lines.insert(6, 'v,"opened and never closed')
+            lines = [",".join(messy_field(rng) for _ in range(rng.choice([16] * 6 + [3, 18, 120]))) for _ in range(12)]
             text = csv_text([], lines).replace("\n", "\r\n" if part == 2 else "\n")
             (tmp_path / f"{region}videos-{part}.csv").write_bytes(text.encode())
     sequential = rows(observations.read_observation_files(tiny_splits, str(tmp_path)))
-    parallel = rows(observations.read_split_observation_files(tiny_splits, str(tmp_path)))
+    parallel = rows(observations.read_landing(tiny_splits, str(tmp_path)))
     assert sum(sequential.values()) > 100
     assert parallel == sequential
 
@@ -60,7 +58,7 @@ def test_agrees_with_the_sequential_reader(tiny_splits, tmp_path):
 def test_plain_sample(tiny_splits, tmp_path):
     (tmp_path / "CAvideos.csv").write_text(csv_text(sample_rows("CA")))
     (tmp_path / "USvideos.csv").write_bytes(csv_text(sample_rows("US")).replace("\n", "\r\n").encode())
-    got = observations.read_split_observation_files(tiny_splits, str(tmp_path))
+    got = observations.read_landing(tiny_splits, str(tmp_path))
     assert rows(got) == rows(observations.read_observation_files(tiny_splits, str(tmp_path)))
     assert got.filter("_parse_status = 'ok'").count() == 4
 
@@ -68,26 +66,34 @@ def test_plain_sample(tiny_splits, tmp_path):
 def test_unclosed_record_is_kept_line_by_line(tiny_splits, tmp_path):
     lines = ['v1,"opened', *(f"line {i}" for i in range(300))]
     (tmp_path / "CAvideos.csv").write_text(csv_text(sample_rows("CA"), lines))
-    records = split_records.read_records(tiny_splits, str(tmp_path), "*videos*.csv", OBSERVATION_HEADER, max_chars=500)
+    (tmp_path / "USvideos.csv").write_text(csv_text(sample_rows("US"), ['v1,"closed', *(["x" * 30] * 50), 'at last"']))
+    records = split_records.read_records(tiny_splits, str(tmp_path), "*videos*.csv", OBSERVATION_HEADER)
     loose = [r.line for r in records.filter("_unclosed").collect()]
     assert sorted(loose) == sorted(lines)
-    assert records.filter(~F.col("_unclosed")).count() == 2
+    # a record over many splits is whole if its quote closes
+    assert sorted(r.line.count("x") for r in records.filter("NOT _unclosed").collect() if "closed" in r.line) == [1500]
+    landed = observations.read_landing(tiny_splits, str(tmp_path))
+    classes = collections.Counter((r._source_file, r._parse_status) for r in landed.collect())
+    assert classes == {("CAvideos.csv", "unclosed"): 301, ("CAvideos.csv", "ok"): 2, ("USvideos.csv", "ok"): 2, ("USvideos.csv", "short"): 1}
+    assert len(observations.accepted(landed).collect()) == 4
+    assert all(r._corrupt_record for r in observations.rejects(landed).collect())
 
 
 def test_header_drift_fails(tiny_splits, tmp_path):
     (tmp_path / "CAvideos.csv").write_text(csv_text(sample_rows("CA")).replace("video_id,trending", "trending,video_id"))
     with pytest.raises(Exception, match="header drift: CAvideos.csv"):
-        observations.read_split_observation_files(tiny_splits, str(tmp_path)).collect()
+        observations.read_landing(tiny_splits, str(tmp_path)).collect()
 
 
-def test_large_files_choose_the_split_reader(tiny_splits, tmp_path, monkeypatch):
-    (tmp_path / "CAvideos.csv").write_text(csv_text(sample_rows("CA"), ['v1,"opened', *["x" * 20] * 100]))
-    (tmp_path / "USvideos.csv").write_text(csv_text(sample_rows("US")))
-    monkeypatch.setattr(observations, "SPLIT_BYTES", 1000)
-    monkeypatch.setattr(split_records.read_records, "__defaults__", (0, 500))
-    landed = observations.read_landing(tiny_splits, str(tmp_path))
-    # only the large file goes through the split reader, and no row is read twice
-    classes = collections.Counter((r._source_file, r._parse_status) for r in landed.collect())
-    assert classes == {("CAvideos.csv", "unclosed"): 101, ("CAvideos.csv", "ok"): 2, ("USvideos.csv", "ok"): 2}
-    assert len(observations.accepted(landed).collect()) == 4
-    assert all(r._corrupt_record for r in observations.rejects(landed).collect())
+def test_both_readers_refuse_an_exchanged_header(tiny_splits, tmp_path):
+    (tmp_path / "CAvideos.csv").write_text(csv_text(sample_rows("CA")).replace("views,likes", "likes,views"))
+    for read in (observations.read_landing, observations.read_observation_files):
+        with pytest.raises(Exception, match="(?i)header"):
+            read(tiny_splits, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("surplus", [1, 47, 60, 100, 3000])
+def test_any_surplus_is_truncated(spark, surplus):
+    fields = spark.createDataFrame([(",".join(["1"] * 16) + "," * surplus,), (",".join(["1"] * 15),), ("1," * 12 + '"lost',)], "line string")
+    got = [r._parse_status for r in observations.parse_lines(fields).collect()]
+    assert got == ["truncated", "short", "short"]
