@@ -499,20 +499,25 @@ FROM ({_DUPLICATES}) AS d"""
 # --- landing: CSV records and file facts ---
 QUERIES["csv_accepted_rows"] = """
 SELECT _source_region, video_id, trending_date, title || ', "new" ' || dislikes AS title,
-       channel_title || chr(10) || 'line two' AS channel_title, nullif(publish_time, '') AS publish_time,
-       nullif(tags, '') AS tags, views, comment_count, description,
-       CASE WHEN dislikes = '7' THEN 'truncated' ELSE 'ok' END AS _parse_status
+       channel_title || chr(10) || 'line two' AS channel_title, category_id, nullif(publish_time, '') AS publish_time,
+       nullif(tags, '') AS tags, views, likes, dislikes, comment_count, thumbnail_link, comments_disabled,
+       ratings_disabled, video_error_or_removed, description,
+       CASE WHEN dislikes IN ('5', '7') THEN 'truncated' ELSE 'ok' END AS _parse_status
 FROM landed WHERE dislikes <> '6'"""
 QUERIES["csv_rejected_rows"] = """
 SELECT _source_region, CASE dislikes WHEN '6' THEN 'short' ELSE 'truncated' END AS _parse_status, count(*) AS n_rows
-FROM landed WHERE dislikes IN ('6', '7') GROUP BY ALL"""
+FROM landed WHERE dislikes IN ('5', '6', '7') GROUP BY ALL"""
+QUERIES["load_report"] = """
+SELECT _source_region, _source_file, count(*) AS n_rows, count(*) FILTER (dislikes IN ('5', '7')) AS n_truncated,
+       count(*) FILTER (dislikes = '6') AS n_short, CAST(0 AS BIGINT) AS n_unclosed
+FROM landed GROUP BY ALL"""
 QUERIES["audit_file_facts"] = """
 SELECT file, size_bytes, sha256, encoding,
        CASE WHEN pairs > 0 AND 2 * pairs >= feeds THEN 'CRLF' ELSE 'LF' END AS line_ending
 FROM (SELECT file, CAST(octet_length(content) AS BIGINT) AS size_bytes, sha256(content) AS sha256, encoding,
              len(list_filter(bytes, lambda b: b = '0A')) AS feeds,
              len(list_filter(list_zip(bytes, bytes[2:]), lambda p: p[1] = '0D' AND p[2] = '0A')) AS pairs
-      FROM (SELECT *, regexp_extract_all(substr(hex(content), 1, 8192), '..') AS bytes
+      FROM (SELECT *, regexp_extract_all(hex(content), '..') AS bytes
             FROM (SELECT 'doc' || doc_id || '.txt' AS file,
                          CASE WHEN lang = 'de' THEN 'latin-1' ELSE 'utf-8' END AS encoding,
                          CASE WHEN lang = 'de' THEN encode(text) || CAST('\\xFF' AS BLOB)
@@ -521,8 +526,43 @@ FROM (SELECT file, CAST(octet_length(content) AS BIGINT) AS size_bytes, sha256(c
                   FROM documents) AS raw) AS split) AS counted"""
 QUERIES["audit_json_shape"] = """
 SELECT 'part' || p_partkey || '.json' AS file,
-       CASE WHEN p_size % 7 = 0 THEN 'missing top-level ''items'' array' END AS problem
+       CASE WHEN p_partkey % 11 = 0 THEN 'items: entry is no object'
+            WHEN p_partkey % 13 = 0 THEN 'items: entry lacks id or snippet'
+            WHEN p_size % 7 = 0 THEN 'items: no list' END AS problem
 FROM part"""
+_HEADER = ",".join(_SIXTEEN)
+QUERIES["audit_header_drift"] = f"""
+SELECT 's' || s_suppkey AS file,
+       CASE s_suppkey % 5 WHEN 2 THEN 'header drift: ' || chr(65279) || '{_HEADER}'
+            WHEN 3 THEN 'header drift: {_HEADER},extra'
+            WHEN 4 THEN 'header drift: {_HEADER.replace("views,likes", "likes,views")}' END AS problem
+FROM supplier"""
+QUERIES["audit_manifest"] = """
+SELECT 'o' || o_orderkey AS file,
+       CASE WHEN o_orderkey % 7 = 0 THEN 'missing' WHEN o_orderkey % 11 = 0 THEN 'unlisted'
+            WHEN o_orderkey % 3 = 0 THEN 'size differs' WHEN o_orderkey % 5 = 0 THEN 'not hashed'
+            WHEN o_orderkey % 2 = 0 THEN 'hash differs' ELSE 'ok' END AS result
+FROM orders WHERE o_orderkey % 7 <> 0 OR o_orderkey % 11 <> 0"""
+CTES["judged"] = """
+SELECT 'x' || p_partkey || suffix AS file, CASE WHEN p_partkey % 4 = 0 THEN 'extra' ELSE 'ok' END AS status,
+       CASE WHEN p_partkey % 4 = 0 THEN 'warn' WHEN p_size % 7 = 0 THEN 'fail' ELSE 'ok' END AS verdict, p_partkey
+FROM part JOIN (VALUES ('.csv', false), ('-1.csv', true), ('-2.csv', true)) AS s(suffix, in_parts)
+     ON (p_partkey % 5 = 0) = in_parts WHERE p_partkey % 3 <> 0"""
+QUERIES["audit_verdicts"] = """
+SELECT file, status, verdict FROM judged
+UNION ALL SELECT 'x' || p_partkey || '.csv', 'missing', 'fail' FROM part WHERE p_partkey % 3 = 0 AND p_partkey % 4 <> 0"""
+QUERIES["audit_totals"] = """
+SELECT 'csv' AS type, count(*) AS n_files, CAST(sum(p_partkey) AS BIGINT) AS total_bytes FROM judged"""
+QUERIES["loaded_totals"] = """
+SELECT 'observations' AS subject, (SELECT count(*) FROM lineitem) AS n_rows
+UNION ALL SELECT 'categories', (SELECT count(DISTINCT p_brand) * 5 FROM part WHERE p_brand NOT IN ('Brand#25', 'Brand#55'))"""
+QUERIES["dq_rules_report"] = f"""
+SELECT 'stg_observations' AS table_name, 'orphan_categories' AS check_name, '' AS column_name, count(*) AS n_failures
+FROM ({QUERIES["dq_orphan_category"]}) AS a
+UNION ALL SELECT 'int_lifecycle', 'lifecycle_dates', '', count(*) FROM ({QUERIES["dq_lifecycle_dates"]}) AS b
+UNION ALL SELECT 'fct_daily', 'duplicate_grain', '', 0
+UNION ALL SELECT 'fct_daily', 'negative_measures', '', 0
+UNION ALL SELECT 'int_enriched', 'published_after_trending', '', count(*) FROM ({QUERIES["dq_publish_before_trending"]}) AS c"""
 
 # --- presentation: which result columns leave as text and which are rounded ---
 _STAGED_TEMPORAL = "trending_date_parsed publish_time _loaded_at"

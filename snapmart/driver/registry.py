@@ -498,7 +498,7 @@ def profile_totals(t: Tables) -> DataFrame:
 
 def _csv_records(t: Tables) -> DataFrame:
     """Landed rows as CSV text with quoted commas, quotes and line breaks; rows with 6 dislikes lose
-    their last fields and rows with 7 gain some."""
+    their last fields, rows with 7 gain some, and rows with 5 a hundred empty ones."""
 
     def quoted(text: F.Column) -> F.Column:
         return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
@@ -512,6 +512,7 @@ def _csv_records(t: Tables) -> DataFrame:
     line = (
         F.when(dislikes == "6", F.concat_ws(",", *fields[:12]))
         .when(dislikes == "7", F.concat_ws(",", *fields, F.lit(""), F.lit("surplus")))
+        .when(dislikes == "5", F.concat_ws(",", *fields, F.lit("," * 99)))
         .otherwise(F.concat_ws(",", *fields))
     )
     return t.landed.select("_source_region", line.alias("line"))
@@ -521,10 +522,7 @@ def _csv_records(t: Tables) -> DataFrame:
 def csv_accepted_rows(t: Tables) -> DataFrame:
     parsed = observation_files.parse_lines(_csv_records(t))
     kept = parsed.filter(F.col(observation_files.PARSE_STATUS).isin(*observation_files.ACCEPTED))
-    return kept.select(
-        "_source_region", "video_id", "trending_date", "title", "channel_title", "publish_time", "tags", "views",
-        "comment_count", "description", observation_files.PARSE_STATUS,
-    )
+    return kept.select("_source_region", *OBSERVATION_HEADER, observation_files.PARSE_STATUS)
 
 
 @query
@@ -550,7 +548,81 @@ def audit_file_facts(t: Tables) -> DataFrame:
 
 @query
 def audit_json_shape(t: Tables) -> DataFrame:
-    bodies = adapter.part_documents(t.spark, t.sf_dir)
-    return bodies.select(
-        F.col("_source_file").alias("file"), audit.json_problem(F.encode("body", "UTF-8")).alias("problem")
+    """Parts as documents; some hold a number for an item, some an item without its snippet."""
+    bodies = adapter.part_documents(t.spark, t.sf_dir).select(F.col("_source_file").alias("file"), "body")
+    number = F.regexp_extract("file", "[0-9]+", 0).cast("bigint")
+    body = F.when(number % 11 == 0, '{"items": [{"id": "1", "snippet": {}}, 1]}').when(number % 13 == 0, '{"items": [{"id": "1"}]}')
+    body = F.coalesce(body, F.col("body"))
+    return bodies.select("file", audit.json_problem(F.encode(body, "UTF-8")).alias("problem"))
+
+
+@query
+def audit_header_drift(t: Tables) -> DataFrame:
+    """Suppliers as files: a plain, a quoted, a marked, a longer header, and one with two names exchanged."""
+    names, kind = list(OBSERVATION_HEADER), F.col("s_suppkey") % 5
+    plain = ",".join(names)
+    line = (
+        F.when(kind == 0, plain)
+        .when(kind == 1, ",".join(f'"{n}"' for n in names))
+        .when(kind == 2, "\ufeff" + plain)
+        .when(kind == 3, plain + ",extra")
+        .otherwise(plain.replace("views,likes", "likes,views"))
     )
+    file = F.concat(F.lit("s"), "s_suppkey").alias("file")
+    return t.raw("supplier").select(file, audit.csv_problem(F.concat(line, F.lit("\r"))).alias("problem"))
+
+
+@query
+def audit_manifest(t: Tables) -> DataFrame:
+    """Orders as files that a manifest lists with some sizes and hashes changed, some left out, some not hashed."""
+    key = F.col("o_orderkey")
+    file, digest = F.concat(F.lit("o"), key).alias("file"), F.concat(F.lit("h"), key)
+    report = t.raw("orders").filter(key % 7 != 0).select(file, key.alias("size_bytes"), F.when(key % 5 != 0, digest).alias("sha256"))
+    listed = t.raw("orders").filter(key % 11 != 0).select(
+        file, F.when(key % 3 == 0, key + 1).otherwise(key).alias("size_bytes"), F.when(key % 2 == 0, F.lit("x")).otherwise(digest).alias("sha256")
+    )
+    return audit.compare_manifest(report, listed)
+
+
+def _judged(t: Tables) -> DataFrame:
+    """Parts as files, some in two numbered parts, some missing, extra or unsound."""
+    key = F.col("p_partkey")
+    name = lambda suffix: F.concat(F.lit("x"), key, F.lit(suffix))
+    expected = t.raw("part").filter(key % 4 != 0).select(name(".csv").alias("file"))
+    files = F.when(key % 5 == 0, F.array(name("-1.csv"), name("-2.csv"))).otherwise(F.array(name(".csv")))
+    facts = t.raw("part").filter(key % 3 != 0).select(
+        F.explode(files).alias("file"), F.lit("csv").alias("type"), key.alias("size_bytes"),
+        F.when(F.col("p_size") % 7 == 0, "unsound").alias("problem"),
+    )
+    return audit.judged(expected, facts)
+
+
+@query
+def audit_verdicts(t: Tables) -> DataFrame:
+    return _judged(t).select("file", "status", "verdict")
+
+
+@query
+def audit_totals(t: Tables) -> DataFrame:
+    return audit.audit_totals(_judged(t))
+
+
+@query
+def loaded_totals(t: Tables) -> DataFrame:
+    return quality.loaded_totals(t.landed, adapter.landed_categories(t.spark, t.sf_dir))
+
+
+@query
+def load_report(t: Tables) -> DataFrame:
+    """Rows and rejects per file, from the landed rows as CSV text."""
+    parsed = observation_files.parse_lines(_csv_records(t)).withColumn("_source_file", F.concat("_source_region", F.lit("videos.csv")))
+    return sinks.load_report(parsed)
+
+
+@query
+def dq_rules_report(t: Tables) -> DataFrame:
+    """The five rules over the driver's models, as the build reports them."""
+    return quality.check_rules({
+        "stg_observations": t.staged, "stg_categories": t.categories, "int_lifecycle": t.lifecycle,
+        "int_enriched": t.enriched, "fct_daily": t.fact,
+    })

@@ -16,15 +16,12 @@ CSV_PATTERN, JSON_PATTERN = "*videos*.csv", "*_category_id*.json"
 # A region's data may come in numbered parts; a part stands for the file without its number.
 _PART_NUMBER = r"-[0-9]+(\.[a-z]+)$"
 
-# Fixed value: line ends are judged on this many leading bytes of a file.
-LINE_END_SAMPLE = 4096
-
 # Keys every category item must have.
 ITEM_KEYS = ("id", "snippet")
 
-# A file is hashed as one value, so a larger one is listed but not read; the loader, which then reads it
-# in splits, checks its header.
-MAX_FILE_BYTES = 1 << 30
+# The whole-file hash needs a file as one value; larger files have the digest of their lines only. No verdict depends
+# on it. A category document is parsed as one value too, so a larger one fails the audit.
+HASHED_BYTES = 1 << 30
 
 
 class LandingError(Exception):
@@ -39,14 +36,18 @@ def encoding(content: Column) -> Column:
     return F.when(F.is_valid_utf8(content), "utf-8").otherwise("latin-1")
 
 
+def _dominant(pairs: Column, feeds: Column) -> Column:
+    """CRLF when at least half of the line feeds follow a carriage return."""
+    return F.when((pairs > 0) & (2 * pairs >= feeds), "CRLF").otherwise("LF")
+
+
 def line_ending(content: Column) -> Column:
-    """CRLF when at least half of the line feeds in the leading bytes follow a carriage return."""
-    head = F.decode(F.substring(content, 1, LINE_END_SAMPLE), "ISO-8859-1")
-    size = F.length(head)
-    feeds = size - F.length(F.replace(head, F.lit("\n")))
-    # a removed pair is two characters, so this is twice the number of pairs
-    twice_pairs = size - F.length(F.replace(head, F.lit("\r\n")))
-    return F.when((twice_pairs > 0) & (twice_pairs >= feeds), "CRLF").otherwise("LF")
+    """Judged on the whole content."""
+    text = F.decode(content, "ISO-8859-1")
+    size = F.length(text)
+    feeds = size - F.length(F.replace(text, F.lit("\n")))
+    # a removed pair is two characters
+    return _dominant((size - F.length(F.replace(text, F.lit("\r\n")))) / 2, feeds)
 
 
 def file_facts(content: Column) -> list[Column]:
@@ -58,9 +59,9 @@ def file_facts(content: Column) -> list[Column]:
     ]
 
 
-def csv_problem(content: Column, header: Sequence[str] = OBSERVATION_HEADER) -> Column:
-    """Why the first line is not the expected header, order included; NULL when it is."""
-    first = F.substring_index(F.substring_index(content.cast("string"), "\n", 1), "\r", 1)
+def csv_problem(line: Column, header: Sequence[str] = OBSERVATION_HEADER) -> Column:
+    """Why a first line is not the expected header, order included; NULL when it is."""
+    first = F.substring_index(F.substring_index(line, "\n", 1), "\r", 1)
     schema = ", ".join([*(f"f{i} string" for i in range(len(header))), "_surplus string"])
     got = F.from_csv(first, schema, {"escape": '"', "columnNameOfCorruptRecord": "_surplus"})
     # the corrupt-record column stays NULL only for exactly the expected number of fields
@@ -71,6 +72,43 @@ def csv_problem(content: Column, header: Sequence[str] = OBSERVATION_HEADER) ->
     return F.when(marked | ~got.eqNullSafe(want), F.concat(F.lit("header drift: "), first))
 
 
+def line_facts(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
+    """Facts of each file of any size from its lines, in one scan and a map-side aggregate.
+
+    encoding, line_ending, first (the first line) and line_digest (a sum of the lines' hashes, whatever their order).
+    The reader drops a byte order mark and a last line feed; both show in the number of bytes.
+    """
+    value, place = F.col("value"), F.struct("_block", "_id")
+    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", pattern).text(raw_dir).select(
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_size").alias("_size"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+        value,
+    )
+    returned = value.endswith("\r")
+    facts = lines.groupBy("file").agg(
+        F.bool_and(F.is_valid_utf8(value)).alias("_valid"),
+        F.count("*").alias("_lines"),
+        F.count_if(returned).alias("_returned"),
+        F.max_by(returned, place).alias("_last_returned"),
+        (F.sum(F.octet_length(value) + 1) - F.max("_size")).alias("_over"),
+        F.min_by(F.when(F.col("_block") == 0, value), place).alias("_first"),
+        F.sum(F.xxhash64(value).cast("decimal(38,0)")).alias("line_digest"),
+    )
+    open_end = F.col("_over").isin(1, -2)  # the last line has no feed
+    marked = F.col("_over") < 0
+    pairs = F.col("_returned") - F.when(open_end & F.col("_last_returned"), 1).otherwise(0)
+    feeds = F.col("_lines") - F.when(open_end, 1).otherwise(0)
+    return facts.select(
+        "file",
+        F.when(F.col("_valid"), "utf-8").otherwise("latin-1").alias("encoding"),
+        _dominant(pairs, feeds).alias("line_ending"),
+        F.when(marked, F.concat(F.lit("\ufeff"), "_first")).otherwise(F.col("_first")).alias("first"),
+        F.col("line_digest").cast("string").alias("line_digest"),
+    )
+
+
 def json_problem(content: Column) -> Column:
     """Why the document is not `{items: [{id, snippet}, ...]}`; NULL when it is."""
     raw_items = F.from_json(content.cast("string"), "items array<string>").getField("items")
@@ -79,9 +117,9 @@ def json_problem(content: Column) -> Column:
         raw_items, lambda i: F.size(F.array_except(F.array(*map(F.lit, ITEM_KEYS)), F.json_object_keys(i))) > 0
     )
     return (
-        F.when(raw_items.isNull(), "missing top-level 'items' array")
-        .when(not_object, "non-object item in items")
-        .when(incomplete, "item without id or snippet")
+        F.when(raw_items.isNull(), "items: no list")
+        .when(not_object, "items: entry is no object")
+        .when(incomplete, f"items: entry lacks {' or '.join(ITEM_KEYS)}")
     )
 
 
@@ -103,28 +141,41 @@ def presence(expected: DataFrame, found: DataFrame) -> DataFrame:
     return set_difference(expected, found, "file")
 
 
-def audit_files(spark: SparkSession, raw_dir: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """One row per found file: size, hash, encoding, line ends, and the structural problem if any.
-
-    A file over `max_bytes` has its size only and `unread` set.
-    """
+def audit_files(spark: SparkSession, raw_dir: str, hashed_bytes: int = HASHED_BYTES) -> DataFrame:
+    """One row per found file: size, encoding, line ends, digest of the lines, columns or items, and the structural
+    problem if any. sha256 is NULL for a file over `hashed_bytes`."""
+    csv = line_facts(spark, raw_dir, CSV_PATTERN)
+    csv = csv.withColumns({"problem": csv_problem(F.col("first")), "n_columns": F.size(F.split("first", ","))})
+    json = line_facts(spark, raw_dir, JSON_PATTERN).withColumns({"problem": F.lit(None).cast("string"), "n_columns": F.lit(None).cast("int")})
     content = F.col("content")
-    csv = read_files(spark, raw_dir, CSV_PATTERN, max_bytes).select(
-        "file", *file_facts(content)[1:], csv_problem(content).alias("problem")
-    )
-    json = read_files(spark, raw_dir, JSON_PATTERN, max_bytes).select(
-        "file", *file_facts(content)[1:], json_problem(content).alias("problem")
+    hashes = [read_files(spark, raw_dir, p, hashed_bytes).select("file", F.sha2(content, 256).alias("sha256")) for p in (CSV_PATTERN, JSON_PATTERN)]
+    shapes = read_files(spark, raw_dir, JSON_PATTERN, hashed_bytes).select(
+        "file",
+        json_problem(content).alias("_shape"),
+        F.size(F.from_json(content.cast("string"), "items array<string>").getField("items")).alias("n_items"),
+        F.lit(True).alias("_parsed"),
     )
-    return (
-        found_files(spark, raw_dir)
-        .join(csv.unionByName(json), "file", "left")
-        .withColumn("unread", F.col("size_bytes") > max_bytes)
+    found = found_files(spark, raw_dir).join(csv.unionByName(json).drop("first"), "file", "left")
+    found = found.join(hashes[0].unionByName(hashes[1]), "file", "left").join(shapes, "file", "left")
+    empty = F.col("encoding").isNull()  # a file without a line
+    problem = (
+        F.when((F.col("type") == "csv") & empty, "header drift: ")
+        .when((F.col("type") == "json") & F.col("_parsed").isNull(), F.lit(f"larger than {hashed_bytes} bytes, not parsed"))
+        .otherwise(F.coalesce("problem", "_shape"))
     )
-
-
-def json_items(spark: SparkSession, raw_dir: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """Compact item summary of the category documents."""
-    parsed = read_files(spark, raw_dir, JSON_PATTERN, max_bytes).select(
+    return found.withColumns({
+        "problem": problem,
+        "encoding": F.coalesce("encoding", F.lit("utf-8")),
+        "line_ending": F.coalesce("line_ending", F.lit("LF")),
+    }).drop("_shape", "_parsed")
+
+
+def json_items(spark: SparkSession, raw_dir: str, hashed_bytes: int = HASHED_BYTES) -> DataFrame:
+    """Compact item summary of the category documents. A document too large to parse fails the job."""
+    too_large = list_files(spark, raw_dir, JSON_PATTERN).filter(F.col("size_bytes") > hashed_bytes)
+    if not too_large.isEmpty():
+        raise LandingError(f"category document over {hashed_bytes} bytes: {too_large.first().file}")
+    parsed = read_files(spark, raw_dir, JSON_PATTERN, hashed_bytes).select(
         "file", F.explode(F.from_json(F.col("content").cast("string"), CATEGORY_FILE).getField("items")).alias("item")
     )
     return parsed.select(
@@ -140,21 +191,25 @@ def audit_report(
     raw_dir: str,
     regions: Sequence[str] = REGIONS,
     strict: bool = False,
-    max_bytes: int = MAX_FILE_BYTES,
+    hashed_bytes: int = HASHED_BYTES,
 ) -> DataFrame:
     """One row per found or missing file: status, verdict (ok, warn or fail) and facts.
 
     A missing file fails; an extra one is a warning, or a failure under `strict`. Extra files are not
-    judged on their structure. A file too large to read here is a warning.
+    judged on their structure.
     """
+    return judged(expected_files(spark, regions), audit_files(spark, raw_dir, hashed_bytes), strict)
+
+
+def judged(expected: DataFrame, facts: DataFrame, strict: bool = False) -> DataFrame:
+    """The report from the expected names (file) and the facts of the files found (file, problem, ...)."""
     whole = F.regexp_replace("file", _PART_NUMBER, "$1").alias("_whole")
-    facts = audit_files(spark, raw_dir, max_bytes).withColumn("_whole", whole)
-    status = presence(expected_files(spark, regions), facts.select(F.col("_whole").alias("file")))
+    facts = facts.withColumn("_whole", whole)
+    status = presence(expected, facts.select(F.col("_whole").alias("file")))
     verdict = (
         F.when(F.col("status") == "missing", "fail")
         .when(F.col("status") == "extra", "fail" if strict else "warn")
         .when(F.col("problem").isNotNull(), "fail")
-        .when(F.col("unread"), "warn")
         .otherwise("ok")
     )
     named = status.withColumnRenamed("file", "_whole").join(facts, "_whole", "left")
@@ -169,20 +224,23 @@ def audit_totals(report: DataFrame) -> DataFrame:
 
 
 def require_sound(report: DataFrame) -> None:
-    """Raise with the failing files; the report has one row per landing file."""
-    failed = report.filter(F.col("verdict") == "fail").select("file", "status", "problem").orderBy("file").take(20)
-    if failed:
-        raise LandingError("; ".join(f"{r.file}: {r.problem or r.status}" for r in failed))
+    """Raise if a file fails, with the first of them and how many there are; `report` has one row per file."""
+    failed = report.filter(F.col("verdict") == "fail").select("file", "status", "problem")
+    number = failed.count()
+    if number:
+        shown = "; ".join(f"{r.file}: {r.problem or r.status}" for r in failed.orderBy("file").take(20))
+        raise LandingError(shown + (f"; {number} files in all, see the audit report" if number > 20 else ""))
 
 
 def compare_manifest(report: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Files against a manifest (file, size_bytes, sha256): ok, size differs, hash differs, missing, unlisted."""
+    """Files against a manifest (file, size_bytes, sha256): ok, size differs, hash differs, not hashed, missing, unlisted."""
     listed = manifest.select("file", F.col("size_bytes").alias("_size"), F.col("sha256").alias("_hash"))
     found = report.filter(F.col("size_bytes").isNotNull()).select("file", "size_bytes", "sha256")
     result = (
         F.when(F.col("size_bytes").isNull(), "missing")
         .when(F.col("_size").isNull(), "unlisted")
         .when(F.col("size_bytes") != F.col("_size"), "size differs")
+        .when(F.col("sha256").isNull(), "not hashed")
         .when(~F.col("sha256").eqNullSafe(F.col("_hash")), "hash differs")
         .otherwise("ok")
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import parse_trending_date, profile_boolean, profile_integer, profile_publish_time
-from snapmart.operators.relational import first_n_per_group, orphans
+from snapmart.operators.relational import first_n_per_group
 from snapmart.schemas import FLAGS, MEASURES, OBSERVATION_HEADER
 
 REGION = "_source_region"
@@ -97,47 +97,74 @@ def duplicates(landed: DataFrame) -> DataFrame:
     return _key_tally(landed).drop("n_rows")
 
 
-def blanks(landed: DataFrame, columns: Sequence[str] = OBSERVATION_HEADER) -> DataFrame:
-    """NULL or blank count and percentage per region and column."""
-    per_region = landed.groupBy(F.col(REGION).alias("region_code")).agg(
-        F.count("*").alias("n_rows"), *[F.count_if(_blank(c)).alias(c) for c in columns]
+def region_scalars(landed: DataFrame) -> DataFrame:
+    """Every per-region scalar that needs no distinct step, in one scan; the tables below are projections of it.
+
+    Catalyst prunes what a projection does not use, so one table alone costs only its own columns.
+    """
+    typed = ("trending_date", "publish_time", *MEASURES, *FLAGS)
+    numbers = {m: profile_integer(F.col(m)) for m in MEASURES}
+    late = profile_publish_time(F.col("publish_time")) > parse_trending_date(F.col("trending_date")).cast("timestamp_ntz")
+    return landed.groupBy(F.col(REGION).alias("region_code")).agg(
+        F.count("*").alias("n_rows"),
+        *[F.count_if(_blank(c)).alias(f"blank_{c}") for c in OBSERVATION_HEADER],
+        *[F.count_if((F.col(c) != "") & _parsed(c).isNull()).alias(f"failed_{c}") for c in typed],
+        *[F.min(n).alias(f"min_{m}") for m, n in numbers.items()],
+        *[F.max(n).alias(f"max_{m}") for m, n in numbers.items()],
+        *[F.count_if(n < 0).alias(f"negative_{m}") for m, n in numbers.items()],
+        F.count_if(late).alias("publish_after_trending"),
+        *[F.count_if(profile_boolean(F.col(f))).alias(f"true_{f}") for f in FLAGS],
     )
-    long = per_region.unpivot(["region_code", "n_rows"], list(columns), "column_name", "n_blank")
-    return long.select(
-        "region_code", "column_name", "n_blank", (F.lit(100.0) * F.col("n_blank") / F.col("n_rows")).alias("pct_blank")
+
+
+def _long(scalars: DataFrame, names: Sequence[str], label: str, **fields: str) -> DataFrame:
+    """One row per region and name, with the named scalars of each."""
+    entry = F.explode(
+        F.array(*[F.struct(F.lit(n).alias(label), *[F.col(f"{prefix}_{n}").alias(f) for f, prefix in fields.items()]) for n in names])
     )
+    return scalars.select("region_code", "n_rows", entry.alias("_e")).select("region_code", "n_rows", "_e.*")
 
 
-def parse_failures(landed: DataFrame) -> DataFrame:
-    """Non-blank values that do not parse, per region and typed column."""
+def blanks_of(scalars: DataFrame) -> DataFrame:
+    long = _long(scalars, OBSERVATION_HEADER, "column_name", n_blank="blank")
+    percent = (F.lit(100.0) * F.col("n_blank") / F.col("n_rows")).alias("pct_blank")
+    return long.select("region_code", "column_name", "n_blank", percent)
+
+
+def parse_failures_of(scalars: DataFrame) -> DataFrame:
     columns = ("trending_date", "publish_time", *MEASURES, *FLAGS)
-    per_region = landed.groupBy(F.col(REGION).alias("region_code")).agg(
-        *[F.count_if((F.col(c) != "") & _parsed(c).isNull()).alias(c) for c in columns]
-    )
-    return per_region.unpivot(["region_code"], list(columns), "column_name", "n_failures")
+    return _long(scalars, columns, "column_name", n_failures="failed").drop("n_rows")
 
 
-def numeric_ranges(landed: DataFrame) -> DataFrame:
-    """Minimum, maximum and negative count per region and measure, and overall (region NULL)."""
-    numbers = landed.select(F.col(REGION).alias("region_code"), *[profile_integer(F.col(m)).alias(m) for m in MEASURES])
-    grouped = numbers.groupBy("region_code").agg(
-        *[
-            F.struct(
-                F.min(m).alias("min_value"), F.max(m).alias("max_value"), F.count_if(F.col(m) < 0).alias("n_negative")
-            ).alias(m)
-            for m in MEASURES
-        ]
-    )
-    per_region = grouped.unpivot(["region_code"], list(MEASURES), "measure", "_range").select(
-        "region_code", "measure", "_range.*"
-    )
-    return per_region.rollup("measure", "region_code").agg(
+def numeric_ranges_of(scalars: DataFrame) -> DataFrame:
+    long = _long(scalars, MEASURES, "measure", min_value="min", max_value="max", n_negative="negative")
+    return long.rollup("measure", "region_code").agg(
         F.min("min_value").alias("min_value"),
         F.max("max_value").alias("max_value"),
         F.sum("n_negative").alias("n_negative"),
     ).filter(F.col("measure").isNotNull()).select("region_code", "measure", "min_value", "max_value", "n_negative")
 
 
+def flag_totals_of(scalars: DataFrame) -> DataFrame:
+    long = _long(scalars, FLAGS, "flag", n_true="true")
+    return long.select("region_code", "flag", "n_true", (F.col("n_rows") - F.col("n_true")).alias("n_not_true"))
+
+
+def blanks(landed: DataFrame) -> DataFrame:
+    """NULL or blank count and percentage per region and column."""
+    return blanks_of(region_scalars(landed))
+
+
+def parse_failures(landed: DataFrame) -> DataFrame:
+    """Non-blank values that do not parse, per region and typed column."""
+    return parse_failures_of(region_scalars(landed))
+
+
+def numeric_ranges(landed: DataFrame) -> DataFrame:
+    """Minimum, maximum and negative count per region and measure, and overall (region NULL)."""
+    return numeric_ranges_of(region_scalars(landed))
+
+
 def unexpected_booleans(landed: DataFrame) -> DataFrame:
     """Spellings outside the profiler's boolean grammar with their frequency over the three flags.
 
@@ -184,8 +211,8 @@ def _with_late_publish(landed: DataFrame) -> tuple[DataFrame, Column]:
 
 
 def publish_after_trending(landed: DataFrame) -> DataFrame:
-    rows, late = _with_late_publish(landed)
-    return rows.groupBy("region_code").agg(F.count_if(late).alias("publish_after_trending"))
+    """Rows published after midnight of their trending date, per region."""
+    return region_scalars(landed).select("region_code", "publish_after_trending")
 
 
 def publish_after_examples(landed: DataFrame) -> DataFrame:
@@ -196,12 +223,8 @@ def publish_after_examples(landed: DataFrame) -> DataFrame:
 
 
 def flag_totals(landed: DataFrame) -> DataFrame:
-    """True count and complement per region and flag; the complement includes unparsed values."""
-    per_region = landed.groupBy(F.col(REGION).alias("region_code")).agg(
-        F.count("*").alias("n_rows"), *[F.count_if(profile_boolean(F.col(f))).alias(f) for f in FLAGS]
-    )
-    long = per_region.unpivot(["region_code", "n_rows"], list(FLAGS), "flag", "n_true")
-    return long.select("region_code", "flag", "n_true", (F.col("n_rows") - F.col("n_true")).alias("n_not_true"))
+    """True and other rows per region and flag; an unexpected spelling is not true."""
+    return flag_totals_of(region_scalars(landed))
 
 
 def _variants(landed: DataFrame, label: Column) -> DataFrame:
@@ -314,9 +337,8 @@ def cross_region(landed: DataFrame) -> DataFrame:
     )
 
 
-def totals(landed: DataFrame) -> DataFrame:
-    """Grand totals over the regions."""
-    return _key_tally(landed).agg(
+def totals_of(tally: DataFrame) -> DataFrame:
+    return tally.agg(
         F.count("*").alias("csv_count"),
         F.sum("n_rows").alias("total_rows"),
         F.sum(F.col("n_rows") - F.col("duplicate_grain_keys")).alias("total_distinct_keys"),
@@ -325,24 +347,30 @@ def totals(landed: DataFrame) -> DataFrame:
     )
 
 
+def totals(landed: DataFrame) -> DataFrame:
+    """Grand totals over the regions."""
+    return totals_of(_key_tally(landed))
+
+
 def full_profile(landed: DataFrame, categories: DataFrame, documents: DataFrame) -> dict[str, DataFrame]:
-    """Every profile table by name."""
+    """Every profile table by name. Scalars and key tally, one row a region each, are computed once for all tables."""
+    scalars, tally = region_scalars(landed).persist(), _key_tally(landed).persist()
     return {
         "counts": counts(landed),
         "date_range": date_range(landed),
-        "duplicates": duplicates(landed),
-        "blanks": blanks(landed),
-        "parse_failures": parse_failures(landed),
-        "numeric_ranges": numeric_ranges(landed),
+        "duplicates": tally.drop("n_rows"),
+        "blanks": blanks_of(scalars),
+        "parse_failures": parse_failures_of(scalars),
+        "numeric_ranges": numeric_ranges_of(scalars),
         "unexpected_booleans": unexpected_booleans(landed),
         "category_coverage": category_coverage(landed, categories),
-        "publish_after_trending": publish_after_trending(landed),
+        "publish_after_trending": scalars.select("region_code", "publish_after_trending"),
         "publish_after_examples": publish_after_examples(landed),
-        "flag_totals": flag_totals(landed),
+        "flag_totals": flag_totals_of(scalars),
         "title_changes": title_changes(landed),
         "channel_changes": channel_changes(landed),
         "tag_samples": tag_samples(landed),
         "category_documents": category_documents(documents),
         "cross_region": cross_region(landed),
-        "totals": totals(landed),
+        "totals": totals_of(tally),
     }

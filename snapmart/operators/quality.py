@@ -241,25 +241,38 @@ def check_table(
     return union_by_name(parts)
 
 
-def check_rules(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The same report for the five warehouse rules."""
-    staged, categories = tables["stg_observations"], tables["stg_categories"]
+def check_rules(tables: Mapping[str, DataFrame]) -> DataFrame | None:
+    """The same report for the five warehouse rules, as far as their tables are given; None if none are."""
     rules = [
-        ("stg_observations", "orphan_categories", orphan_categories(staged, categories)),
-        ("int_lifecycle", "lifecycle_dates", lifecycle_dates(tables["int_lifecycle"])),
-        ("fct_daily", "duplicate_grain", duplicate_grain(tables["fct_daily"])),
-        ("fct_daily", "negative_measures", negative_measures(tables["fct_daily"])),
-        ("int_enriched", "published_after_trending", published_after_trending(tables["int_enriched"])),
+        (("stg_observations", "stg_categories"), "orphan_categories", orphan_categories),
+        (("int_lifecycle",), "lifecycle_dates", lifecycle_dates),
+        (("fct_daily",), "duplicate_grain", duplicate_grain),
+        (("fct_daily",), "negative_measures", negative_measures),
+        (("int_enriched",), "published_after_trending", published_after_trending),
     ]
-    return union_by_name([_summary(failing, table, check, "") for table, check, failing in rules])
+    parts = [_summary(rule(*[tables[n] for n in names]), names[0], check, "") for names, check, rule in rules if set(names) <= set(tables)]
+    return union_by_name(parts) if parts else None
 
 
-def check_all(tables: Mapping[str, DataFrame], regions: Sequence[str] = REGIONS) -> DataFrame:
-    """Every declared check on the tables given, and the rules when their tables are present."""
-    parts = [check_table(name, tables, checks, regions) for name, checks in DECLARED.items() if name in tables]
-    if {"stg_observations", "stg_categories", "int_lifecycle", "int_enriched", "fct_daily"} <= set(tables):
-        parts.append(check_rules(tables))
-    return union_by_name(parts)
+def check_all(
+    tables: Mapping[str, DataFrame], regions: Sequence[str] = REGIONS, only: Sequence[str] | None = None
+) -> DataFrame:
+    """Every declared check on the tables given (or on `only` these, which may refer to the others), and the rules."""
+    names = [n for n in DECLARED if n in tables and (only is None or n in only)]
+    parts = [check_table(n, tables, DECLARED[n], regions) for n in names]
+    rules = check_rules(tables if only is None else {n: tables[n] for n in only})
+    return union_by_name(parts + ([rules] if rules is not None else []))
+
+
+class CheckError(Exception):
+    """Tables don't pass their checks."""
+
+
+def require_passed(report: DataFrame) -> None:
+    """Raise with the failing checks; a report has a few hundred rows, by the checks declared."""
+    failed = report.filter("n_failures > 0").orderBy("table_name", "check_name", "column_name").collect()
+    if failed:
+        raise CheckError("; ".join(f"{r.table_name}: {r.check_name} {r.column_name} ({r.n_failures})" for r in failed))
 
 
 # --- loaded-table check -----------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.operators import audit, quality
-from snapmart.operators.relational import broadcast_if_small
+from snapmart.operators.relational import broadcast_if_small, union_by_name
 from snapmart.plans import marts
 from snapmart.plans.dimensions import dim_category, dim_region, video_of
 from snapmart.plans.enrich import int_enriched
@@ -21,7 +21,7 @@ from snapmart.session import size_shuffles
 from snapmart.sources import categories as category_files
 from snapmart.sources import observations as observation_files
 from snapmart.sources.seeds import read_region_seed
-from snapmart.sources.sinks import create_view, reload_regions, write_table
+from snapmart.sources.sinks import create_view, load_report, reload_regions, use_warehouse, write_table
 
 LANDED = "landed_observations"
 CATEGORIES = "bronze_categories"
@@ -32,38 +32,65 @@ def load(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
 
     Accepted rows and rejects are both filters on that table, so the files are parsed once.
     """
-    landed = write_table(observation_files.read_landing(spark, raw_dir), LANDED, ("_source_region",))
+    write_table(observation_files.read_landing(spark, raw_dir), LANDED, ("_source_region",))
     documents = category_files.read_category_documents(spark, raw_dir)
-    categories = write_table(category_files.flatten_documents(documents), CATEGORIES, ("_source_region",))
-    return {
-        "bronze_observations": observation_files.accepted(landed),
-        "rejects": observation_files.rejects(landed),
-        "bronze_categories": categories,
-    }
+    write_table(category_files.flatten_documents(documents), CATEGORIES, ("_source_region",))
+    return _bronze(spark)
 
 
-def reload(spark: SparkSession, raw_dir: str) -> None:
-    """Load again only the regions whose files are in `raw_dir`, leaving the other regions' rows alone."""
+def reload(spark: SparkSession, raw_dir: str, seed_path: str | None = None, regions: Sequence[str] = REGIONS) -> dict[str, DataFrame]:
+    """Load again only the regions whose files are in `raw_dir`, and build everything above them anew.
+
+    The files are audited first. A region in several files is replaced as a whole, so all its files must be there.
+    """
+    files = audit.audit_files(spark, raw_dir)
+    audit.require_sound(files.withColumns({"status": F.lit("ok"), "verdict": F.when(F.col("problem").isNotNull(), "fail").otherwise("ok")}))
+    found = files.filter("type = 'csv'").select("file", F.substring("file", 1, 2).alias("_source_region"))
+    landed = spark.table(LANDED).select(F.col("_source_file").alias("file"), "_source_region").distinct()
+    absent = landed.join(found.select("_source_region").distinct(), "_source_region").join(found, "file", "left_anti")
+    if not absent.isEmpty():
+        raise audit.LandingError(f"{absent.first().file} is not there, but other files of its region are")
     reload_regions(observation_files.read_landing(spark, raw_dir), LANDED)
     documents = category_files.read_category_documents(spark, raw_dir)
     reload_regions(category_files.flatten_documents(documents), CATEGORIES)
+    return _publish(spark, _bronze(spark), read_region_seed(spark, seed_path), regions)
 
 
-def transform(
-    bronze: dict[str, DataFrame], seed: DataFrame, regions: Sequence[str] = REGIONS
-) -> dict[str, DataFrame]:
-    """Staging to marts; each layer is computed once and read back as a table.
+def _bronze(spark: SparkSession) -> dict[str, DataFrame]:
+    landed = spark.table(LANDED)
+    return {
+        "bronze_observations": observation_files.accepted(landed),
+        "rejects": observation_files.rejects(landed),
+        "bronze_categories": spark.table(CATEGORIES),
+    }
+
+
+def _publish(spark: SparkSession, bronze: dict[str, DataFrame], seed: DataFrame, regions: Sequence[str]) -> dict[str, DataFrame]:
+    """Bronze to marts; each layer is computed once, read back as a table, and checked before the next is built.
 
     Dedup is the one shuffle of whole rows. The fact is a scan of staging with broadcast lookups; the
-    item dimension, lifecycle and marts aggregate on the map side before they shuffle.
+    items and marts aggregate on the map side before they shuffle. The report of all checks is table `check_report`.
     """
     t: dict[str, DataFrame] = {**bronze, "region_seed": seed}
+    reports: list[DataFrame] = []
 
     def table(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         t[name] = write_table(df, name, partition_by)
 
+    def passed(layer: str, *names: str) -> None:
+        reports.append(write_table(quality.check_all(t, regions, names), f"check_report_{layer}"))
+        quality.require_passed(reports[-1])
+
+    loaded = quality.check_loaded(spark, LANDED, CATEGORIES, regions)
+    t["check_loaded"] = write_table(loaded, "check_loaded")
+    if not t["check_loaded"].isEmpty():
+        problem = t["check_loaded"].first()
+        raise quality.CheckError(f"{problem.subject}: {problem.problem}, see check_loaded")
+    t["load_report"] = write_table(load_report(spark.table(LANDED)), "load_report")
+    passed("bronze", *bronze, "region_seed")
     table("stg_observations", stg_observations(bronze["bronze_observations"], regions), ("region_code",))
     table("stg_categories", stg_categories(bronze["bronze_categories"], regions))
+    passed("staging", "stg_observations", "stg_categories")
     table("dim_region", dim_region(seed))
     table("dim_category", dim_category(t["stg_categories"]))
     for reference in ("stg_categories", "dim_region", "dim_category"):
@@ -73,10 +100,13 @@ def transform(
     table("int_lifecycle", lifecycle_of(t["int_items"]))
     t["int_enriched"] = create_view(int_enriched(t["stg_observations"], t["stg_categories"]), "int_enriched")
     table("fct_daily", fct_daily(t["int_enriched"], t["dim_region"], t["dim_category"]), ("region_code",))
+    passed("core", "dim_region", "dim_category", "dim_video", "int_lifecycle", "int_enriched", "fct_daily")
     table("mart_video_lifecycle", marts.mart_video_lifecycle(t["int_lifecycle"]))
     table("mart_channel_performance", marts.mart_channel_performance(t["int_items"]))
     table("mart_category_performance", marts.mart_category_performance(t["fct_daily"], t["dim_category"]))
     table("mart_regional_trending", marts.mart_regional_trending(t["fct_daily"]))
+    passed("marts", *[n for n in t if n.startswith("mart_")])
+    t["check_report"] = write_table(union_by_name(reports), "check_report")
     return t
 
 
@@ -86,10 +116,13 @@ def build(
     seed_path: str | None = None,
     regions: Sequence[str] = REGIONS,
     strict: bool = False,
+    warehouse: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Audit, load, transform and check. The check report is table `check_report`; zero failures is a pass."""
+    """Audit, load, transform and check, into tables below `warehouse` (default: the session's).
+
+    A failing audit stops before the load, a failing check before the layers above.
+    """
+    use_warehouse(spark, warehouse)
     audit.require_sound(audit.audit_report(spark, raw_dir, regions, strict))
     size_shuffles(spark, audit.found_files(spark, raw_dir).agg(F.sum("size_bytes")).first()[0])
-    tables = transform(load(spark, raw_dir), read_region_seed(spark, seed_path), regions)
-    tables["check_report"] = write_table(quality.check_all(tables, regions), "check_report")
-    return tables
+    return _publish(spark, load(spark, raw_dir), read_region_seed(spark, seed_path), regions)

@@ -7,6 +7,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+def use_warehouse(spark: SparkSession, warehouse: str | None) -> None:
+    """Write tables below `warehouse` from now on; None leaves the session's setting.
+
+    On a cluster a warehouse on the driver's disk is refused: other machines would not see it.
+    """
+    if warehouse:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS snapmart LOCATION '{warehouse}'")
+        spark.catalog.setCurrentDatabase("snapmart")
+    place = spark.sql("DESCRIBE DATABASE EXTENDED " + spark.catalog.currentDatabase()).filter("info_name = 'Location'").first()[1]
+    if place.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"tables would go to {place}; give a warehouse that all machines share")
+
+
 def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace a Parquet table and return it as read back.
 
@@ -54,3 +67,11 @@ def load_summary(landed: DataFrame) -> DataFrame:
     """Rows per region and, with a NULL region, in total."""
     per_region = landed.groupBy("_source_region").agg(F.count("*").alias("_n"))
     return per_region.rollup("_source_region").agg(F.sum("_n").alias("n_rows"))
+
+
+def load_report(landed: DataFrame) -> DataFrame:
+    """Per file: landed rows, and how many of them are over-long, short or unclosed."""
+    return landed.groupBy("_source_region", "_source_file").agg(
+        F.count("*").alias("n_rows"),
+        *[F.count_if(F.col("_parse_status") == c).alias(f"n_{c}") for c in ("truncated", "short", "unclosed")],
+    )

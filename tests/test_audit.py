@@ -73,12 +73,12 @@ def test_header_variants_that_pass(spark, tmp_path, line_end, quote):
 @pytest.mark.parametrize(
     "document, problem",
     [
-        ({"kind": "x"}, "missing top-level 'items' array"),
-        ({"items": "text"}, "missing top-level 'items' array"),
-        ([], "missing top-level 'items' array"),
-        ({"items": [1]}, "non-object item in items"),
-        ({"items": [None]}, "non-object item in items"),
-        ({"items": [{"id": "1"}]}, "item without id or snippet"),
+        ({"kind": "x"}, "items: no list"),
+        ({"items": "text"}, "items: no list"),
+        ([], "items: no list"),
+        ({"items": [1]}, "items: entry is no object"),
+        ({"items": [None]}, "items: entry is no object"),
+        ({"items": [{"id": "1"}]}, "items: entry lacks id or snippet"),
         ({"items": [{"id": None, "snippet": None}]}, None),
         ({"items": []}, None),
     ],
@@ -97,14 +97,26 @@ def test_encoding_reads_the_whole_file(spark, tmp_path):
     assert row.encoding == "latin-1" and row.verdict == "ok"
 
 
-def test_large_file_is_reported_not_read(spark, tmp_path):
+def test_size_changes_no_verdict(spark, tmp_path):
     raw = write_landing(tmp_path, ["CA"])
-    report = audit.audit_report(spark, str(raw), ["CA"], max_bytes=1000)
-    rows = {r.file: r for r in report.collect()}
-    big = rows["CA_category_id.json"]
-    assert big.sha256 is None and big.size_bytes > 1000 and big.unread and big.verdict == "warn"
-    assert rows["CAvideos.csv"].verdict == "ok" and not rows["CAvideos.csv"].unread
-    audit.require_sound(report)
+    small, large = ({r.file: r for r in audit.audit_report(spark, str(raw), ["CA"], hashed_bytes=n).collect()} for n in (1 << 30, 10))
+    csv, want = large["CAvideos.csv"], small["CAvideos.csv"]
+    assert csv.sha256 is None and want.sha256 and csv.verdict == want.verdict == "ok"
+    assert (csv.encoding, csv.line_ending, csv.line_digest, csv.n_columns) == (want.encoding, want.line_ending, want.line_digest, 16)
+    # a document that can't be parsed is no sound file
+    assert large["CA_category_id.json"].verdict == "fail" and small["CA_category_id.json"].n_items == 31
+    with pytest.raises(audit.LandingError, match="over 10 bytes"):
+        audit.json_items(spark, str(raw), hashed_bytes=10)
+
+
+@pytest.mark.parametrize("feeds", ["\r\n" * 3 + "\n" * 2, "\n" * 30 + "\r\n" * 40, "x\r", "\r\nx\r", "", "\n", "a\nb\r\n\r"])
+def test_line_ends_of_the_whole_file(spark, tmp_path, feeds):
+    header = ",".join(OBSERVATION_HEADER)
+    content = f"{header}\n{'y' * 5000}{feeds}".encode()
+    (tmp_path / "CAvideos.csv").write_bytes(content)
+    row = audit.line_facts(spark, str(tmp_path), "*.csv").first()
+    pairs = content.count(b"\r\n")
+    assert row.line_ending == ("CRLF" if pairs and 2 * pairs >= content.count(b"\n") else "LF")
 
 
 def test_numbered_parts_stand_for_their_file(spark, tmp_path):
@@ -139,3 +151,11 @@ def test_manifest(spark, tmp_path):
         "CAvideos.csv": "ok", "CA_category_id.json": "hash differs", "USvideos.csv": "size differs",
         "gone": "missing", "US_category_id.json": "unlisted",
     }
+    unhashed = audit.audit_report(spark, str(raw), REGIONS, hashed_bytes=10)
+    assert {r.result for r in audit.compare_manifest(unhashed, listed).filter("file like 'CA%'").collect()} == {"not hashed"}
+
+
+def test_many_failures_are_counted(spark):
+    report = spark.createDataFrame([(f"f{i:02}", "missing", None, "fail") for i in range(30)], "file string, status string, problem string, verdict string")
+    with pytest.raises(audit.LandingError, match="30 files in all"):
+        audit.require_sound(report)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import EXPECTED, csv_text, sample_rows, write_landing
-from snapmart.operators import profile, quality
+from snapmart.operators import audit, profile, quality
 from snapmart.plans import build as pipeline
 from snapmart.plans.dimensions import dim_video
 from snapmart.plans.fact import fct_daily
@@ -23,7 +23,7 @@ def tables(spark, raw):
 
 def test_sizes(tables):
     sizes = {n: tables[n].count() for n in tables}
-    assert {n: sizes[n] for n in sizes if n != "check_report"} == {
+    assert {n: sizes[n] for n in sizes if n not in ("check_report", "int_items", "load_report", "check_loaded")} == {
         "bronze_observations": 20, "rejects": 0, "bronze_categories": 311, "region_seed": 10, "stg_observations": 20,
         "stg_categories": 311, "dim_region": 10, "dim_category": 311, "dim_video": 20, "int_lifecycle": 20,
         "int_enriched": 20, "fct_daily": 20, "mart_video_lifecycle": 20, "mart_channel_performance": 10,
@@ -122,10 +122,35 @@ def test_loaded_check(spark, tables):
 
 
 def test_reload_replaces_only_its_region(spark, tables, tmp_path):
-    before = {r._source_region: r.n for r in spark.table(pipeline.LANDED).groupBy("_source_region").agg(F.count("*").alias("n")).collect()}
+    def per_region(name, column):
+        return {r[0]: r.n for r in spark.table(name).groupBy(column).agg(F.count("*").alias("n")).collect()}
+
+    before = per_region(pipeline.LANDED, "_source_region")
     write_landing(tmp_path, ["CA"])
     (tmp_path / "CAvideos.csv").write_text(csv_text(sample_rows("CA")[:1]))
     pipeline.reload(spark, str(tmp_path))
-    after = {r._source_region: r.n for r in spark.table(pipeline.LANDED).groupBy("_source_region").agg(F.count("*").alias("n")).collect()}
-    assert after == {**before, "CA": 1}
+    assert per_region(pipeline.LANDED, "_source_region") == {**before, "CA": 1}
+    assert per_region("fct_daily", "region_code") == {**before, "CA": 1}  # and all that is built on it
     assert spark.table(pipeline.CATEGORIES).count() == 311
+
+
+def test_reload_wants_sound_and_complete_regions(spark, tables, tmp_path):
+    rows = csv_text(sample_rows("CA"))
+    write_landing(tmp_path, ["CA"])
+    (tmp_path / "CAvideos.csv").rename(tmp_path / "CAvideos-0001.csv")
+    with pytest.raises(audit.LandingError, match="CAvideos.csv is not there"):
+        pipeline.reload(spark, str(tmp_path))
+    (tmp_path / "CAvideos.csv").write_text(rows.replace("views,likes", "likes,views"))
+    with pytest.raises(audit.LandingError, match="header drift"):
+        pipeline.reload(spark, str(tmp_path))
+
+
+def test_a_failing_check_stops_the_build(spark, tables, tmp_path):
+    raw = write_landing(tmp_path / "raw")
+    lines = (raw / "CAvideos.csv").read_text().splitlines()
+    lines[1] = "," + lines[1].split(",", 1)[1]  # a row without its item id
+    (raw / "CAvideos.csv").write_text("\n".join(lines) + "\n")
+    with pytest.raises(quality.CheckError, match="video_id"):
+        pipeline.build(spark, str(raw), warehouse=str(tmp_path / "house"))
+    assert (tmp_path / "house" / "check_report_bronze").exists() and not (tmp_path / "house" / "fct_daily").exists()
+    spark.catalog.setCurrentDatabase("default")
