@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapmart.operators.relational import broadcast_if_small
+from snapmart.workers import map_batches
 
 # positions in a CSV record: start of a field, in a bare field, in a quoted one, after a quote in a quoted one
 _FIELD, _BARE, _QUOTED, _CLOSING = range(4)
@@ -112,7 +113,7 @@ def _effects(lines: DataFrame) -> DataFrame:
         kinds += [(f"_end_{side}", "boolean"), (f"_whole_{side}", "boolean"), (f"_head_{side}", "string"), (f"_tail_{side}", "string")]
     arrow = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}
     schema = pa.schema([(n, arrow[k]) for n, k in kinds])
-    return lines.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in kinds))
+    return map_batches(lines, run, ", ".join(f"{n} {k}" for n, k in kinds))
 
 
 def _placed(effects: DataFrame) -> DataFrame:
@@ -174,7 +175,7 @@ def read_records(spark: SparkSession, raw_dir: str, pattern: str, header: Sequen
             yield pa.RecordBatch.from_pydict({"_source_file": pa.array([name] * len(records), pa.string()), "line": pa.array(records, pa.string())})
 
     joined = lines.join(starts, ["_path", "_block"]).select("_path", "_source_file", "_block", "_inside", "_header", "value")
-    within = joined.mapInArrow(run, "_source_file string, line string").withColumn("_unclosed", F.lit(False))
+    within = map_batches(joined, run, "_source_file string, line string").withColumn("_unclosed", F.lit(False))
 
     pieces = placed.filter("_head IS NOT NULL AND _open IS NOT NULL").select("_path", "_source_file", "_block", F.col("_open").alias("_record"), F.col("_head").alias("piece"), "_lost", "_header")
     tails = placed.filter("_tail IS NOT NULL").select("_path", "_source_file", "_block", F.col("_block").alias("_record"), F.col("_tail").alias("piece"), "_lost", "_header")
