@@ -1,17 +1,19 @@
 """The pipeline over documents: toxicity, near-duplicates, repeated passages, mixing of sources, SentencePiece ids.
 
 Each stage takes whole documents and returns whole documents with all their columns; the last returns token ids.
+A stage's documents are a written table; when it begins, the intermediate tables of the stage before are deleted.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.llm import language_id, mixing, near_duplicates, sentencepiece_bpe, suffix_dedup, toxicity
-from snapmart.llm.common import col, shared_folder, staged
+from snapmart.llm.common import col, release_folders, shared_folder, staged
 from snapmart.llm.queries import table, tokenizer
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -71,12 +73,21 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded.select(*map(col, keep), F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
+def _begun(stage: Stage) -> Stage:
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release_folders(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", drop_toxic),
-    ("near-duplicates", drop_near_duplicates),
-    ("suffix-array dedup", drop_repeated_passages),
-    ("mixing", mix_sources),
-    ("sentencepiece", token_ids),
+    ("toxicity", _begun(drop_toxic)),
+    ("near-duplicates", _begun(drop_near_duplicates)),
+    ("suffix-array dedup", _begun(drop_repeated_passages)),
+    ("mixing", _begun(mix_sources)),
+    ("sentencepiece", _begun(token_ids)),
 ]
 
 #: No SQL: stages rest on a trained model and a tokenizer; the tests hold them against brute force.
@@ -86,7 +97,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    folder = shared_folder(spark)
+    folder = shared_folder(spark, kept=True)
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):

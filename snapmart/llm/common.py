@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import pathlib
-import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from itertools import islice
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapmart.workers import map_batches
+
+__all__ = ["WORD", "Memo", "chunks", "col", "map_batches", "release_folders", "shared_folder", "staged", "text_table", "with_text"]
+
 #: A word, in Spark's and Java's spelling: anything between ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -32,8 +33,11 @@ def with_text(df: DataFrame, keep: Iterable[str], text: str) -> DataFrame:
     return df.select(*[col(n).alias(f"_{k}") for k, n in enumerate(keep)], col(text).alias("_text"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: below `spark.checkpoint.dir`.
+_FOLDERS: list[str] = []
+
+
+def shared_folder(spark: SparkSession, kept: bool = False) -> str:
+    """A new folder that driver and executors share: below `spark.checkpoint.dir`. `release_folders` spares it if `kept`.
 
     Only where that is unset, as in tests on one machine, a temporary folder is set instead.
     """
@@ -43,7 +47,17 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="snapmart-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    if not kept:
+        _FOLDERS.append(folder)
+    return folder
+
+
+def release_folders(spark: SparkSession) -> None:
+    """Delete the intermediate tables of operators so far. Only for when all their results have been written."""
+    while _FOLDERS:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -53,20 +67,6 @@ def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_SHIPPED: set[str] = set()
-
-
-def map_batches(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema) -> DataFrame:
-    """`mapInArrow` with this package sent to the workers first, as `--py-files` would, once an application."""
-    context = df.sparkSession.sparkContext
-    if context.applicationId not in _SHIPPED:
-        package = pathlib.Path(__file__).resolve().parents[1]
-        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='snapmart-')}/{package.name}", "zip", package.parent, package.name)
-        context.addPyFile(archive)
-        _SHIPPED.add(context.applicationId)
-    return df.mapInArrow(run, schema)
-
-
 class Memo(dict):
     """Results of a pure function of short strings, in bounded memory.
 

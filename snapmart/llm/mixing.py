@@ -108,7 +108,7 @@ def mix(
     wanted = wanted.withColumn("_p", F.col("_ratio") - F.col("_whole"))
     odds = (F.col("u") / (1 - F.col("u"))) / (F.col("_p") / (1 - F.col("_p")))
     wanted = wanted.withColumn("_rank", F.when(F.col("_p") > 0, odds / (1 + odds)))
-    wanted = wanted.withColumn("_slice", F.least(F.lit(SLICES - 1), F.floor(F.col("_rank") * SLICES).cast("int")))
+    wanted = wanted.withColumn("_slice", F.when(F.col("_p") > 0, F.least(F.lit(SLICES - 1), F.floor(F.col("_rank") * SLICES).cast("int"))))
 
     # words still wanted of a source after its whole copies, and the slice in which they are reached
     whole = wanted.groupBy("source").agg(F.sum(F.col("_whole") * F.col("size")).alias("certain"), F.max("target").alias("target"))
