@@ -28,70 +28,32 @@ RULES: tuple[Rule, ...] = (("block", "net", "/"), ("allow", "example.net", "/en/
 BLOCK_AT = 0.7
 GRAMS, BUCKETS = (3, 4, 5), 1 << 18
 
-# the small labelled table: invented urls of unwanted and wanted kinds
-BLOCKED = """
-https://free-casino-bonus.example/slots/jackpot
-https://www.online-casino.example/poker/bonus
-http://poker-slots.example/casino/free-spins
-https://bet-now.example/sports-betting/odds
-https://cheap-pills.example/viagra/buy-online
-http://pharmacy-no-prescription.example/cialis
-https://xxx-videos.example/porn/free
-https://adult-cams.example/xxx/live
-http://hot-porn-tube.example/video/xxx
-https://torrent-warez.example/crack/keygen
-http://serial-crack.example/download/keygen.exe
-https://free-movies-torrent.example/download/full
-https://account-verify-login.example/secure/update-password
-http://paypa1-login.example/verify/account
-https://signin-bank-secure.example/confirm/password
-http://win-prize-now.example/claim/free-iphone
-https://free-gift-card.example/claim/winner
-http://click-ads-tracker.example/adclick/redirect
-https://popunder-ads.example/banner/click
-http://get-rich-quick.example/crypto/double-your-money
-https://payday-loans-fast.example/apply-now
-https://replica-watches.example/cheap/buy
-http://spam-links.example/seo/backlinks
-https://malware-update.example/flash-player.exe
-""".split()
-ALLOWED = """
-https://www.example.com/en/about
-https://blog.example.org/en/2381.html
-http://m.example.com/fr/articles/10234
-https://www.example.org/es/48213?page=2
-https://example.net/en/30211/
-https://blog.example.com/en/12034#top
-https://m.example.org/de/7117
-http://www.example.com/es/archive/2020
-https://news.example.com/world/politics/story
-https://www.daily-news.example/2021/05/report
-https://en.wiki.example/wiki/History_of_science
-https://docs.example.org/python/library/functions.html
-https://developer.example.com/docs/reference
-https://university.example.edu/research/papers
-https://library.example.edu/catalog/books
-https://www.city.example.gov/services/health
-https://health.example.gov/guidelines/nutrition
-https://journal.example.org/articles/biology/2019
-https://recipes.example.com/bread/sourdough
-https://shop.example.com/books/novels
-https://museum.example.org/exhibitions/paintings
-https://weather.example.com/forecast/berlin
-https://forum.example.com/threads/gardening
-https://school.example.edu/courses/mathematics
-https://blog.example.net/travel/mountains
-https://music.example.org/concerts/classical
-https://www.example.com/blog/2022/software-engineering
-https://maps.example.org/cities/madrid
-https://www.magazine.example/culture/film-review
-https://open-data.example.org/datasets/population
-""".split()
+# fixed: words of unwanted and wanted urls, and syllables of names that say nothing, for the small labelled table
+UNWANTED = """casino poker slots jackpot betting viagra cialis pills pharmacy porn xxx adult cams sex nude escort torrent warez
+crack keygen serial malware phishing verify-login update-password confirm-account free-prize winner claim-bonus giveaway payday
+loans get-rich crypto-double replica cheap-watches spam spam-links free-bets ads win-money backlinks adclick popunder ad-tracker hacked cheats""".split()
+WANTED = """news wiki docs library university research journal science history museum art music film recipes garden health weather
+maps travel school courses mathematics physics biology books shop forum blog about contact press archive events calendar sports
+politics culture economy jobs support help reference api tutorial guide manual city article catalog collection""".split()
+SYLLABLES = "tor lin mar ven tion sha the ren dal kor ith ble on er an st th nt re ed sh ea".split()
+_DOMAINS = ("example.com", "example.org", "example.net", "example")
+_LANGS = ("en", "de", "fr", "es")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """url, label (1: block)."""
-    return spark.createDataFrame([(u, 1.0) for u in BLOCKED] + [(u, 0.0) for u in ALLOWED], "url string, label double")
+    """url, label (1: block): each word in the same few kinds of urls, so that only the words tell the labels apart."""
+    neutral = [a + b for a in SYLLABLES for b in SYLLABLES]
+    rows = []
+    for label, names in ((1.0, UNWANTED), (0.0, WANTED), (0.0, neutral)):
+        for k, name in enumerate(names):
+            other, domain, lang, number = names[(7 * k + 3) % len(names)], _DOMAINS[k % 4], _LANGS[k // 4 % 4], 100 + 37 * k
+            rows += [
+                (f"https://www.{name}.{domain}/{lang}/{number}", label),
+                (f"http://{name}-{other}.{domain}/{number}.html", label),
+                (f"https://blog.{name}.{domain}/{lang}/{other}/{number}", label),
+                (f"http://m.{other}{name}.{domain}/{name}/{other}?page=2", label),
+            ]
+    return spark.createDataFrame(rows, "url string, label double")
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -117,10 +79,13 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> tupl
 def _grams(text: Column, mark: str) -> list[Column]:
     """Marked n-grams of a text with its ends."""
     whole = F.concat(F.lit("^"), text, F.lit("$"))
-    return [
-        F.when(F.length(whole) >= n, F.transform(F.sequence(F.lit(1), F.length(whole) - n + 1), lambda i, n=n: F.concat(F.lit(mark), F.substr(whole, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
-        for n in GRAMS
-    ]
+
+    def of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(whole) - n + 1)
+        grams = F.transform(starts, lambda i: F.concat(F.lit(mark), F.substr(whole, i, F.lit(n))))
+        return F.when(F.length(whole) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    return [of(n) for n in GRAMS]
 
 
 def _hashed(df: DataFrame) -> DataFrame:
@@ -133,9 +98,12 @@ def train(labelled: DataFrame, url: str = "url", label: str = "label") -> Logist
     """A model from a small table of urls and labels (1: block); None if it hasn't both."""
     host, path = parts(col(url))
     table = _hashed(labelled.select(host.alias("host"), path.alias("path"), col(label).cast("double").alias("label"))).filter("label IN (0, 1)")
-    if table.select("label").distinct().count() < 2:
+    counts = {r["label"]: r["count"] for r in table.groupBy("label").count().collect()}
+    if len(counts) < 2:
         return None
-    return LogisticRegression(regParam=0.01, maxIter=50, standardization=False).fit(table.coalesce(1))
+    share = F.when(F.col("label") == 1, 0.5 / counts[1.0]).otherwise(0.5 / counts[0.0])  # both labels weigh the same
+    fit = LogisticRegression(regParam=0.0005, maxIter=100, standardization=False, weightCol="weight")
+    return fit.fit(table.withColumn("weight", share * sum(counts.values())).coalesce(1))
 
 
 def judge(

@@ -87,7 +87,7 @@ def test_write_and_read(spark, tmp_path):
 
 def test_words_give_what_whole_texts_give():
     coder, rng = token_files.PieceEncoder(BYTES), random.Random(5)
-    parts = ["It's", " we'll", "  ", "\n\n", " \n", "x1²", "½", "ª", "naïve", "–—", " 12", "...", "漢", "'", "\t", "don't,", "\x85", "\xa0", "<|endoftext|>", "<|", "ǅ"]
+    parts = ["It's", " we'll", "  ", "\n\n", " \n", "x1²", "½", "ª", "naïve", "–—", " 12", "...", "漢", "'", "\t", "don't,", "\x85", "\xa0", "\x1c", "\x1f ", "\x0b", "\u2026", "\u2014 ", "<|endoftext|>", "<|", "ǅ"]
     texts = ["".join(rng.choices(parts, k=12)) for _ in range(2000)]
     want = [x.ids for x in coder.library.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == want
