@@ -16,7 +16,7 @@ gathering the corpus:
 4. The marked spans go back to the texts, are united, and removed.
 
 A hash with very many different stretches (a common passage whose surroundings differ) isn't given to one task: its
-strings of `length` bytes are counted one by one by 128-bit hashes, aggregated before they are shuffled.
+strings of `length` bytes are counted by 128-bit hashes, dealt into buckets of a bounded size.
 
 Cases: a null text is empty; texts shorter than `length` lose nothing; repeated rows repeat each other, so all their
 strings go; an empty table gives an empty one; runs of one byte make stretches that are cut after `STRETCH` starts;
@@ -306,32 +306,79 @@ def _marked(stretch_rows: DataFrame, length: int) -> DataFrame:
     return map_batches(dealt, run, "stretch binary, spans binary")
 
 
-def _counted(stretch_rows: DataFrame, length: int) -> DataFrame:
-    """As `_marked`, for crowded hashes: each string of `length` bytes is counted by its 128-bit hash."""
-    whole = stretch_rows.groupBy("h", "stretch").agg(F.sum("copies").alias("copies"), F.first("bytes").alias("bytes"))
+def string_hashes(text: np.ndarray, length: int, seed: int) -> np.ndarray:
+    """64-bit hashes of the strings of `length` bytes at each place."""
+    h, size = _mix(_loads(text)[: len(text) - 7] ^ np.uint64(seed)), 8
+    while size < length:
+        step = min(size, length - size)
+        h, size = _mix(h[: len(h) - step] * np.uint64(3) + h[step:]), size + step
+    return h
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
 
-        for batch in batches:
-            for rows in chunks(zip(*(c.to_pylist() for c in batch.columns), strict=True), 64):
-                out = [(name, at, copies, xxhash.xxh3_128_digest(found[at : at + length])) for name, copies, found in rows for at in range(len(found) - length + 1)]
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.binary(), pa.int32(), pa.int64(), pa.binary()))], names=["stretch", "at", "copies", "string"])
+#: A string of a crowded hash: its 128-bit hash, the stretch, the start in it, and the copies of the stretch (2: more).
+_STRING = np.dtype([("a", "<u8"), ("b", "<u8"), ("stretch", "<u8", 2), ("at", "<i4"), ("copies", "<i4")])
+
 
-    strings = map_batches(whole.select("stretch", "copies", "bytes"), run, "stretch binary, at int, copies long, string binary")
-    several = strings.groupBy("string").agg(F.sum("copies").alias("all")).filter("all > 1")
-    found = strings.join(several, "string").groupBy("stretch").agg(F.sort_array(F.collect_list("at")).alias("at"))  # at most STRETCH
+def _counted(stretch_rows: DataFrame, length: int, buckets: int) -> DataFrame:
+    """As `_marked`, for crowded hashes: their strings of `length` bytes are dealt by 128-bit hashes into buckets of a
+    bounded size, packed as arrays, and counted there."""
+    whole = stretch_rows.groupBy("h", "stretch").agg(F.sum("copies").alias("copies"), F.first("bytes").alias("bytes"))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in chunks(zip(*(c.to_pylist() for c in batch.columns), strict=True), 512):
+                sizes = np.array([len(found) for *_, found in rows])
+                text = np.frombuffer(b"".join(found for *_, found in rows), np.uint8)
+                begins = np.cumsum(sizes) - sizes
+                owner = np.repeat(np.arange(len(rows)), sizes - length + 1)
+                at = np.concatenate([np.arange(n - length + 1) for n in sizes])
+                strings = np.empty(len(owner), _STRING)
+                strings["a"], strings["b"] = (string_hashes(text, length, seed)[begins[owner] + at] for seed in (1, 2))
+                strings["stretch"] = np.frombuffer(b"".join(name for name, *_ in rows), "<u8").reshape(-1, 2)[owner]
+                strings["at"], strings["copies"] = at, np.array([min(copies, 2) for _, copies, _ in rows])[owner]
+                bucket = (strings["a"] % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+                parts = np.split(order, cuts)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[order[np.concatenate([[0], cuts])]]), pa.array([strings[p].tobytes() for p in parts], pa.binary())], names=["bucket", "strings"])
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(blobs: list[bytes]) -> pa.RecordBatch:
+            strings = np.frombuffer(b"".join(blobs), _STRING)
+            order = np.lexsort((strings["b"], strings["a"]))
+            a, b, copies = strings["a"][order], strings["b"][order], strings["copies"][order]
+            same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+            found = strings[order[np.concatenate([[False], same]) | np.concatenate([same, [False]]) | (copies > 1)]]
+            found = found[np.lexsort((found["stretch"][:, 1], found["stretch"][:, 0]))]
+            cuts = np.flatnonzero((found["stretch"][1:] != found["stretch"][:-1]).any(axis=1)) + 1
+            parts = [p for p in np.split(found, cuts) if len(p)]
+            return pa.RecordBatch.from_arrays([pa.array([p["stretch"][0].tobytes() for p in parts], pa.binary()), pa.array([p["at"].astype("<i4").tobytes() for p in parts], pa.binary())], names=["stretch", "at"])
+
+        now, blobs = None, []
+        for batch in batches:
+            for bucket, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != now and blobs:
+                    yield done(blobs)
+                    blobs = []
+                now = bucket
+                blobs.append(blob)
+        if blobs:
+            yield done(blobs)
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for at in batch.column(1).to_pylist():
-                marked = np.zeros(at[-1] + 1, bool)
+            for parts in batch.column(1).to_pylist():
+                at = np.frombuffer(b"".join(parts), "<i4")
+                marked = np.zeros(int(at.max()) + 1, bool)
                 marked[at] = True
                 out.append(_spans(marked, length).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["stretch", "spans"])
 
-    return map_batches(found, spans, "stretch binary, spans binary")
+    packed = map_batches(whole.select("stretch", "copies", "bytes"), dealt, "bucket long, strings binary")
+    found = map_batches(packed.repartition("bucket").sortWithinPartitions("bucket"), repeated, "stretch binary, at binary")
+    own = found.groupBy("stretch").agg(F.collect_list("at").alias("at"))  # at most STRETCH starts
+    return map_batches(own, spans, "stretch binary, spans binary")
 
 
 def text_key(text: Column) -> Column:
@@ -352,10 +399,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text: str = "text") ->
     texts = keyed.join(wanted, "key").dropDuplicates(["key"]).select("key", "copies", "text", "hashes")
     found = staged(_occurrences(texts, length), folder, "stretches")
     stretch_rows = found.filter("h IS NOT NULL")
-    crowded = staged(stretch_rows.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("h"), folder, "crowded")
+    crowded = staged(stretch_rows.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD), folder, "crowded")
     marked = _marked(stretch_rows.join(crowded, "h", "left_anti"), length)
-    if not crowded.isEmpty():
-        marked = marked.unionByName(_counted(stretch_rows.join(crowded, "h", "left_semi"), length))
+    crowd = crowded.agg(F.sum("n")).first()[0]
+    if crowd:
+        marked = marked.unionByName(_counted(stretch_rows.join(crowded, "h", "left_semi"), length, -(-crowd // CROWD)))
     marked = staged(marked, folder, "marked")
     places = found.filter("key IS NOT NULL").select("stretch", "key", "at").join(marked, "stretch")
 
