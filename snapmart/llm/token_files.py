@@ -24,8 +24,12 @@ files; very long documents span blocks; other columns of the table are ignored.
 from __future__ import annotations
 
 import functools
+import re
 import struct
+import sys
+import unicodedata
 import uuid
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -47,6 +51,21 @@ REMEMBERED = 500_000
 _COMMON = "\x00-ɏ‐-‧"
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian 32-bit numbers."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
+def _class(category: str) -> str:
+    """The characters of _COMMON in a general category, as ranges."""
+    codes = [c for lo, hi in ((0, 0x24F), (0x2010, 0x2027)) for c in range(lo, hi + 1) if unicodedata.category(chr(c))[0] == category]
+    starts = [c for c in codes if c - 1 not in codes]
+    return "".join(f"{chr(a)}-{chr(next(c for c in codes if c >= a and c + 1 not in codes))}" for a in starts)
+
+
 class PieceEncoder:
     """Encodes with the tokenizers library. The ids of frequent words are remembered as little-endian bytes.
 
@@ -57,7 +76,6 @@ class PieceEncoder:
     def __init__(self, path: str):
         import json
 
-        import regex
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
@@ -66,13 +84,15 @@ class PieceEncoder:
         #: only for a model of this kind are words encoded on their own
         self._by_word = split.get("type") == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"] and not model["normalizer"]
         self.library = Tokenizer.from_file(path)
-        # fixed: the splitting pattern of byte-level BPE
-        self._split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
-        self._odd = regex.compile(f"[^{_COMMON}]" + "".join("|" + regex.escape(t) for t in special)).search
+        letter, number, blank = _class("L"), _class("N"), "\t-\r \x85\xa0"
+        # fixed: the splitting pattern of byte-level BPE, over the characters of _COMMON
+        pattern = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{blank}{letter}{number}]+|[{blank}]+(?![^{blank}])|[{blank}]+"
+        self._split = re.compile(pattern).findall
+        self._odd = re.compile(f"[^{_COMMON}]" + "".join("|" + re.escape(t) for t in special)).search
         self.memo = Memo(self._unit, REMEMBERED)
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.library.encode(text, add_special_tokens=False).ids)
 
     _unit = _ids
 
@@ -83,7 +103,7 @@ class PieceEncoder:
         new = [w for w in set(chain.from_iterable(words)) if not self.memo.known(w)]
         for part in chunks(new, 4096):
             for word, got in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.memo.put(word, np.array(got.ids, "<u4").tobytes())
+                self.memo.put(word, _packed(got.ids))
         find = self.memo.__getitem__
         return [b"".join(map(find, w)) if p else self._ids(t) for t, p, w in zip(texts, plain, words, strict=True)]
 
