@@ -201,8 +201,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     marked = text_table(labels, doc_id, toxic).select(col(doc_id).alias("doc_id"), col(toxic).cast("int").alias("label"), F.xxhash64(col(doc_id)).alias("h"))
     marked = marked.filter("doc_id IS NOT NULL AND label IN (0, 1)").orderBy("h").limit(sample)
     texts = text_table(docs, doc_id, text).select(col(doc_id).alias("doc_id"), F.coalesce(col(text), F.lit("")).alias("text"))
-    turn = F.row_number().over(Window.partitionBy("label").orderBy("h", "text"))  # at most `sample` rows
-    rows = texts.join(F.broadcast(marked), "doc_id").withColumn("part", F.pmod(turn, F.lit(6)))
+    turn = F.row_number().over(Window.partitionBy("label").orderBy("h"))  # at most `sample` rows, before they get their texts
+    marked = marked.withColumn("part", F.pmod(turn, F.lit(6)))
+    rows = texts.join(F.broadcast(marked), "doc_id")
     rows = staged(rows.select("text", "label", "part"), shared_folder(spark), "labelled")
     lexicon = learn_lexicon(rows.filter("part < 3").select("text", "label"))
     seen = staged(featurise(rows.filter("part >= 3"), lexicon, ("label", "part")).toDF("label", "part", "features"), shared_folder(spark), "features")
