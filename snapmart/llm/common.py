@@ -43,7 +43,7 @@ def shared_folder(spark: SparkSession, kept: bool = False) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="snapmart-")
         spark.conf.set("spark.checkpoint.dir", root)
