@@ -6,7 +6,8 @@ lines, in as many splits as it has, in two scans:
 1. Each split is walked once under either assumption, that its start lies outside or inside a quoted field. That
    gives one row per split: where the split ends under each, and the pieces of records that cross its borders.
 2. These rows, one per split, tell where each split really starts. The second scan then cuts every split into the
-   records that lie within it. No line is shuffled; only the pieces that cross a border are.
+   records that lie within it. Only the pieces that cross a border are shuffled; lines are not, unless there are too
+   many splits to broadcast their rows. Then the lines of a split are brought together and sorted by their number.
 
 A record is unclosed if its file ends inside it. Its lines are kept one by one.
 """
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snapmart.operators.relational import broadcast_if_small
+from snapmart.operators.relational import BROADCAST_ROW_LIMIT
 from snapmart.workers import map_batches
 
 # positions in a CSV record: start of a field, in a bare field, in a quoted one, after a quote in a quoted one
@@ -149,7 +150,16 @@ def _placed(effects: DataFrame) -> DataFrame:
     return df.select("_path", "_source_file", "_block", "_inside", "_head", "_tail", "_open", "_lost", "_header")
 
 
-def read_records(spark: SparkSession, raw_dir: str, pattern: str, header: Sequence[str]) -> DataFrame:
+def _started(lines: DataFrame, starts: DataFrame, max_rows: int) -> DataFrame:
+    """The lines with the row of their split, those of a split together and in order."""
+    if starts.limit(max_rows + 1).count() <= max_rows:
+        return lines.join(F.broadcast(starts), ["_path", "_block"])
+    # one scan task reads a split, so its lines are numbered in order; no join promises to keep that order
+    numbered = lines.withColumn("_number", F.monotonically_increasing_id())
+    return numbered.join(starts, ["_path", "_block"]).repartition("_path", "_block").sortWithinPartitions("_path", "_block", "_number")
+
+
+def read_records(spark: SparkSession, raw_dir: str, pattern: str, header: Sequence[str], max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """(_source_file, line, _unclosed): every record but the headers, as CSV text with LF for line breaks inside.
 
     Line ends are CRLF where the header's is, else LF. A record that the end of its file leaves open is returned
@@ -161,7 +171,7 @@ def read_records(spark: SparkSession, raw_dir: str, pattern: str, header: Sequen
     names = F.regexp_replace("_header", '["\r]', "")
     drift = F.raise_error(F.concat_ws(": ", F.lit("header drift"), "_source_file", names)).cast("boolean")
     placed = placed.filter(F.when(names == ",".join(header), True).otherwise(drift))
-    starts = broadcast_if_small(placed.select("_path", "_block", "_inside", "_header"))
+    starts = placed.select("_path", "_block", "_inside", "_header")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, name, block, inside, first_line), found in _splits_of(batches, 5):
@@ -174,7 +184,7 @@ def read_records(spark: SparkSession, raw_dir: str, pattern: str, header: Sequen
             records = [r for r in records if r]
             yield pa.RecordBatch.from_pydict({"_source_file": pa.array([name] * len(records), pa.string()), "line": pa.array(records, pa.string())})
 
-    joined = lines.join(starts, ["_path", "_block"]).select("_path", "_source_file", "_block", "_inside", "_header", "value")
+    joined = _started(lines, starts, max_rows).select("_path", "_source_file", "_block", "_inside", "_header", "value")
     within = map_batches(joined, run, "_source_file string, line string").withColumn("_unclosed", F.lit(False))
 
     pieces = placed.filter("_head IS NOT NULL AND _open IS NOT NULL").select("_path", "_source_file", "_block", F.col("_open").alias("_record"), F.col("_head").alias("piece"), "_lost", "_header")

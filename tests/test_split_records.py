@@ -79,6 +79,27 @@ def test_unclosed_record_is_kept_line_by_line(tiny_splits, tmp_path):
     assert all(r._corrupt_record for r in observations.rejects(landed).collect())
 
 
+def test_more_splits_than_are_broadcast(tiny_splits, tmp_path):
+    for region in ("CA", "US"):
+        lines = [f'v{region},"opened', *(f"line {i}" for i in range(20)), 'end"', "v,plain"]
+        (tmp_path / f"{region}videos.csv").write_text(csv_text(sample_rows(region), lines))
+    broadcast = split_records.read_records(tiny_splits, str(tmp_path), "*videos*.csv", OBSERVATION_HEADER)
+    got = collections.Counter(map(tuple, broadcast.collect()))
+    threshold = tiny_splits.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    tiny_splits.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = split_records.read_records(tiny_splits, str(tmp_path), "*videos*.csv", OBSERVATION_HEADER, max_rows=1)
+        plan = many._jdf.queryExecution().executedPlan().toString()
+        shuffled = collections.Counter(map(tuple, many.collect()))
+    finally:
+        tiny_splits.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert shuffled == got and sum(got.values()) == 8
+    # the lines of a split reach Python sorted by their number
+    assert "BroadcastHashJoin" not in plan
+    within = plan[plan.index("MapInArrow") :].split("\n")[1:4]
+    assert any("Sort [" in line and "_number" in line for line in within)
+
+
 def test_header_drift_fails(tiny_splits, tmp_path):
     (tmp_path / "CAvideos.csv").write_text(csv_text(sample_rows("CA")).replace("video_id,trending", "trending,video_id"))
     with pytest.raises(Exception, match="header drift: CAvideos.csv"):
