@@ -29,14 +29,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id (of its texts, if the id repeats, one).
+    """One document of each group: the one with the smallest id (of its texts in the group, if the id repeats, one).
 
-    Documents without words and those without an id all stay.
+    An id with texts in several groups stays once for each group that it leads. Documents without words and those without an id all stay.
     """
     found = near_duplicates.near_duplicates(docs, words=5, percent=80)
     found = staged(found, shared_folder(spark), "groups")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    first = found.filter(~alone & F.col("kept")).groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
+    leads = (F.col("doc_id") == F.col("component_id")) & (F.col("text_key") == F.col("component_key"))
+    first = found.filter(~alone & leads).select("doc_id", "text_key").distinct()
     numbered = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
     doc_id, text = (F.col(numbered.columns[docs.columns.index(n)]) for n in ("doc_id", "text"))
     keyed = numbered.withColumns({"_id": doc_id, "_key": F.xxhash64(text)})

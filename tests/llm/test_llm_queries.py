@@ -74,6 +74,14 @@ def test_near_duplicates_leave_one_of_a_group(spark, odd):
     assert got == {(1, "Som"): 1, (2, "ano"): 1, (3, ""): 1, (4, ""): 1, (None, "no "): 1, (5, "xxx"): 1, (6, "ééé"): 1, (7, "ééé"): 1}
 
 
+def test_unlike_texts_of_one_id_leave_one_of_each_group(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(8, a), (8, b), (9, b + " more"), (9, c), (7, a + " more"), (8, a + " more"), (8, c), (8, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(map(tuple, corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR).collect()))
+    assert got == {(7, a + " more"): 1, (8, b): 1, (8, c): 1}
+
+
 def test_repeated_passages_go(spark, odd):
     got = {(r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.drop_repeated_passages(spark, odd, SF_DIR).filter("doc_id >= 3").collect()}
     assert got == {(3, None, 0), (4, "", 0), (5, "", 0), (6, "y", 1), (7, "z", 1)}
