@@ -6,17 +6,23 @@ capitals, exclamation marks, other punctuation, and letters mixed with digits or
 
 The lexicon is learned: words and word beginnings (4 to 6 letters) that are far more frequent in toxic rows. The
 labelled rows are parted by a hash of their id: on half of them the lexicon is learned, on a third the trees
-(so that they see the lexicon as new texts meet it), on the rest the calibration. At most `SAMPLE` labelled
-rows are learned from, those with the smallest hash; their whole texts are used. Trees and calibration are Spark ML's.
+(so that they see the lexicon as new texts meet it), on the rest the calibration. Where a part would have fewer than
+`LEAST` rows of a label, lexicon and trees share the rows by cross-fitting: a row's features come from a lexicon
+learned on the other folds, whose entries need only `FEW_ROWS` toxic rows, and the trees' chances stay as they are.
+
+At most `SAMPLE` labelled rows are learned from, half of them of either label as far as there are so many, those with
+the smallest hash; their whole texts are used. Calibration, or the trees without it, weighs the rows of a label by how
+many each stands for, so scores are chances at the labels' own shares. Trees and calibration are Spark ML's.
 
 Cases: null and empty texts and texts without words have all features 0 and get the score of such a text; labels
 that are null are not learned from, nor are rows whose id is null; an id that is labelled twice or repeated counts as
-often as the join gives it; with fewer than `LEAST` rows of either label in a part every text scores 0; empty
-tables, very long texts and other columns need no special care.
+often as the join gives it; with fewer than two labelled rows of either label, of which none can be held against
+what the other teaches, every text scores 0; empty tables, very long texts and other columns need no special care.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -37,10 +43,12 @@ from snapmart.llm.common import chunks, col, map_batches, shared_folder, staged,
 
 #: Labelled rows learned from, at most.
 SAMPLE = 20_000
-#: Rows of either label that trees and calibration need.
-LEAST = 5
+#: Rows of either label that a part of its own needs for trees or calibration; with fewer, this many folds share the rows.
+LEAST, FOLDS = 5, 5
 #: A lexicon entry occurs in so many toxic rows at least, and so many times as often in them as in others.
 ENTRY_ROWS, ENTRY_RATIO, ENTRIES = 3, 8.0, 2000
+#: Toxic rows of an entry where few rows are shared.
+FEW_ROWS = 2
 #: Words between a lexicon word and a second-person word that count as near.
 NEAR = 5
 REMEMBERED = 600_000
@@ -152,7 +160,7 @@ def featurise(docs: DataFrame, lexicon: dict[str, float], keep: tuple[str, ...],
     return map_batches(source, run, schema).select(*names, array_to_vector("f").alias("features"))
 
 
-def learn_lexicon(rows: DataFrame) -> dict[str, float]:
+def learn_lexicon(rows: DataFrame, entry_rows: int = ENTRY_ROWS) -> dict[str, float]:
     """Entries and their log ratios, from rows (text, label) of a bounded sample."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,13 +178,13 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("other")
     )
     ratio = ((F.col("toxic") + 0.5) / (totals[1] + 1.0)) / ((F.col("other") + 0.5) / (totals[0] + 1.0))
-    kept = counts.withColumn("ratio", ratio).filter((F.col("toxic") >= ENTRY_ROWS) & (F.col("ratio") >= ENTRY_RATIO))
+    kept = counts.withColumn("ratio", ratio).filter((F.col("toxic") >= entry_rows) & (F.col("ratio") >= ENTRY_RATIO))
     best = kept.orderBy((F.col("toxic") * F.log("ratio")).desc(), "entry").limit(ENTRIES).collect()
     return {r["entry"]: math.log(r["ratio"]) for r in best}
 
 
 class Model:
-    """A lexicon with the trees and the calibration; without them every text scores 0."""
+    """A lexicon with the trees and, if any, their calibration; without trees every text scores 0."""
 
     def __init__(self, lexicon: dict[str, float], trees: GBTClassificationModel | None, calibration: IsotonicRegressionModel | None):
         self.lexicon, self.trees, self.calibration = lexicon, trees, calibration
@@ -187,7 +195,7 @@ class Model:
             return text_table(docs, *keep).withColumn("score", F.lit(0.0))
         names = [f"_{k}" for k in range(len(keep))]
         scored = self.trees.transform(featurise(docs, self.lexicon, keep, text)).select(*names, _raw("probability").alias("raw"))
-        scored = self.calibration.transform(scored)
+        scored = self.calibration.transform(scored) if self.calibration else scored.withColumnRenamed("raw", "prediction")
         return scored.select(*names, F.greatest(F.lit(0.0), F.least(F.lit(1.0), "prediction"))).toDF(*keep, "score")
 
 
@@ -195,22 +203,60 @@ def _raw(probability: str) -> Column:
     return vector_to_array(probability)[1]
 
 
+def _sampled(labels: DataFrame, sample: int) -> tuple[DataFrame, dict[int, float]]:
+    """The rows (doc_id, label, h) to learn from, at most `sample`, and how many labelled rows each stands for, by label."""
+    there = {0: 0, 1: 0} | {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    toxic = min(there[1], max(sample // 2, sample - there[0]))
+    taken = {0: min(there[0], sample - toxic), 1: toxic}
+    least = [labels.filter(F.col("label") == y).orderBy("h").limit(n) for y, n in taken.items()]
+    return least[0].unionByName(least[1]), {y: there[y] / max(n, 1) for y, n in taken.items()}
+
+
+def _trees(seen: DataFrame, weight: Column) -> GBTClassificationModel:
+    trees = GBTClassifier(labelCol="label", weightCol="weight", maxIter=20, maxDepth=3, stepSize=0.2, seed=7, minInstancesPerNode=2)
+    return trees.fit(seen.withColumn("weight", weight).coalesce(4))
+
+
+def _parted(rows: DataFrame, folder: str, weight: Column) -> Model:
+    """A model from rows (text, label, turn): lexicon, trees and calibration each from a part of them."""
+    part = F.pmod("turn", F.lit(6))
+    lexicon = learn_lexicon(rows.filter(part < 3).select("text", "label"))
+    seen = featurise(rows.filter(part >= 3).withColumn("part", part), lexicon, ("label", "part")).toDF("label", "part", "features")
+    seen = staged(seen, folder, "features")
+    trees = _trees(seen.filter("part < 5"), F.lit(1.0))
+    held = trees.transform(seen.filter("part = 5")).select(_raw("probability").alias("raw"), F.col("label").cast("double").alias("label"), weight.alias("weight"))
+    return Model(lexicon, trees, IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(held))
+
+
+def _cross_fitted(rows: DataFrame, folder: str, weight: Column, folds: int) -> Model:
+    """A model from rows (text, label, turn): lexicon and trees from all of them."""
+    # turns are dealt anew, so that every fold has rows of either label though some labelled ids may have no text
+    place = F.row_number().over(Window.partitionBy("label").orderBy("turn"))
+    dealt = rows.select("label", "turn").distinct().withColumn("fold", F.pmod(place, F.lit(folds)))
+    rows = staged(rows.join(F.broadcast(dealt), ["label", "turn"]).select("text", "label", "fold"), folder, "folds")
+    fold, seen = F.col("fold"), []
+    for k in range(folds):
+        lexicon = learn_lexicon(rows.filter(fold != k).select("text", "label"), FEW_ROWS)
+        seen.append(featurise(rows.filter(fold == k), lexicon, ("label",)).toDF("label", "features"))
+    seen = staged(functools.reduce(DataFrame.unionByName, seen), folder, "features")
+    return Model(learn_lexicon(rows.select("text", "label"), FEW_ROWS), _trees(seen, weight), None)
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Model:
     """A model from the rows of `docs` that `labels` (doc_id, toxic 0/1) marks; give only rows to learn from."""
-    spark = docs.sparkSession
+    folder = shared_folder(docs.sparkSession)
     marked = text_table(labels, doc_id, toxic).select(col(doc_id).alias("doc_id"), col(toxic).cast("int").alias("label"), F.xxhash64(col(doc_id)).alias("h"))
-    marked = marked.filter("doc_id IS NOT NULL AND label IN (0, 1)").orderBy("h").limit(sample)
+    marked, stands_for = _sampled(marked.filter("doc_id IS NOT NULL AND label IN (0, 1)"), sample)
     texts = text_table(docs, doc_id, text).select(col(doc_id).alias("doc_id"), F.coalesce(col(text), F.lit("")).alias("text"))
     turn = F.row_number().over(Window.partitionBy("label").orderBy("h"))  # at most `sample` rows, before they get their texts
-    marked = marked.withColumn("part", F.pmod(turn, F.lit(6)))
-    rows = texts.join(F.broadcast(marked), "doc_id")
-    rows = staged(rows.select("text", "label", "part"), shared_folder(spark), "labelled")
-    lexicon = learn_lexicon(rows.filter("part < 3").select("text", "label"))
-    seen = staged(featurise(rows.filter("part >= 3"), lexicon, ("label", "part")).toDF("label", "part", "features"), shared_folder(spark), "features")
-    counts = {(r["cal"], r["label"]): r["n"] for r in seen.groupBy((F.col("part") == 5).alias("cal"), "label").agg(F.count("*").alias("n")).collect()}
-    if any(counts.get((part, label), 0) < LEAST for part in (False, True) for label in (0, 1)):
-        return Model(lexicon, None, None)
-    fit = seen.filter("part < 5").coalesce(4)
-    trees = GBTClassifier(labelCol="label", maxIter=20, maxDepth=3, stepSize=0.2, seed=7, minInstancesPerNode=2).fit(fit)
-    held = trees.transform(seen.filter("part = 5")).select(_raw("probability").alias("raw"), F.col("label").cast("double").alias("label"))
-    return Model(lexicon, trees, IsotonicRegression(featuresCol="raw", labelCol="label").fit(held))
+    rows = texts.join(F.broadcast(marked.withColumn("turn", turn)), "doc_id")
+    rows = staged(rows.select("text", "label", "turn"), folder, "labelled")
+    part = F.greatest(F.pmod("turn", F.lit(6)), F.lit(2))
+    counts = {(r["part"], r["label"]): r["n"] for r in rows.groupBy(part.alias("part"), "label").agg(F.count("*").alias("n")).collect()}
+    of = lambda label, *parts: sum(counts.get((p, label), 0) for p in parts)
+    weight = F.when(F.col("label") == 1, stands_for[1]).otherwise(stands_for[0])
+    if all(of(y, 2) and of(y, 3, 4) >= LEAST and of(y, 5) >= LEAST for y in (0, 1)):
+        return _parted(rows, folder, weight)
+    turns = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.countDistinct("turn").alias("n")).collect()}
+    folds = min(FOLDS, *(turns.get(y, 0) for y in (0, 1)))
+    return _cross_fitted(rows, folder, weight, folds) if folds > 1 else Model({}, None, None)

@@ -163,6 +163,14 @@ def test_held_out_toxicity(spark):
     assert model.score(odd.limit(0)).count() == 0
 
 
+def test_rare_label_is_sampled_for_itself(spark):
+    labels = spark.range(1000).select(F.col("id").alias("doc_id"), (F.col("id") % 25 == 0).cast("int").alias("label"), F.xxhash64("id").alias("h"))
+    rows, stands_for = toxicity._sampled(labels, 100)
+    assert {r.label: r["count"] for r in rows.groupBy("label").count().collect()} == {0: 60, 1: 40}
+    assert stands_for == {0: 16.0, 1: 1.0}
+    assert toxicity._sampled(labels, 5000)[0].count() == 1000
+
+
 def test_too_few_labels_score_nothing(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")

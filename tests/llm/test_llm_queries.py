@@ -1,5 +1,6 @@
 """Registered queries against their SQL, the pipeline's stages, and the columns of the contracts."""
 
+import random
 from collections import Counter
 
 import compare
@@ -74,6 +75,20 @@ def test_near_duplicates_leave_one_of_a_group(spark, odd):
     assert got == {(1, "Som"): 1, (2, "ano"): 1, (3, ""): 1, (4, ""): 1, (None, "no "): 1, (5, "xxx"): 1, (6, "ééé"): 1, (7, "ééé"): 1}
 
 
+def test_few_labels_reject(spark, tmp_path):
+    rng = random.Random(3)
+    insults, rows = ["idiot", "scum", "moron", "trash"], []
+    for i in range(160):
+        words = rng.choices([f"word{k}" for k in range(300)], k=rng.randint(20, 60))
+        for insult in rng.sample(insults, 3) if i % 8 == 0 else []:
+            words.insert(rng.randrange(len(words)), insult)
+        rows.append((i, " ".join(words), int(i % 8 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs.filter("doc_id < 100").select("doc_id", "toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    left = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs.drop("toxic"), str(tmp_path)).collect()}
+    assert sum(i % 8 == 0 for i in left) <= 2 and sum(i % 8 != 0 for i in left) >= 130
+
+
 def test_unlike_texts_of_one_id_leave_one_of_each_group(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
     rows = [(8, a), (8, b), (9, b + " more"), (9, c), (7, a + " more"), (8, a + " more"), (8, c), (8, c)]
