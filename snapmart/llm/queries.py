@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm import language_id, mixing, near_duplicates, repetition, rotated_codes, sentencepiece_bpe, suffix_dedup, token_files, toxicity, url_filter
+from snapmart.llm import (
+    divergence,
+    language_id,
+    mixing,
+    near_duplicates,
+    packing,
+    pivot_clustering,
+    repetition,
+    rotated_codes,
+    sentencepiece_bpe,
+    suffix_dedup,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from snapmart.llm.common import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,7 +103,36 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_near_duplicates, op3_url_filter, op4_language_id, op5_toxicity, op6_token_files, op7_mixing, op8_repetition, op9_rotated_codes, op10_suffix_dedup)}
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=0)
+
+
+def op12_pivot_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_sentencepiece,
+        op2_near_duplicates,
+        op3_url_filter,
+        op4_language_id,
+        op5_toxicity,
+        op6_token_files,
+        op7_mixing,
+        op8_repetition,
+        op9_rotated_codes,
+        op10_suffix_dedup,
+        op11_packing,
+        op12_pivot_clustering,
+        op13_divergence,
+    )
+}
 
 _OP7 = """
 WITH d AS (
@@ -166,4 +209,58 @@ SELECT doc_id, (len(t) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT
 FROM d LEFT JOIN q USING (k)
 """
 
-ORACLE: dict[str, str] = {"op7_mixing": _OP7, "op8_repetition": _OP8, "op9_rotated_codes": _OP9, "op10_suffix_dedup": _OP10}
+
+
+def _op12() -> str:
+    """The rounds one after the other: a_k assigns with the centroids c_k."""
+    start = """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE len(embedding) = 64
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(x, lambda y: floor(256 * y)::BIGINT) AS v FROM e),
+c0 AS (SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1)::INT AS k, v FROM v
+       QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) <= 40)"""
+    turn = """
+a{i} AS (SELECT r, vec_id, v.v AS v, k, list_sum(list_transform(range(1, 65), lambda i: (v.v[i] - c.v[i]) * (v.v[i] - c.v[i])))::BIGINT AS distance
+      FROM v CROSS JOIN c{i} c QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, k) = 1)"""
+    step = """
+u{i} AS (SELECT k, i, sum(v[i])::HUGEINT AS s, count(*) AS n FROM a{i}, range(1, 65) t(i) GROUP BY k, i),
+c{j} AS (SELECT k, coalesce(m, c{i}.v) AS v FROM c{i} LEFT JOIN (
+         SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS m FROM u{i} GROUP BY k) USING (k))"""
+    parts = [part.format(i=i, j=i + 1) for i in range(5) for part in (turn, step)]
+    end = """
+SELECT vec_id, k AS cluster, distance, (sum(distance) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c5.v, ',')) AS centroid_sha256
+FROM a5 JOIN c5 USING (k)"""
+    return ",".join([start, *parts, turn.format(i=5)]) + end
+
+
+_OP13 = """
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+o AS (SELECT k, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT k) >= 10),
+v AS (SELECT lang, count(term) AS v FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+f AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0)::HUGEINT AS n FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v)::HUGEINT AS p FROM f JOIN v USING (lang)),
+l AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM f GROUP BY lang, term),
+q AS (SELECT lang, term, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v)::HUGEINT AS q FROM l JOIN v USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+          UNION ALL
+          SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLE: dict[str, str] = {
+    "op7_mixing": _OP7,
+    "op8_repetition": _OP8,
+    "op9_rotated_codes": _OP9,
+    "op10_suffix_dedup": _OP10,
+    "op12_pivot_clustering": _op12(),
+    "op13_divergence": _OP13,
+}
