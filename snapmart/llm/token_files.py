@@ -15,7 +15,8 @@ are left out. Small, slowly varying bits then lie together. Layout, all numbers
 
 Files are written by the tasks into a folder that all machines share (any address pyarrow's file systems know),
 first under a name of their own and then renamed, so that a task that runs again leaves the same file. Documents
-are dealt to files by ranges of doc_id; ties are ordered by a hash of the text and repeated rows are all written.
+are dealt to files by ranges of doc_id, so many that a file has about `FILE_BYTES` of text; ties are ordered by a hash
+of the text and then by a number, and repeated rows are all written.
 
 Cases: a null text is an empty one and has the end id only; a null doc_id comes first; an empty table writes no
 files; very long documents span blocks; other columns of the table are ignored.
@@ -23,7 +24,6 @@ files; very long documents span blocks; other columns of the table are ignored.
 
 from __future__ import annotations
 
-import functools
 import re
 import struct
 import sys
@@ -38,15 +38,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import Memo, chunks, col, map_batches, text_table
+from snapmart.llm.common import chunks, col, map_batches, text_table, worker_table
 
 MAGIC, FOOTER = b"BPL1", struct.Struct("<6q")
 #: Ids in a block.
 BLOCK = 1 << 16
 #: Bytes of text that one file should hold, about.
-FILE_BYTES = 64 << 20
-#: Remembered pieces of text per generation and worker, about 200 bytes each.
-REMEMBERED = 500_000
+FILE_BYTES = 32 << 20
+#: Remembered words of a worker, about 200 bytes each; beyond it they are all forgotten and learned again.
+REMEMBERED = 600_000
+# fixed: how byte-level vocabularies spell a blank
+_BLANK = "\u0120"
 #: Characters whose class every version of Unicode agrees on; other texts are split by the library alone.
 _COMMON = "\x00-ɏ‐-‧"
 
@@ -88,62 +90,92 @@ class PieceEncoder:
         # fixed: the splitting pattern of byte-level BPE, over the characters of _COMMON
         pattern = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{blank}{letter}{number}]+|[{blank}]+(?![^{blank}])|[{blank}]+"
         self._split = re.compile(pattern).findall
-        self._odd = re.compile(f"[^{_COMMON}]" + "".join("|" + re.escape(t) for t in special)).search
-        self.memo = Memo(self._unit, REMEMBERED)
-
-    def _ids(self, text: str) -> bytes:
-        return _packed(self.library.encode(text, add_special_tokens=False).ids)
-
-    _unit = _ids
+        self._uncommon, self._special = re.compile(f"[^{_COMMON}]").search, special
+        size = self.library.get_vocab_size()
+        self._begins = np.array([(self.library.id_to_token(i) or "").startswith(_BLANK) for i in range(size)])
+        self.memo: dict[str, bytes] = {}
+
+    def _odd(self, text: str) -> bool:
+        """Whether a text is left to the library."""
+        return not self._by_word or any(t in text for t in self._special) or not text.isascii() and self._uncommon(text) is not None
+
+    def _learn(self, words: set[str]) -> None:
+        """Put the ids of new words into the memo.
+
+        Words of letters after one blank are put together into texts, which the library splits into the same words
+        again; the ids of a word start where a piece begins with a blank.
+        """
+        if len(self.memo) + len(words) > REMEMBERED:
+            self.memo.clear()
+        led = [w for w in words if w[0] == " " and w[1:2].isalpha()]  # the pattern lets nothing but letters follow
+        texts = list(chunks(led, 512))
+        for part, got in zip(texts, self.library.encode_batch_fast(["".join(p) for p in texts], add_special_tokens=False), strict=True):
+            ids = np.array(got.ids, "<u4")
+            starts = np.flatnonzero(self._begins[ids])
+            raw, ends = ids.tobytes(), (4 * np.append(starts[1:], len(ids))).tolist()
+            self.memo.update(zip(part, [raw[i:j] for i, j in zip((4 * starts).tolist(), ends, strict=True)], strict=True))
+        for part in chunks(words.difference(led), 4096):
+            for word, got in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.memo[word] = _packed(got.ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        plain = [self._by_word and not self._odd(t) for t in texts]
-        words = [self._split(t) if p else [] for t, p in zip(texts, plain, strict=True)]
-        new = [w for w in set(chain.from_iterable(words)) if not self.memo.known(w)]
-        for part in chunks(new, 4096):
-            for word, got in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.memo.put(word, _packed(got.ids))
-        find = self.memo.__getitem__
-        return [b"".join(map(find, w)) if p else self._ids(t) for t, p, w in zip(texts, plain, words, strict=True)]
+        words = [None if self._odd(t) else self._split(t) for t in texts]
+        flat = list(chain.from_iterable(w for w in words if w))
+        found = list(map(self.memo.get, flat))
+        if missing := [k for k, x in enumerate(found) if x is None]:
+            new = {flat[k] for k in missing}
+            self._learn(new)
+            for k in missing:
+                found[k] = self.memo[flat[k]]
+        out, at = [], 0
+        for text, w in zip(texts, words, strict=True):
+            if w is None:
+                out.append(_packed(self.library.encode(text, add_special_tokens=False).ids))
+            else:
+                out.append(b"".join(found[at : at + len(w)]))
+                at += len(w)
+        return out
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> PieceEncoder:
     """One encoder for each worker process."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
-    return PieceEncoder(path)
+    return worker_table("byte tokens", path, lambda: PieceEncoder(path))
 
 
-def _frames(block: np.ndarray) -> tuple[int, list[bytes]]:
+def _frames(block: np.ndarray, press) -> tuple[int, list[bytes]]:
     """The mask of stored planes and the frame of each."""
-    import zstandard
-
-    press = zstandard.ZstdCompressor(level=3).compress
-    bits = np.unpackbits(block.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
-    planes = np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")
-    stored = planes.any(axis=1)
-    return int(sum(1 << b for b in range(32) if stored[b])), [press(p.tobytes()) if s else b"" for p, s in zip(planes, stored, strict=True)]
-
-
-def _block(frames: list[bytes], n: int) -> np.ndarray:
-    import zstandard
-
-    unpress = zstandard.ZstdDecompressor().decompress
-    planes = np.zeros((32, -(-n // 8)), np.uint8)
+    columns = np.ascontiguousarray(block.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    used, mask, frames = columns.any(axis=1), 0, [b""] * 32
+    for b in range(32):
+        if not used[b // 8]:
+            continue
+        plane = np.packbits(columns[b // 8] & np.uint8(1 << b % 8), bitorder="little")
+        if plane.any():
+            mask |= 1 << b
+            frames[b] = press(plane.tobytes())
+    return mask, frames
+
+
+def _block(frames: list[bytes], n: int, unpress) -> np.ndarray:
+    ids = np.zeros(n, np.uint32)
     for b, frame in enumerate(frames):
         if frame:
-            planes[b] = np.frombuffer(unpress(frame), np.uint8)
-    bits = np.unpackbits(planes, axis=1, count=n, bitorder="little")
-    return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view("<u4").ravel()
+            plane = np.unpackbits(np.frombuffer(unpress(frame), np.uint8), count=n, bitorder="little")
+            ids |= plane.astype(np.uint32) << np.uint32(b)
+    return ids.astype("<u4")
 
 
 class PlaneWriter:
     """Writes one file; memory is one block and the lists of documents and blocks."""
 
     def __init__(self, sink):
+        import zstandard
+
+        self._press = zstandard.ZstdCompressor(level=3).compress
         self._sink, self._rest, self._size = sink, [], 0
         self._index, self._docs, self._flags, self.ids = [], [], [], 0
         sink.write(MAGIC)
@@ -162,18 +194,16 @@ class PlaneWriter:
             self._size = len(self._rest[0])
 
     def _write(self, block: np.ndarray) -> None:
-        mask, frames = _frames(block)
+        mask, frames = _frames(block, self._press)
         for frame in frames:
             self._sink.write(frame)
         self._index += (len(block), mask, *map(len, frames))
 
     def close(self) -> None:
-        import zstandard
-
         if self._size:
             self._write(np.concatenate(self._rest))
         tail = [np.array(x, kind).tobytes() for x, kind in ((self._index, "<i8"), (self._docs, "<i8"), (self._flags, np.uint8))]
-        tail = [zstandard.ZstdCompressor().compress(x) for x in tail]
+        tail = [self._press(x) for x in tail]
         for frame in tail:
             self._sink.write(frame)
         self._sink.write(FOOTER.pack(self.ids, len(self._flags), *map(len, tail), BLOCK))
@@ -183,17 +213,17 @@ def read_documents(source) -> Iterator[tuple[int | None, int, np.ndarray]]:
     """doc_id, place of the first id in the file, and ids of each document of an open file, block by block."""
     import zstandard
 
-    size = source.size()
+    unpress, size = zstandard.ZstdDecompressor().decompress, source.size()
     source.seek(size - FOOTER.size)
     _, _, *tail, _ = FOOTER.unpack(source.read(FOOTER.size))
     source.seek(size - FOOTER.size - sum(tail))
-    index, docs, flags = (zstandard.ZstdDecompressor().decompress(source.read(n)) for n in tail)
+    index, docs, flags = (unpress(source.read(n)) for n in tail)
     index = np.frombuffer(index, "<i8").reshape(-1, 34)
     docs, flags = np.frombuffer(docs, "<i8").reshape(-1, 2), np.frombuffer(flags, np.uint8)
     source.seek(0)
     if source.read(len(MAGIC)) != MAGIC:
         raise ValueError("not a bit-plane file")
-    blocks = (_block([source.read(n) for n in row[2:].tolist()], int(row[0])) for row in index)
+    blocks = (_block([source.read(n) for n in row[2:].tolist()], int(row[0]), unpress) for row in index)
     rest, start = np.empty(0, "<u4"), 0
     for (doc_id, n), null in zip(docs.tolist(), flags, strict=True):
         if n > len(rest):
@@ -216,10 +246,11 @@ def write_files(
     df: DataFrame, tokenizer_path: str, folder: str, end_id: int, files: int | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> list[tuple[str, int, int]]:
     """Encode every text, append `end_id`, write files in ascending doc_id order; name, documents and ids of each."""
-    spark = df.sparkSession
     source = text_table(df, doc_id, text)
-    number = files or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    source = source.select(col(doc_id).alias("doc_id"), col(text).alias("text"), F.xxhash64(col(text)).alias("tie"))
+    number = files or -(-(source.agg(F.sum(F.octet_length(col(text)))).first()[0] or 0) // FILE_BYTES) or 1
+    # rows that repeat have a number, so that a file needn't hold all of them
+    tie = F.struct(F.xxhash64(col(text)).alias("key"), F.monotonically_increasing_id().alias("number"))
+    source = source.select(col(doc_id).alias("doc_id"), col(text).alias("text"), tie.alias("tie"))
     ordered = source.repartitionByRange(number, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -91,3 +91,12 @@ def test_words_give_what_whole_texts_give():
     texts = ["".join(rng.choices(parts, k=12)) for _ in range(2000)]
     want = [x.ids for x in coder.library.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == want
+
+
+def test_files_follow_the_bytes_and_part_equal_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "FILE_BYTES", 4000)
+    same = spark.createDataFrame([(1, "the same words " * 10)] * 200, "doc_id long, text string")
+    for n, docs in ((8, same), (16, same.unionByName(same))):
+        written = token_files.write_files(docs, BYTES, str(tmp_path / str(n)), 2)
+        assert n // 2 < len(written) <= n and max(d for _, d, _ in written) < 150
+        assert token_files.read_files(spark, str(tmp_path / str(n)), written).count() == sum(d for _, d, _ in written) == docs.count()
