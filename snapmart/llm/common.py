@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from snapmart.workers import map_batches
 
-__all__ = ["WORD", "Memo", "chunks", "col", "map_batches", "release_folders", "shared_folder", "staged", "text_table", "with_text"]
+__all__ = ["WORD", "Memo", "chunks", "col", "map_batches", "noted_folders", "release_folders", "shared_folder", "staged", "text_table", "with_text", "worker_table"]
 
 #: A word, in Spark's and Java's spelling: anything between ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -33,11 +34,21 @@ def with_text(df: DataFrame, keep: Iterable[str], text: str) -> DataFrame:
     return df.select(*[col(n).alias(f"_{k}") for k, n in enumerate(keep)], col(text).alias("_text"))
 
 
-_FOLDERS: list[str] = []
+_NOTED: list[list[str]] = []
 
 
-def shared_folder(spark: SparkSession, kept: bool = False) -> str:
-    """A new folder that driver and executors share: below `spark.checkpoint.dir`. `release_folders` spares it if `kept`.
+@contextmanager
+def noted_folders() -> Iterator[list[str]]:
+    """A list of the folders that `shared_folder` makes within."""
+    _NOTED.append([])
+    try:
+        yield _NOTED[-1]
+    finally:
+        _NOTED.pop()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share: below `spark.checkpoint.dir`.
 
     Only where that is unset, as in tests on one machine, a temporary folder is set instead.
     """
@@ -48,15 +59,15 @@ def shared_folder(spark: SparkSession, kept: bool = False) -> str:
         root = tempfile.mkdtemp(prefix="snapmart-")
         spark.conf.set("spark.checkpoint.dir", root)
     folder = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
-    if not kept:
-        _FOLDERS.append(folder)
+    if _NOTED:
+        _NOTED[-1].append(folder)
     return folder
 
 
-def release_folders(spark: SparkSession) -> None:
-    """Delete the intermediate tables of operators so far. Only for when all their results have been written."""
-    while _FOLDERS:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+def release_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete these folders of intermediate tables, and empty the list. Only for when what rests on them has been written."""
+    while folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folders.pop())
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -67,6 +78,22 @@ def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_TABLES: dict[tuple, object] = {}
+
+
+def worker_table(owner: str, key, make: Callable):
+    """A table that a worker process keeps between tasks: `make()`, once for each `key` of an operator.
+
+    Worker processes are used again by later operators, so only one operator's tables are held: those of any
+    other owner go when a new one asks, and with them the memory of stages that are done.
+    """
+    if (owner, key) not in _TABLES:
+        for held in [k for k in _TABLES if k[0] != owner]:
+            del _TABLES[held]
+        _TABLES[owner, key] = make()
+    return _TABLES[owner, key]
+
+
 class Memo(dict):
     """Results of a pure function of short strings, in bounded memory.
 

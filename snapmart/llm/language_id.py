@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from snapmart.llm.common import chunks, col, map_batches, shared_folder, staged, text_table, with_text
+from snapmart.llm.common import chunks, col, map_batches, shared_folder, staged, text_table, with_text, worker_table
 
 UNDETERMINED = "und"
 #: Labelled rows learned from, per language.
@@ -228,16 +228,9 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], model_path: s
     return map_batches(source, run, schema).toDF(*keep, "lang_pred", "score")
 
 
-_SCORERS: dict[bytes, Scorer] = {}
-
-
 def _scorer(model_path: str, theta: np.ndarray) -> Scorer:
     """One scorer for each model and worker process; an earlier model's goes."""
-    key = hashlib.md5(theta.tobytes()).digest()
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(model_path, theta)
-    return _SCORERS[key]
+    return worker_table(f"language {hashlib.md5(theta.tobytes()).hexdigest()}", model_path, lambda: Scorer(model_path, theta))
 
 
 def bucket(doc_id: Column, of: int) -> Column:

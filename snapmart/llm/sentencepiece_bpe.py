@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from snapmart.llm.common import Memo, chunks, map_batches, with_text
+from snapmart.llm.common import Memo, chunks, map_batches, with_text, worker_table
 
 MARK = "▁"
 #: Remembered pieces of text per generation and worker, about 200 bytes each.
@@ -178,10 +178,9 @@ class PrefixTableEncoder:
         return list(chain.from_iterable(map(self.memo.__getitem__, units)))
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(model_path: str) -> PrefixTableEncoder:
     """One encoder for each worker process."""
-    return PrefixTableEncoder(model_path)
+    return worker_table("sentencepiece", model_path, lambda: PrefixTableEncoder(model_path))
 
 
 def encode_and_decode(df: DataFrame, model_path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from snapmart.llm.common import chunks, col, map_batches, shared_folder, staged, text_table, with_text
+from snapmart.llm.common import chunks, col, map_batches, shared_folder, staged, text_table, with_text, worker_table
 
 #: Labelled rows learned from, at most.
 SAMPLE = 20_000
@@ -129,16 +129,10 @@ class Features:
         ]
 
 
-_FEATURES: dict[bytes, Features] = {}
-
-
 def _features(lexicon: dict[str, float]) -> Features:
     """One table of features for each lexicon and worker process; an earlier lexicon's goes."""
-    key = hashlib.md5(repr(sorted(lexicon.items())).encode()).digest()
-    if key not in _FEATURES:
-        _FEATURES.clear()
-        _FEATURES[key] = Features(lexicon)
-    return _FEATURES[key]
+    key = hashlib.md5(repr(sorted(lexicon.items())).encode()).hexdigest()
+    return worker_table(f"toxicity {key}", None, lambda: Features(lexicon))
 
 
 def featurise(docs: DataFrame, lexicon: dict[str, float], keep: tuple[str, ...], text: str = "text") -> DataFrame:
