@@ -1,7 +1,11 @@
 """The pipeline over documents: toxicity, near-duplicates, repeated passages, mixing of sources, SentencePiece ids.
 
 Each stage takes whole documents and returns whole documents with all their columns; the last returns token ids.
-A stage's documents are a written table; when it begins, the intermediate tables of the stage before are deleted.
+A stage's documents are a written table; when it begins, the intermediate tables of the stage before are deleted, those of
+other operators of the session never.
+
+Cases, for all stages: null and empty texts, null ids and repeated rows are rows like others; an empty table gives an empty one;
+very long texts are read whole; other columns, whatever their names, go through as they are.
 """
 
 from __future__ import annotations
@@ -13,14 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.llm import language_id, mixing, near_duplicates, sentencepiece_bpe, suffix_dedup, toxicity
-from snapmart.llm.common import col, release_folders, shared_folder, staged
+from snapmart.llm.common import col, noted_folders, release_folders, shared_folder, staged
 from snapmart.llm.queries import table, tokenizer
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that a model, learned from labels of ids outside the held-out fifth, rejects."""
+    """Without the documents that a model, learned from labels of ids outside the held-out fifth, rejects.
+
+    Null and empty texts get the score of a text without words; repeated rows are all judged alike; without labels of
+    both kinds nothing is rejected.
+    """
     learnable = F.coalesce(language_id.bucket(F.col("doc_id"), 5) != 0, F.lit(False))
     model = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(learnable))
     numbered = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
@@ -57,7 +65,11 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it; not at all if it isn't taken."""
+    """Each document as many times as the mix takes it; not at all if it isn't taken.
+
+    Null and empty texts have no words and are not taken; a null source is a source of its own; rows with the same id, text
+    and source are taken as often as the mix takes all of them.
+    """
     mixed = mixing.mix(docs).filter("copies > 0").groupBy("doc_id", "source", "u").agg(F.sum("copies").alias("copies"))
     numbered = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
     name = dict(zip(docs.columns, numbered.columns, strict=True))
@@ -68,17 +80,29 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, ids of the whole text with the end id, and the text they stand for."""
+    """doc_id, lang, source, ids of the whole text with the end id, and the text they stand for.
+
+    A null or empty text has the end id only; every row has its ids, repeated or not.
+    """
     keep = tuple(n for n in ("doc_id", "lang", "source") if n in docs.columns)
     encoded = sentencepiece_bpe.encode_and_decode(docs, tokenizer("piece_bpe_32k.model"), keep=keep)
     return encoded.select(*map(col, keep), F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
+#: Folders of the intermediate tables of the stage that was called last.
+_LAST: list[str] = []
+
+
 def _begun(stage: Stage) -> Stage:
+    """The stage; when it is called the stage before has been written, so that one's intermediate tables go."""
+
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release_folders(spark)
-        return stage(spark, docs, sf_dir)
+        release_folders(spark, _LAST)
+        with noted_folders() as mine:
+            result = stage(spark, docs, sf_dir)
+        _LAST.extend(mine)
+        return result
 
     return run_stage
 
@@ -96,11 +120,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
-    folder = shared_folder(spark, kept=True)
+    """All stages over `documents`, each written to the shared folder and read again; a stage's table goes when the next is written."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
+            folder = shared_folder(spark)
             docs = staged(docs, folder, f"stage-{k}")
+            release_folders(spark, before)
+            before = [folder]
     return docs
