@@ -564,6 +564,39 @@ UNION ALL SELECT 'fct_daily', 'duplicate_grain', '', 0
 UNION ALL SELECT 'fct_daily', 'negative_measures', '', 0
 UNION ALL SELECT 'int_enriched', 'published_after_trending', '', count(*) FROM ({QUERIES["dq_publish_before_trending"]}) AS c"""
 
+# --- landing files ---
+_FILE_TITLE = "title || ', \"new\"' || CASE WHEN _source_region = 'EUROPE' THEN ' caf' || chr(65533) ELSE '' END"
+_FILE_TEXTS = {
+    "title": _FILE_TITLE,
+    "description": "description || chr(10) || 'line, \"two\"' || chr(10) || chr(10) || 'end'",
+    "publish_time": "nullif(publish_time, '')",
+    "tags": "nullif(tags, '')",
+}
+QUERIES["files_landed"] = f"""
+SELECT {", ".join(f"{_FILE_TEXTS.get(c, c)} AS {c}" for c in _SIXTEEN)}, left(_source_region, 2) AS _source_region,
+       left(_source_region, 2) || 'videos.csv' AS _source_file, _source_region = 'EUROPE' AS _bad_bytes, 'ok' AS _parse_status, true AS loaded
+FROM landed"""
+QUERIES["files_load_report"] = """
+SELECT left(_source_region, 2) AS _source_region, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_truncated, CAST(0 AS BIGINT) AS n_short,
+       CAST(0 AS BIGINT) AS n_unclosed
+FROM landed GROUP BY ALL"""
+QUERIES["files_categories"] = """
+SELECT left(region_code, 2) AS _source_region, category_id, category_title, category_channel_id, assignable FROM cat"""
+QUERIES["files_audited"] = """
+SELECT left(r, 2) AS region, 'csv' AS type, CASE r WHEN 'EUROPE' THEN 'latin-1' ELSE 'utf-8' END AS encoding,
+       CASE r WHEN 'ASIA' THEN 'CRLF' ELSE 'LF' END AS line_ending, CAST(NULL AS VARCHAR) AS problem, 16 AS n_columns,
+       CAST(NULL AS INTEGER) AS n_items, 64 AS hash_length
+FROM (SELECT DISTINCT _source_region AS r FROM landed) AS regions
+UNION ALL
+SELECT left(region_code, 2), 'json', 'utf-8', 'LF', NULL, NULL, CAST(count(*) AS INTEGER), 64 FROM cat GROUP BY region_code"""
+QUERIES["files_items"] = """
+SELECT left(region_code, 2) AS region, category_id AS id, category_title AS title, assignable FROM cat"""
+QUERIES["check_loaded"] = """
+SELECT 'check_loaded_observations' AS subject, 'missing column views' AS problem
+UNION ALL SELECT 'check_loaded_observations', 'missing region ' || r_name FROM region WHERE r_name = 'ASIA'
+UNION ALL SELECT 'check_loaded_categories', 'missing region ' || r_name FROM region WHERE r_name = 'EUROPE'
+UNION ALL SELECT 'check_loaded_categories', 'extra region ATLANTIS'"""
+
 # --- presentation: which result columns leave as text and which are rounded ---
 _STAGED_TEMPORAL = "trending_date_parsed publish_time _loaded_at"
 _LIFE_TEMPORAL = "first_trending_date last_trending_date publish_time"

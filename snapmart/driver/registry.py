@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart import functions as fn
-from snapmart.driver import adapter
+from snapmart.driver import adapter, landing
 from snapmart.operators import audit, profile, quality, relational
 from snapmart.plans import dimensions, enrich, fact, items, lifecycle, marts, staging
 from snapmart.schemas import FLAGS, OBSERVATION_HEADER
@@ -84,6 +84,11 @@ class Tables:
     def items(self) -> DataFrame:
         return items.item_aggregate(self.staged)
 
+    @cached_property
+    def landing(self) -> str:
+        """A folder with the landed rows and the category documents as files."""
+        return landing.write_landing(self.spark, self.sf_dir)
+
     @cached_property
     def lifecycle(self) -> DataFrame:
         return lifecycle.int_lifecycle(self.staged)
@@ -626,3 +631,52 @@ def dq_rules_report(t: Tables) -> DataFrame:
         "stg_observations": t.staged, "stg_categories": t.categories, "int_lifecycle": t.lifecycle,
         "int_enriched": t.enriched, "fct_daily": t.fact,
     })
+
+
+# --- landing files: written below the shared folder, read and audited there ---
+
+
+@query
+def files_landed(t: Tables) -> DataFrame:
+    """Rows of the CSV files with their provenance and class."""
+    landed = observation_files.read_landing(t.spark, t.landing)
+    part = F.regexp_replace("_source_file", "-[0-9]+", "").alias("_source_file")
+    return landed.select(*OBSERVATION_HEADER, "_source_region", part, "_bad_bytes", "_parse_status", F.col("_loaded_at").isNotNull().alias("loaded"))
+
+
+@query
+def files_load_report(t: Tables) -> DataFrame:
+    """Rows and rejects per region of the files."""
+    report = sinks.load_report(observation_files.read_landing(t.spark, t.landing))
+    totals = [F.sum(c).alias(c) for c in ("n_rows", "n_truncated", "n_short", "n_unclosed")]
+    return report.groupBy("_source_region").agg(*totals)
+
+
+@query
+def files_categories(t: Tables) -> DataFrame:
+    """Items of the category documents."""
+    items = category_files.flatten_documents(category_files.read_category_documents(t.spark, t.landing))
+    return items.select("_source_region", "category_id", "category_title", "category_channel_id", "assignable")
+
+
+@query
+def files_audited(t: Tables) -> DataFrame:
+    """What the audit finds in the files, by region and type: encoding, line ends, columns, items, problems."""
+    facts = audit.audit_files(t.spark, t.landing)
+    region = F.substring("file", 1, 2).alias("region")
+    return facts.select(region, "type", "encoding", "line_ending", "problem", "n_columns", "n_items", F.length("sha256").alias("hash_length")).distinct()
+
+
+@query
+def files_items(t: Tables) -> DataFrame:
+    """The audit's item summary of the category documents."""
+    return audit.json_items(t.spark, t.landing).select(F.substring("file", 1, 2).alias("region"), "id", "title", "assignable")
+
+
+@query
+def check_loaded(t: Tables) -> DataFrame:
+    """Verdicts over a load without one region and one column, and with categories of a region that isn't expected."""
+    t.landed.filter("_source_region <> 'ASIA'").drop("views").createOrReplaceTempView("check_loaded_observations")
+    documents = adapter.landed_categories(t.spark, t.sf_dir)
+    documents.withColumn("_source_region", F.replace("_source_region", F.lit("EUROPE"), F.lit("ATLANTIS"))).createOrReplaceTempView("check_loaded_categories")
+    return quality.check_loaded(t.spark, "check_loaded_observations", "check_loaded_categories", adapter.REGION_NAMES)

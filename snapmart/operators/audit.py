@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.operators.relational import set_difference
 from snapmart.schemas import CATEGORY_FILE, OBSERVATION_HEADER, REGIONS
 from snapmart.sources.files import list_files, read_files
+from snapmart.workers import map_batches
 
 CSV_PATTERN, JSON_PATTERN = "*videos*.csv", "*_category_id*.json"
 
@@ -73,12 +75,14 @@ def csv_problem(line: Column, header: Sequence[str] = OBSERVATION_HEADER) -> Col
 
 
 def line_facts(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
-    """Facts of each file of any size from its lines, in one scan and a map-side aggregate.
+    """Facts of each file of any size from its lines.
 
     encoding, line_ending, first (the first line) and line_digest (a sum of the lines' hashes, whatever their order).
-    The reader drops a byte order mark and a last line feed; both show in the number of bytes.
+    A split's lines are counted where they are read, in fixed-width buffers, and leave one row; first lines are read
+    apart, from the first split of each file. The reader drops a byte order mark and a last line feed; both show in
+    the number of bytes.
     """
-    value, place = F.col("value"), F.struct("_block", "_id")
+    value = F.col("value")
     lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", pattern).text(raw_dir).select(
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_size").alias("_size"),
@@ -87,15 +91,23 @@ def line_facts(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
         value,
     )
     returned = value.endswith("\r")
-    facts = lines.groupBy("file").agg(
+    splits = lines.groupBy("file", "_size", "_block").agg(
         F.bool_and(F.is_valid_utf8(value)).alias("_valid"),
         F.count("*").alias("_lines"),
         F.count_if(returned).alias("_returned"),
-        F.max_by(returned, place).alias("_last_returned"),
-        (F.sum(F.octet_length(value) + 1) - F.max("_size")).alias("_over"),
-        F.min_by(F.when(F.col("_block") == 0, value), place).alias("_first"),
+        F.max(F.col("_id") * 2 + returned.cast("long")).alias("_last"),
+        F.sum(F.octet_length(value) + 1).alias("_bytes"),
         F.sum(F.xxhash64(value).cast("decimal(38,0)")).alias("line_digest"),
     )
+    facts = splits.groupBy("file").agg(
+        F.bool_and("_valid").alias("_valid"),
+        F.sum("_lines").alias("_lines"),
+        F.sum("_returned").alias("_returned"),
+        (F.max_by("_last", "_block") % 2 == 1).alias("_last_returned"),
+        (F.sum("_bytes") - F.max("_size")).alias("_over"),
+        F.sum("line_digest").alias("line_digest"),
+    )
+    facts = facts.join(_first_lines(lines), "file", "left")
     open_end = F.col("_over").isin(1, -2)  # the last line has no feed
     marked = F.col("_over") < 0
     pairs = F.col("_returned") - F.when(open_end & F.col("_last_returned"), 1).otherwise(0)
@@ -109,6 +121,23 @@ def line_facts(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
     )
 
 
+def _first_lines(lines: DataFrame) -> DataFrame:
+    """file, _first: the first line of each file. The task that reads a file's first split sees it first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = None
+        for batch in batches:
+            files = batch.column(0).dictionary_encode()
+            for name in files.dictionary.to_pylist() if batch.num_rows else []:
+                if name != seen:
+                    at = batch.column(0).index(name).as_py()
+                    yield batch.slice(at, 1)
+                    seen = name
+
+    first = lines.filter("_block = 0").select("file", F.make_valid_utf8("value").alias("_first"))
+    return map_batches(first, run, "file string, _first string")
+
+
 def json_problem(content: Column) -> Column:
     """Why the document is not `{items: [{id, snippet}, ...]}`; NULL when it is."""
     raw_items = F.from_json(content.cast("string"), "items array<string>").getField("items")

@@ -1,7 +1,9 @@
-"""Raw files as rows, for the landing audit."""
+"""Raw files as rows, for the landing audit, and tables kept in the folder that all machines share."""
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,3 +25,26 @@ def _files(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
 
 def _file_name():
     return F.element_at(F.split("path", "/"), -1).alias("file")
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: `spark.checkpoint.dir`.
+
+    Only where that is unset and Spark runs on one machine, a temporary folder is set instead.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="snapmart-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows, computed once and kept below the shared folder, so that several plans can read them."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(df.sparkSession))
+    return df.checkpoint()

@@ -1,13 +1,16 @@
 """CSV records of files of any size, read in splits.
 
 A quoted field may hold line breaks, so Spark reads a multi-line CSV file in one task. Here each file is read as
-lines, in as many splits as it has, in two scans:
+lines, in as many splits as it has:
 
-1. Each split is walked once under either assumption, that its start lies outside or inside a quoted field. That
-   gives one row per split: where the split ends under each, and the pieces of records that cross its borders.
-2. These rows, one per split, tell where each split really starts. The second scan then cuts every split into the
-   records that lie within it. Only the pieces that cross a border are shuffled; lines are not, unless there are too
-   many splits to broadcast their rows. Then the lines of a split are brought together and sorted by their number.
+1. Each split is walked once under either assumption, that its start lies outside or inside a quoted field. Only lines
+   with a quote can change the side, so only these go to Python. That gives one row of a few bytes per split, whatever
+   the split holds: the side at its end under each assumption, and whether a record may fill it.
+2. These rows are composed per file and tell where each split really starts. They are kept in the shared folder.
+3. The second scan cuts every split into the records that lie within it. Lines are not shuffled, unless there are too many
+   splits to broadcast their rows; then the lines of a split are brought together and sorted by their number.
+4. Splits with a border inside a record are read once more, and only the pieces at such borders are shuffled, to the
+   record that they belong to. A file without quotes has none.
 
 A record is unclosed if its file ends inside it. Its lines are kept one by one.
 """
@@ -16,11 +19,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapmart.operators.relational import BROADCAST_ROW_LIMIT
+from snapmart.sources.files import settled
 from snapmart.workers import map_batches
 
 # positions in a CSV record: start of a field, in a bare field, in a quoted one, after a quote in a quoted one
@@ -69,7 +74,7 @@ def _lines(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_name").alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.col("value"),
+        F.make_valid_utf8("value").alias("value"),
     )
 
 
@@ -89,36 +94,40 @@ def _splits_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[l
 
 
 def _effects(lines: DataFrame) -> DataFrame:
-    """One row per split: the side at its end (true: inside) and the pieces at its borders, from either side.
-
-    `head` is the text up to the end of the record open at the start (NULL from outside), `whole` whether that
-    record fills the split, `tail` the text of the record open at the end.
+    """One row of fixed width per split: the side at its end (true: inside) from either side at its start, and whether
+    a record that is open at the start fills it. The first split of a file has the first line too.
     """
+    value = F.col("value")
+    telling = lines.select("_path", "_block", F.when((F.col("_block") == 0) | value.contains('"'), value).alias("value"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (path, name, block), found in _splits_of(batches, 3):
-            row = {"_path": path, "_source_file": name, "_block": block, "_first": found[0]}
-            for side, inside in (("out", False), ("in", True)):
-                records, first, open_ = _walk(found, inside)
-                whole = first is None
-                row |= {
-                    f"_end_{side}": open_,
-                    f"_whole_{side}": whole,
-                    f"_head_{side}": "\n".join(found[:first]) if inside else None,
-                    f"_tail_{side}": records[-1] if open_ and not whole else None,
-                }
+        now, row = None, {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            path, block = batch.column(0).dictionary_encode(), batch.column(1).to_numpy()
+            file = path.indices.to_numpy()
+            starts = [0, *(np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1).tolist()]
+            shown = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+            texts, until = batch.column(2).filter(pa.array(shown)).to_pylist(), np.cumsum(shown)
+            for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                mine = texts[until[a - 1] if a else 0 : until[b - 1]]
+                if (split := (path.dictionary[int(file[a])].as_py(), int(block[a]))) != now:
+                    if now is not None:
+                        yield pa.RecordBatch.from_pylist([row], schema=schema)
+                    now, row = split, {"_path": split[0], "_block": split[1], "_first": mine[0] if split[1] == 0 else None, "_end_out": False, "_end_in": True, "_whole_in": True}
+                for line in mine:
+                    row["_end_out"], row["_end_in"] = ends_inside(line, row["_end_out"]), ends_inside(line, row["_end_in"])
+                    row["_whole_in"] &= row["_end_in"]
+        if now is not None:
             yield pa.RecordBatch.from_pylist([row], schema=schema)
 
-    kinds = [("_path", "string"), ("_source_file", "string"), ("_block", "long"), ("_first", "string")]
-    for side in ("out", "in"):
-        kinds += [(f"_end_{side}", "boolean"), (f"_whole_{side}", "boolean"), (f"_head_{side}", "string"), (f"_tail_{side}", "string")]
-    arrow = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}
-    schema = pa.schema([(n, arrow[k]) for n, k in kinds])
-    return map_batches(lines, run, ", ".join(f"{n} {k}" for n, k in kinds))
+    schema = pa.schema([("_path", pa.string()), ("_block", pa.int64()), ("_first", pa.string()), *((n, pa.bool_()) for n in ("_end_out", "_end_in", "_whole_in"))])
+    return map_batches(telling, run, "_path string, _block long, _first string, _end_out boolean, _end_in boolean, _whole_in boolean")
 
 
 def _placed(effects: DataFrame) -> DataFrame:
-    """Splits with the side at their start, their own pieces, and the record that each piece belongs to.
+    """Splits with the side at their start, the record open there, and whether one of their borders is inside a record.
 
     Seen as a function of the side at its start, a split keeps the side, swaps it, or forces one. The side before
     a split is then the last forced side, swapped once per later swapping split. The windows run over the
@@ -134,11 +143,7 @@ def _placed(effects: DataFrame) -> DataFrame:
     df = df.withColumn("_mark", F.last(mark, ignorenulls=True).over(before))
     since = F.coalesce(F.lag("_swaps").over(file), F.lit(0)) - F.coalesce("_mark.at", F.lit(0))
     df = df.withColumn("_inside", F.coalesce("_mark.side", F.lit(False)) != (since % 2 == 1))
-
-    def own(piece: str) -> Column:
-        return F.when(F.col("_inside"), F.col(f"_{piece}_in")).otherwise(F.col(f"_{piece}_out"))
-
-    df = df.withColumns({"_end": own("end"), "_whole": own("whole"), "_head": own("head"), "_tail": own("tail")})
+    df = df.withColumns({"_end": F.when(F.col("_inside"), in_).otherwise(out), "_whole": F.col("_inside") & F.col("_whole_in")})
     # a record is named by the split in which it starts
     record = F.last(F.when(~F.col("_whole"), F.col("_block")), ignorenulls=True)
     all_ = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -146,8 +151,9 @@ def _placed(effects: DataFrame) -> DataFrame:
         "_open": record.over(before),
         "_lost": F.when(F.last("_end").over(all_), record.over(all_)),
         "_header": F.first("_first").over(all_),
+        "_crossed": F.col("_inside") | F.col("_end"),
     })
-    return df.select("_path", "_source_file", "_block", "_inside", "_head", "_tail", "_open", "_lost", "_header")
+    return df.select("_path", "_block", "_inside", "_open", "_lost", "_header", "_crossed")
 
 
 def _started(lines: DataFrame, starts: DataFrame, max_rows: int) -> DataFrame:
@@ -159,6 +165,43 @@ def _started(lines: DataFrame, starts: DataFrame, max_rows: int) -> DataFrame:
     return numbered.join(starts, ["_path", "_block"]).repartition("_path", "_block").sortWithinPartitions("_path", "_block", "_number")
 
 
+def _without_returns(record: str) -> str:
+    """A carriage return before a line break or at the end belongs to the line end."""
+    return "\n".join(x.removesuffix("\r") for x in record.split("\n")) if "\r" in record else record
+
+
+def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records that start and end in a split, without the header."""
+    for (_, name, block, inside, _, _, first_line), found in _splits_of(batches, 7):
+        records, _, open_ = _walk(found, inside)
+        records = records[:-1] if open_ and records else records
+        if block == 0 and not inside:
+            records = records[1:]  # the header
+        if first_line.endswith("\r"):
+            records = map(_without_returns, records)
+        records = [r for r in records if r]
+        yield pa.RecordBatch.from_pydict({"_source_file": pa.array([name] * len(records), pa.string()), "line": pa.array(records, pa.string())})
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pieces of a split that belong to records over its borders; those of an unclosed record line by line."""
+    for (path, name, block, inside, open_, lost, first_line), found in _splits_of(batches, 7):
+        records, first, ends_open = _walk(found, inside)
+        pieces = [(open_, "\n".join(found[:first]))] if inside else []
+        if ends_open and first is not None:
+            pieces.append((block, records[-1]))
+        rows = []
+        for record, text in pieces:
+            text = _without_returns(text) if first_line.endswith("\r") else text
+            rows += [(record, k, line, True) for k, line in enumerate(text.split("\n")) if line] if record == lost else [(record, -1, text, False)]
+        of, number, text, unclosed = zip(*rows, strict=True) if rows else ((), (), (), ())
+        same = lambda x, kind, n=len(rows): pa.array([x] * n, kind)
+        yield pa.RecordBatch.from_arrays(
+            [same(path, pa.string()), same(name, pa.string()), same(block, pa.int64()), pa.array(of, pa.int64()), pa.array(number, pa.int32()), pa.array(text, pa.string()), pa.array(unclosed, pa.bool_())],
+            names=["_path", "_source_file", "_block", "_record", "_number", "piece", "_unclosed"],
+        )
+
+
 def read_records(spark: SparkSession, raw_dir: str, pattern: str, header: Sequence[str], max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """(_source_file, line, _unclosed): every record but the headers, as CSV text with LF for line breaks inside.
 
@@ -167,38 +210,20 @@ def read_records(spark: SparkSession, raw_dir: str, pattern: str, header: Sequen
     records are skipped. A file whose first line is not `header` fails the job.
     """
     lines = _lines(spark, raw_dir, pattern)
-    placed = _placed(_effects(lines)).persist()  # one row per split
+    placed = _placed(_effects(lines))
     names = F.regexp_replace("_header", '["\r]', "")
-    drift = F.raise_error(F.concat_ws(": ", F.lit("header drift"), "_source_file", names)).cast("boolean")
-    placed = placed.filter(F.when(names == ",".join(header), True).otherwise(drift))
-    starts = placed.select("_path", "_block", "_inside", "_header")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, name, block, inside, first_line), found in _splits_of(batches, 5):
-            records, _, open_ = _walk(found, inside)
-            records = records[:-1] if open_ and records else records
-            if block == 0 and not inside:
-                records = records[1:]  # the header
-            if first_line.endswith("\r"):
-                records = ["\n".join(x.removesuffix("\r") for x in r.split("\n")) if "\r" in r else r for r in records]
-            records = [r for r in records if r]
-            yield pa.RecordBatch.from_pydict({"_source_file": pa.array([name] * len(records), pa.string()), "line": pa.array(records, pa.string())})
-
-    joined = _started(lines, starts, max_rows).select("_path", "_source_file", "_block", "_inside", "_header", "value")
-    within = map_batches(joined, run, "_source_file string, line string").withColumn("_unclosed", F.lit(False))
-
-    pieces = placed.filter("_head IS NOT NULL AND _open IS NOT NULL").select("_path", "_source_file", "_block", F.col("_open").alias("_record"), F.col("_head").alias("piece"), "_lost", "_header")
-    tails = placed.filter("_tail IS NOT NULL").select("_path", "_source_file", "_block", F.col("_block").alias("_record"), F.col("_tail").alias("piece"), "_lost", "_header")
-    pieces = pieces.unionByName(tails)
-    returns = F.col("_header").endswith("\r")
-    pieces = pieces.withColumn("piece", F.when(returns, F.regexp_replace("piece", "\r(?=\n|\\z)", "")).otherwise(F.col("piece")))
-    lost = F.coalesce(F.col("_record") == F.col("_lost"), F.lit(False))
-    loose = pieces.filter(lost).select("_source_file", F.explode(F.split("piece", "\n")).alias("line"), F.lit(True).alias("_unclosed"))
+    drift = F.raise_error(F.concat_ws(": ", F.lit("header drift"), F.element_at(F.split("_path", "/"), -1), names)).cast("boolean")
+    starts = settled(placed.filter(F.when(names == ",".join(header), True).otherwise(drift)))  # one row per split
+    columns = ["_path", "_source_file", "_block", "_inside", "_open", "_lost", "_header", "value"]
+    within = map_batches(_started(lines, starts.drop("_crossed"), max_rows).select(*columns), _within, "_source_file string, line string")
+    crossed = _started(lines, starts.filter("_crossed").drop("_crossed"), max_rows).select(*columns)
+    pieces = map_batches(crossed, _pieces, "_path string, _source_file string, _block long, _record long, _number int, piece string, _unclosed boolean")
     in_order = F.array_sort(F.collect_list(F.struct("_block", "piece")))
+    # a lost line has a key of its own: only the pieces of one record meet
+    own = F.when(F.col("_unclosed"), F.col("_block"))
     crossing = (
-        pieces.filter(~lost)
-        .groupBy("_path", "_record", "_source_file")
+        pieces.groupBy("_path", "_source_file", "_record", "_number", "_unclosed", own.alias("_own"))
         .agg(F.array_join(F.transform(in_order, lambda p: p["piece"]), "\n").alias("line"))
-        .select("_source_file", "line", F.lit(False).alias("_unclosed"))
+        .select("_source_file", "line", "_unclosed")
     )
-    return within.unionByName(crossing).unionByName(loose.filter("line <> ''"))
+    return within.withColumn("_unclosed", F.lit(False)).unionByName(crossing)

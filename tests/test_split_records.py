@@ -118,3 +118,24 @@ def test_any_surplus_is_truncated(spark, surplus):
     fields = spark.createDataFrame([(",".join(["1"] * 16) + "," * surplus,), (",".join(["1"] * 15),), ("1," * 12 + '"lost',)], "line string")
     got = [r._parse_status for r in observations.parse_lines(fields).collect()]
     assert got == ["truncated", "short", "short"]
+
+
+def test_a_split_leaves_a_row_of_fixed_width(tiny_splits, tmp_path):
+    # without quotes every split might lie inside a record, but none of its text leaves the first scan
+    (tmp_path / "CAvideos.csv").write_text(csv_text([], ["x" * 40 + "," * 15 for _ in range(3000)]))
+    lines = split_records._lines(tiny_splits, str(tmp_path), "*videos*.csv")
+    effects = split_records._effects(lines)
+    assert [f.dataType.simpleString() for f in effects.schema.fields] == ["string", "bigint", "string", "boolean", "boolean", "boolean"]
+    found = effects.collect()
+    assert len(found) > 1000 and [r._block for r in found if r._first is not None] == [0]
+    assert all(not r._end_out and r._end_in and r._whole_in for r in found if r._block)
+    placed = split_records._placed(effects)
+    assert placed.filter("_crossed").count() == 0
+    records = split_records.read_records(tiny_splits, str(tmp_path), "*videos*.csv", OBSERVATION_HEADER)
+    assert records.count() == 3000 and records.filter("_unclosed").count() == 0
+
+
+def test_bytes_that_are_not_utf8_are_marked(tiny_splits, tmp_path):
+    (tmp_path / "CAvideos.csv").write_bytes(csv_text(sample_rows("CA")).encode() + b'v9,"caf\xe9\n' + b"x" * 100 + b'\xff",' + b"," * 13 + b"\n")
+    got = observations.read_landing(tiny_splits, str(tmp_path))
+    assert [(r.video_id, r.trending_date[:4]) for r in got.filter("_bad_bytes").collect()] == [("v9", "caf�")]
