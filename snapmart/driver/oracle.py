@@ -261,6 +261,7 @@ FROM source"""
 
 # --- windows and joins ---
 QUERIES["dedup_latest"] = "SELECT * EXCLUDE (x_comments, x_ratings, x_error, x_valid) FROM deduped"
+QUERIES["dedup_of_table"] = QUERIES["dedup_latest"]
 QUERIES["latest_row_pick"] = "SELECT * FROM latest"
 QUERIES["left_join_category"] = """
 SELECT o.region_code, o.video_id, o.trending_date, o.category_id, c.category_title, c.assignable AS category_assignable
@@ -367,6 +368,8 @@ QUERIES["dq_table_report"] = "\nUNION ALL ".join(
         "(SELECT observation_key FROM stg GROUP BY 1 HAVING count(*) > 1) AS repeated",
     ]
 )
+QUERIES["dq_observed_report"] = f"""{QUERIES["dq_table_report"]}
+UNION ALL SELECT 'stg_observations', 'n_rows', '', count(*) FROM stg"""
 
 # --- profile ---
 _LANDED_DATE = _date("trending_date")
@@ -613,6 +616,7 @@ PRESENTED: dict[str, tuple[str, str]] = {
     "publish_time_parse": ("publish_time", ""),
     "engagement_rates": ("", _RATES),
     "dedup_latest": ("_loaded_at", ""),
+    "dedup_of_table": ("_loaded_at", ""),
     "latest_row_pick": (_STAGED_TEMPORAL, ""),
     "inner_join_lifecycle": ("", "latest_engagement_rate"),
     "stg_observations": (_STAGED_TEMPORAL, ""),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -17,6 +18,7 @@ from snapmart.schemas import FLAGS, OBSERVATION_HEADER
 from snapmart.sources import categories as category_files
 from snapmart.sources import observations as observation_files
 from snapmart.sources import sinks
+from snapmart.sources.files import settled, shared_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -250,6 +252,12 @@ def dedup_latest(t: Tables) -> DataFrame:
     return staging.deduplicate(t.source)
 
 
+@query
+def dedup_of_table(t: Tables) -> DataFrame:
+    """Dedup of written rows: only those whose key may repeat are shuffled."""
+    return staging.deduplicate_table(settled(t.source))
+
+
 @query
 def latest_row_pick(t: Tables) -> DataFrame:
     order = ("trending_date_parsed", "_loaded_at", "trending_date")
@@ -410,6 +418,18 @@ def dq_table_report(t: Tables) -> DataFrame:
     return quality.check_table(name, {name: t.staged}, quality.DECLARED[name], adapter.REGION_NAMES)
 
 
+@query
+def dq_observed_report(t: Tables) -> DataFrame:
+    """The report of a table whose rows and column checks were counted while it was written."""
+    name, folder = "stg_observations", f"{shared_root(t.spark)}/{uuid.uuid4().hex}"
+    observed = quality.Observed(name, adapter.REGION_NAMES)
+    observed.watch(t.staged).write.parquet(folder)
+    counts = observed.counts()
+    report = quality.check_table(name, {name: t.spark.read.parquet(folder)}, quality.DECLARED[name], adapter.REGION_NAMES, counts)
+    rows = t.spark.createDataFrame([(name, "n_rows", "", counts[quality.ROWS])], report.schema)
+    return report.unionByName(rows)
+
+
 # --- profile ---
 
 

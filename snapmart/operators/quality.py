@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.operators.relational import dangling_keys, duplicate_keys, orphans, union_by_name
@@ -205,21 +206,57 @@ def _summary(failing: DataFrame, table: str, check: str, column: str) -> DataFra
     )
 
 
+#: The number of rows among the counts that are taken while a table is written.
+ROWS = "n_rows"
+
+
+def column_counts(checks: TableChecks, regions: Sequence[str] = REGIONS) -> dict[str, Column]:
+    """What not-null and accepted-region checks count in a table, by label."""
+    counts = {f"not_null:{c}": F.count_if(F.col(c).isNull()) for c in checks.not_null}
+    if checks.region_column:
+        counts[f"accepted_values:{checks.region_column}"] = F.count_if(~F.col(checks.region_column).isin(*regions))
+    return counts
+
+
+class Observed:
+    """Counts taken while a table is written, so that checking them costs no scan: rows and the failures of column checks.
+
+    Give `watch(df)` to the writer; `counts()` has the numbers once the write is done. Tables whose checks are
+    repeated per value (`by`) are counted by a scan afterwards: their groups aren't known before.
+    """
+
+    def __init__(self, name: str, regions: Sequence[str] = REGIONS):
+        checks = DECLARED.get(name, TableChecks())
+        self._columns = {} if checks.by else column_counts(checks, regions)
+        self.complete = name in DECLARED and not checks.by
+        self._observation = Observation(f"{name}-{uuid.uuid4().hex}")
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        numbered = [c.alias(f"c{k}") for k, c in enumerate(self._columns.values())]
+        return df.observe(self._observation, F.count(F.lit(1)).alias(ROWS), *numbered)
+
+    def counts(self) -> dict[str, int]:
+        found = self._observation.get
+        return {ROWS: found[ROWS]} | {label: found[f"c{k}"] for k, label in enumerate(self._columns)}
+
+
 def check_table(
-    name: str, tables: Mapping[str, DataFrame], checks: TableChecks, regions: Sequence[str] = REGIONS
+    name: str, tables: Mapping[str, DataFrame], checks: TableChecks, regions: Sequence[str] = REGIONS, observed: Mapping[str, int] | None = None
 ) -> DataFrame:
     """(table_name, check_name, column_name, n_failures) for every check declared on one table.
 
-    Not-null and accepted-region counts share one pass; each key check is one aggregation.
+    Not-null and accepted-region counts share one pass, or are those `observed` when the table was written; each
+    key check is one aggregation.
     """
     df = tables[name]
-    counts = {f"not_null:{c}": F.count_if(F.col(c).isNull()) for c in checks.not_null}
-    if checks.region_column:
-        counts[f"accepted_values:{checks.region_column}"] = F.count_if(~F.col(checks.region_column).isin(*regions))
-    # each column check is one row per value of `by`
-    wide = df.groupBy(*checks.by).agg(*[count.alias(label) for label, count in counts.items()])
-    labels = list(counts)
-    long = wide.unpivot(list(checks.by), labels, "_check", "n_failures")
+    counts = column_counts(checks, regions)
+    if observed is not None:
+        rows = [(label, int(observed[label])) for label in counts]
+        long = df.sparkSession.createDataFrame(rows, "_check string, n_failures long")
+    else:
+        # each column check is one row per value of `by`
+        wide = df.groupBy(*checks.by).agg(*[count.alias(label) for label, count in counts.items()])
+        long = wide.unpivot(list(checks.by), list(counts), "_check", "n_failures")
     scope = F.concat_ws("/", F.lit(name), *checks.by)
     parts = [
         long.select(
@@ -255,11 +292,17 @@ def check_rules(tables: Mapping[str, DataFrame]) -> DataFrame | None:
 
 
 def check_all(
-    tables: Mapping[str, DataFrame], regions: Sequence[str] = REGIONS, only: Sequence[str] | None = None
+    tables: Mapping[str, DataFrame],
+    regions: Sequence[str] = REGIONS,
+    only: Sequence[str] | None = None,
+    observed: Mapping[str, Mapping[str, int]] | None = None,
 ) -> DataFrame:
-    """Every declared check on the tables given (or on `only` these, which may refer to the others), and the rules."""
+    """Every declared check on the tables given (or on `only` these, which may refer to the others), and the rules.
+
+    `observed` has the counts of tables that were counted while they were written.
+    """
     names = [n for n in DECLARED if n in tables and (only is None or n in only)]
-    parts = [check_table(n, tables, DECLARED[n], regions) for n in names]
+    parts = [check_table(n, tables, DECLARED[n], regions, (observed or {}).get(n)) for n in names]
     rules = check_rules(tables if only is None else {n: tables[n] for n in only})
     return union_by_name(parts + ([rules] if rules is not None else []))
 

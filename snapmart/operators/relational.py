@@ -33,6 +33,31 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+#: Bits of the filter of keys that repeat: 2048 bitmaps of 4 KB, whatever the number of keys.
+REPEATED_BITS = 1 << 26
+
+
+def latest_of_repeated(df: DataFrame, keys: Sequence[str], order: Sequence[str], bits: int = REPEATED_BITS) -> DataFrame:
+    """`latest_per_key` that shuffles and sorts only rows whose key may repeat; all others stay where they are.
+
+    A first pass counts 64-bit hashes of the keys, 16 bytes a row, and enters the hashes seen more than once in a
+    bitmap of a fixed size. It is broadcast (8 MB at most), and rows that miss it have a key of their own. A row that
+    hits it by chance is sorted with the others, which changes no result; the more keys repeat, the more rows are
+    sorted, up to all. `df` is read twice, so it should be a table; a key with many copies leaves one row a map task.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    number, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    repeated = df.select(F.xxhash64(*keys).alias("_h")).groupBy("_h").agg(F.count("*").alias("_n")).filter("_n > 1")
+    at = F.pmod("_h", F.lit(bits))
+    bitmap = repeated.groupBy(F.bitmap_bucket_number(at).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_bitmap"))
+    # a byte of the bitmap as a number
+    byte = F.conv(F.hex(F.substring("_bitmap", (bit / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    hit = F.col("_bitmap").isNotNull() & (F.getbit(byte, (bit % 8).cast("int")) == 1)
+    marked = df.withColumn("_bucket", number).join(F.broadcast(bitmap), "_bucket", "left").withColumn("_hit", F.coalesce(hit, F.lit(False)))
+    alone = marked.filter(~F.col("_hit")).select(*df.columns)
+    return alone.unionByName(latest_per_key(marked.filter("_hit").select(*df.columns), keys, order))
+
+
 def first_n_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank_name: str
 ) -> DataFrame:

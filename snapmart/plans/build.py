@@ -68,17 +68,25 @@ def _bronze(spark: SparkSession) -> dict[str, DataFrame]:
 def _publish(spark: SparkSession, bronze: dict[str, DataFrame], seed: DataFrame, regions: Sequence[str]) -> dict[str, DataFrame]:
     """Bronze to marts; each layer is computed once, read back as a table, and checked before the next is built.
 
-    Dedup is the one shuffle of whole rows. The fact is a scan of staging with broadcast lookups; the
+    Rows, not-null and accepted-value checks of a layer are counted
+    while it is written. Dedup is the one shuffle of whole rows, and only of those whose key may repeat. The fact is a scan of staging with broadcast lookups; the
     items and marts aggregate on the map side before they shuffle. The report of all checks is table `check_report`.
     """
     t: dict[str, DataFrame] = {**bronze, "region_seed": seed}
     reports: list[DataFrame] = []
 
+    counted: dict[str, dict[str, int]] = {}
+    known: dict[str, dict[str, int]] = {}
+
     def table(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        t[name] = write_table(df, name, partition_by)
+        observed = quality.Observed(name, regions)
+        t[name] = write_table(observed.watch(df), name, partition_by)
+        counted[name] = observed.counts()
+        if observed.complete:
+            known[name] = counted[name]
 
     def passed(layer: str, *names: str) -> None:
-        reports.append(write_table(quality.check_all(t, regions, names), f"check_report_{layer}"))
+        reports.append(write_table(quality.check_all(t, regions, names, known), f"check_report_{layer}"))
         quality.require_passed(reports[-1])
 
     loaded = quality.check_loaded(spark, LANDED, CATEGORIES, regions)
@@ -88,7 +96,7 @@ def _publish(spark: SparkSession, bronze: dict[str, DataFrame], seed: DataFrame,
         raise quality.CheckError(f"{problem.subject}: {problem.problem}, see check_loaded")
     t["load_report"] = write_table(load_report(spark.table(LANDED)), "load_report")
     passed("bronze", *bronze, "region_seed")
-    table("stg_observations", stg_observations(bronze["bronze_observations"], regions), ("region_code",))
+    table("stg_observations", stg_observations(bronze["bronze_observations"], regions, table=True), ("region_code",))
     table("stg_categories", stg_categories(bronze["bronze_categories"], regions))
     passed("staging", "stg_observations", "stg_categories")
     table("dim_region", dim_region(seed))
@@ -107,6 +115,8 @@ def _publish(spark: SparkSession, bronze: dict[str, DataFrame], seed: DataFrame,
     table("mart_regional_trending", marts.mart_regional_trending(t["fct_daily"]))
     passed("marts", *[n for n in t if n.startswith("mart_")])
     t["check_report"] = write_table(union_by_name(reports), "check_report")
+    rows = spark.createDataFrame([(n, c[quality.ROWS]) for n, c in counted.items()], "table_name string, n_rows long")
+    t["table_rows"] = write_table(rows, "table_rows")
     return t
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.functions import normalize_boolean, observation_key, parse_publish_time, parse_trending_date
-from snapmart.operators.relational import latest_per_key
+from snapmart.operators.relational import latest_of_repeated, latest_per_key
 from snapmart.schemas import FLAGS, MEASURES, REGIONS
 
 GRAIN = ("region_code", "video_id", "trending_date")
@@ -56,9 +56,18 @@ def deduplicate(source: DataFrame) -> DataFrame:
     return latest_per_key(source, ("video_id", "trending_date", "region_code"), DEDUP_ORDER)
 
 
-def stg_observations(landed: DataFrame, regions: Sequence[str] = REGIONS) -> DataFrame:
-    """One row per (region_code, video_id, trending_date); dates, times and flags typed, raw text kept."""
-    return type_observations(deduplicate(source_observations(landed, regions)))
+def deduplicate_table(source: DataFrame) -> DataFrame:
+    """The same rows for a source that is cheap to read twice: only rows whose grain key may repeat are shuffled."""
+    return latest_of_repeated(source, ("video_id", "trending_date", "region_code"), DEDUP_ORDER)
+
+
+def stg_observations(landed: DataFrame, regions: Sequence[str] = REGIONS, table: bool = False) -> DataFrame:
+    """One row per (region_code, video_id, trending_date); dates, times and flags typed, raw text kept.
+
+    `table` says that `landed` is a written table, cheap to read twice.
+    """
+    source = source_observations(landed, regions)
+    return type_observations(deduplicate_table(source) if table else deduplicate(source))
 
 
 def type_observations(deduplicated: DataFrame) -> DataFrame:

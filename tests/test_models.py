@@ -272,3 +272,18 @@ def test_every_profile_table_runs(spark):
     assert len(tables) == 17 and all(t.count() >= 0 for t in tables.values())
     docs = tables["category_documents"].first()
     assert (docs.item_count, docs.duplicate_ids, docs.assignable_true, docs.ids_sample) == (1, 0, 1, "1")
+
+
+def test_counts_taken_while_writing_are_those_of_a_scan(spark, tmp_path):
+    schema = "region_code string, trending_date date, observations long"
+    for k, rows in enumerate(([("US", None, 1), ("XX", None, None), (None, None, 3)], [])):
+        df = spark.createDataFrame(rows, schema)
+        observed = quality.Observed("mart_regional_trending", ("US",))
+        observed.watch(df).write.parquet(str(tmp_path / str(k)))
+        counts = observed.counts()
+        assert counts["n_rows"] == len(rows)
+        checks = quality.DECLARED["mart_regional_trending"]
+        tables = {"mart_regional_trending": spark.read.parquet(str(tmp_path / str(k)))}
+        report = [quality.check_table("mart_regional_trending", tables, checks, ("US",), o).collect() for o in (None, counts)]
+        assert sorted(map(tuple, report[0])) == sorted(map(tuple, report[1]))
+    assert not quality.Observed("bronze_observations").complete and not quality.Observed("int_items").complete

@@ -1,11 +1,12 @@
 """One region, item, label or value on most of the rows: results stay whole and no task takes the group."""
 
 import collections
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from snapmart.operators import profile, quality
+from snapmart.operators import profile, quality, relational
 from snapmart.plans import enrich, fact, items, marts, staging
 from snapmart.plans.dimensions import dim_category, dim_region
 from snapmart.schemas import REGION_SEED_ROWS
@@ -77,3 +78,16 @@ def test_rows_are_reduced_before_each_shuffle(landed, name):
     for i in exchanges:
         below = next(line for line in plan[i + 1 :] if "Project" not in line)
         assert "Aggregate" in below
+
+
+def test_only_rows_of_repeated_keys_are_shuffled(spark):
+    rng = random.Random(2)
+    rows = [(i, "x" * 20, 1) for i in range(4000)] + [(rng.randrange(300), "y" * rng.randrange(9), v) for v in range(900)] + [(7, "z", v) for v in range(500)]
+    df = spark.createDataFrame([*rows, (None, "n", 1), (None, "n", 2)], "k long, t string, v long")
+    want = sorted(map(tuple, relational.latest_per_key(df, ("k",), ("v", "t")).collect()), key=repr)
+    for bits in (1 << 26, 1 << 9, 1):  # from no chance hits to a filter that every row hits
+        got = relational.latest_of_repeated(df, ("k",), ("v", "t"), bits)
+        assert sorted(map(tuple, got.collect()), key=repr) == want
+    plan = relational.latest_of_repeated(df, ("k",), ("v", "t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window ") == 1 and "Union" in plan
+    assert relational.latest_of_repeated(df.limit(0), ("k",), ("v", "t")).count() == 0
