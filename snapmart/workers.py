@@ -21,4 +21,9 @@ def map_batches(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterabl
         archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='snapmart-')}/{package.name}", "zip", package.parent, package.name)
         context.addPyFile(archive)
         _SHIPPED.add(context.applicationId)
-    return df.mapInArrow(run, schema)
+
+    def run_and_release(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()  # the process waits for its next task, perhaps of another operator
+
+    return df.mapInArrow(run_and_release, schema)
