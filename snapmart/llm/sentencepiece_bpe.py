@@ -31,7 +31,7 @@ from snapmart.llm.common import Memo, chunks, map_batches, with_text, worker_tab
 
 MARK = "▁"
 #: Remembered pieces of text per generation and worker, about 200 bytes each.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Texts handled at a time within a batch.
 TEXTS = 256
 
@@ -114,7 +114,7 @@ class PrefixTableEncoder:
         """Ids of a word without inner white-space marks; negative: that character, outside the vocabulary."""
         last: list[int | None] = [None] * (len(word) + 1)
         pairs, apart = self._pairs, self._stay_apart
-        if len(pairs) > 1_000_000:
+        if len(pairs) > 300_000:
             pairs.clear()
         for end, (piece, length) in self._automaton.iter(word):  # of one end the longest comes first
             end += 1

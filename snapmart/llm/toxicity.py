@@ -51,7 +51,7 @@ ENTRY_ROWS, ENTRY_RATIO, ENTRIES = 3, 8.0, 2000
 FEW_ROWS = 2
 #: Words between a lexicon word and a second-person word that count as near.
 NEAR = 5
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 # fixed: second-person words of English, German, French and Spanish
 _SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine ihr euch euer tu te toi ton ta tes vous votre vos tú ti usted ustedes vosotros vuestro".split()
