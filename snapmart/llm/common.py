@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from snapmart.workers import map_batches
 
-__all__ = ["WORD", "Memo", "chunks", "col", "map_batches", "noted_folders", "release_folders", "shared_folder", "staged", "text_table", "with_text", "worker_table"]
+__all__ = ["WORD", "Memo", "chunks", "col", "drop_staged", "map_batches", "noted_folders", "release_folders", "shared_folder", "staged", "text_table", "with_text", "worker_table"]
 
 #: A word, in Spark's and Java's spelling: anything between ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -71,11 +71,32 @@ def release_folders(spark: SparkSession, folders: list[str]) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Whether Spark deletes the shuffle files of a query when the query ends.
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Write a table into the shared folder and read it back: it cuts lineage and outlives lost executors."""
-    path = f"{folder}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a table into the shared folder and read it back: it cuts lineage and outlives lost executors.
+
+    What was shuffled for it goes when it is written; while it is being written, lost shuffle files are made anew as ever.
+    """
+    spark, path = df.sparkSession, f"{folder}/{name}"
+    before = spark.conf.get(_SHUFFLES_GO, "false")
+    spark.conf.set(_SHUFFLES_GO, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_SHUFFLES_GO, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession, folder: str, *patterns: str) -> None:
+    """Delete the staged tables whose names match. Only when no table that is still to be computed rests on them."""
+    for pattern in patterns:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{pattern}")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in files.globStatus(path) or ():
+            files.delete(status.getPath(), True)
 
 
 _TABLES: dict[tuple, object] = {}
