@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from snapmart.operators.quality import DECLARED, TableChecks
+
 # name -> SELECT over driver tables and earlier entries
 CTES: dict[str, str] = {}
 
@@ -270,6 +272,7 @@ QUERIES["left_join_video"] = """
 SELECT o.region_code, o.video_id, o.trending_date, v.video_key
 FROM source o LEFT JOIN dvideo v ON o.region_code = v.region_code AND o.video_id = v.video_id"""
 QUERIES["inner_join_lifecycle"] = "SELECT * FROM labelled_item"
+QUERIES["inner_join_bucketed"] = QUERIES["inner_join_lifecycle"]
 QUERIES["anti_join_orphans"] = """
 SELECT region_code, video_id, trending_date, category_id FROM source WHERE category_id IN ('Brand#25', '29')"""
 QUERIES["relationships_violations"] = """
@@ -567,6 +570,55 @@ UNION ALL SELECT 'fct_daily', 'duplicate_grain', '', 0
 UNION ALL SELECT 'fct_daily', 'negative_measures', '', 0
 UNION ALL SELECT 'int_enriched', 'published_after_trending', '', count(*) FROM ({QUERIES["dq_publish_before_trending"]}) AS c"""
 
+# the declared checks, each counted over the SQL of its table
+_CHECKED = {
+    "bronze_observations": "landed",
+    "bronze_categories": "(SELECT *, region_code AS _source_region FROM cat)",
+    "region_seed": "dregion",
+    "stg_observations": "stg",
+    "stg_categories": "cat",
+    "int_enriched": "enriched",
+    "int_lifecycle": "life",
+    "dim_region": "dregion",
+    "dim_category": "dcat",
+    "dim_video": "dvideo",
+    "fct_daily": "fact",
+    **{m: f"({QUERIES[m]})" for m in DECLARED if m.startswith("mart_")},
+}
+
+
+def _declared(table: str, checks: TableChecks) -> list[str]:
+    """The failures of one table's checks: columns in one scan, keys one by one."""
+    relation = f"{_CHECKED[table]} AS t"
+    regions = "('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')"
+    counts = [("not_null", c, f"count(*) FILTER ({c} IS NULL)") for c in checks.not_null]
+    if checks.region_column:
+        counts.append(("accepted_values", checks.region_column, f"count(*) FILTER ({checks.region_column} NOT IN {regions})"))
+    listed = ", ".join(f"{{'check_name': '{check}', 'column_name': '{c}', 'n_failures': {n}}}" for check, c, n in counts)
+    scope, by = f"'{table}'", ""
+    if checks.by:
+        scope, by = f"concat_ws('/', '{table}', {', '.join(checks.by)})", f" GROUP BY {', '.join(checks.by)}"
+    parts = [f"SELECT table_name, unnest(found, recursive := true) FROM (SELECT {scope} AS table_name, [{listed}] AS found FROM {relation}{by}) AS counted"]
+    combinations = [("unique", [c]) for c in checks.unique] + [("unique_combination", list(c)) for c in checks.unique_combinations]
+    for check, columns in combinations:
+        known = f"WHERE {columns[0]} IS NOT NULL " if check == "unique" else ""
+        keys = ", ".join(columns)
+        repeated = f"SELECT {keys} FROM {relation} {known}GROUP BY {keys} HAVING count(*) > 1"
+        parts.append(f"SELECT '{table}', '{check}', '{'+'.join(columns)}', count(*) FROM ({repeated}) AS repeated")
+    for own, other, key in checks.relationships:
+        absent = f"SELECT DISTINCT {own} FROM {relation} WHERE {own} NOT IN (SELECT {key} FROM {_CHECKED[other]} AS r)"
+        parts.append(f"SELECT '{table}', 'relationships', '{own}', count(*) FROM ({absent}) AS absent")
+    return parts
+
+
+QUERIES["dq_full_report"] = "\nUNION ALL ".join([p for n, c in DECLARED.items() for p in _declared(n, c)] + [QUERIES["dq_rules_report"]])
+
+# nodes of three over the lines' digests, twice, then the root
+_TREE = "(SELECT 'doc' || doc_id AS file, unnest(range(len(ls))) AS n, sha256(unnest(ls)) AS h FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))"
+for _ in range(2):
+    _TREE = f"(SELECT file, n // 3 AS n, sha256(string_agg(h, '' ORDER BY n)) AS h FROM {_TREE} GROUP BY file, n // 3)"
+QUERIES["audit_trees"] = f"SELECT file, sha256(string_agg(h, '' ORDER BY n)) AS tree_sha256 FROM {_TREE} GROUP BY file"
+
 # --- landing files ---
 _FILE_TITLE = "title || ', \"new\"' || CASE WHEN _source_region = 'EUROPE' THEN ' caf' || chr(65533) ELSE '' END"
 _FILE_TEXTS = {
@@ -619,6 +671,7 @@ PRESENTED: dict[str, tuple[str, str]] = {
     "dedup_of_table": ("_loaded_at", ""),
     "latest_row_pick": (_STAGED_TEMPORAL, ""),
     "inner_join_lifecycle": ("", "latest_engagement_rate"),
+    "inner_join_bucketed": ("", "latest_engagement_rate"),
     "stg_observations": (_STAGED_TEMPORAL, ""),
     "stg_categories": ("_loaded_at", ""),
     "int_enriched": (_STAGED_TEMPORAL, _RATES),

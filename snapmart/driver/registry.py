@@ -276,6 +276,19 @@ def inner_join_lifecycle(t: Tables) -> DataFrame:
     return marts.items_with_lifecycle(t.items)
 
 
+@query
+def inner_join_bucketed(t: Tables) -> DataFrame:
+    """The same as an inner join of lifecycle and fact, from tables bucketed by item, without a shuffle."""
+    keys, number = ("region_code", "video_id"), int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def bucketed(df: DataFrame) -> DataFrame:
+        name = f"bucketed_{uuid.uuid4().hex}"
+        return sinks.write_bucketed(df, name, keys, number, f"{shared_root(t.spark)}/{name}")
+
+    rows = t.fact.select(*keys, "trending_date", "channel_title", "has_valid_engagement", "engagement_rate")
+    return marts.joined_items(bucketed(t.lifecycle), bucketed(rows))
+
+
 @query
 def left_join_video(t: Tables) -> DataFrame:
     rows = t.source.select("region_code", "video_id", "trending_date")
@@ -418,6 +431,32 @@ def dq_table_report(t: Tables) -> DataFrame:
     return quality.check_table(name, {name: t.staged}, quality.DECLARED[name], adapter.REGION_NAMES)
 
 
+@query
+def dq_full_report(t: Tables) -> DataFrame:
+    """Every declared check on every model, and the rules, as the build reports them. Each model is computed once."""
+    t.landed, t.staged = settled(t.landed), settled(t.staged)
+    t.enriched, t.lifecycle, t.categories = settled(t.enriched), settled(t.lifecycle), settled(t.categories)
+    t.fact = settled(t.fact)
+    models = {
+        "bronze_observations": t.landed,
+        "bronze_categories": adapter.landed_categories(t.spark, t.sf_dir),
+        "region_seed": adapter.region_seed(t.spark, t.sf_dir),
+        "stg_observations": t.staged,
+        "stg_categories": t.categories,
+        "int_enriched": t.enriched,
+        "int_lifecycle": t.lifecycle,
+        "dim_region": t.dim_region,
+        "dim_category": t.dim_category,
+        "dim_video": settled(t.dim_video),
+        "fct_daily": t.fact,
+        "mart_video_lifecycle": marts.mart_video_lifecycle(t.lifecycle),
+        "mart_channel_performance": marts.mart_channel_performance(t.items),
+        "mart_category_performance": marts.mart_category_performance(t.fact, t.dim_category),
+        "mart_regional_trending": marts.mart_regional_trending(t.fact),
+    }
+    return settled(quality.check_all(models, adapter.REGION_NAMES))
+
+
 @query
 def dq_observed_report(t: Tables) -> DataFrame:
     """The report of a table whose rows and column checks were counted while it was written."""
@@ -609,6 +648,13 @@ def audit_manifest(t: Tables) -> DataFrame:
     return audit.compare_manifest(report, listed)
 
 
+@query
+def audit_trees(t: Tables) -> DataFrame:
+    """Documents as files: the digest trees of their lines, with nodes of three so that there are several levels."""
+    lines = t.raw("documents").select(F.concat(F.lit("doc"), "doc_id").alias("file"), F.posexplode(F.split("text", "\n")).alias("n", "value"))
+    return audit.digest_tree(lines, fan=3)
+
+
 def _judged(t: Tables) -> DataFrame:
     """Parts as files, some in two numbered parts, some missing, extra or unsound."""
     key = F.col("p_partkey")

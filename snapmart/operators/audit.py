@@ -7,8 +7,9 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from snapmart.operators.relational import set_difference
+from snapmart.operators.relational import broadcast_if_small, set_difference
 from snapmart.schemas import CATEGORY_FILE, OBSERVATION_HEADER, REGIONS
 from snapmart.sources.files import list_files, read_files
 from snapmart.workers import map_batches
@@ -21,10 +22,13 @@ _PART_NUMBER = r"-[0-9]+(\.[a-z]+)$"
 # Keys every category item must have.
 ITEM_KEYS = ("id", "snippet")
 
-# The whole-file hash needs a file as one value; larger files have the digest of their lines only. No verdict depends
-# on it. A category document is parsed as one value too, so a larger one fails the audit.
+# The whole-file hash needs a file as one value; larger files are compared by the digest trees of `file_trees`. No verdict
+# depends on it. A category document is parsed as one value too, so a larger one fails the audit.
 HASHED_BYTES = 1 << 30
 
+#: Children of a node in a digest tree, and its levels between lines and root: no node has more below 2^48 lines.
+FAN, LEVELS = 1 << 16, 2
+
 
 class LandingError(Exception):
     """The landing area is not fit to load."""
@@ -74,6 +78,17 @@ def csv_problem(line: Column, header: Sequence[str] = OBSERVATION_HEADER) -> Col
     return F.when(marked | ~got.eqNullSafe(want), F.concat(F.lit("header drift: "), first))
 
 
+def _lines(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
+    """file, _size, _block (start of the split), _id (ascending by one within a split), value."""
+    return spark.read.option("lineSep", "\n").option("pathGlobFilter", pattern).text(raw_dir).select(
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_size").alias("_size"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+        F.col("value"),
+    )
+
+
 def line_facts(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
     """Facts of each file of any size from its lines.
 
@@ -83,13 +98,7 @@ def line_facts(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
     the number of bytes.
     """
     value = F.col("value")
-    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", pattern).text(raw_dir).select(
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_size").alias("_size"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-        value,
-    )
+    lines = _lines(spark, raw_dir, pattern)
     returned = value.endswith("\r")
     splits = lines.groupBy("file", "_size", "_block").agg(
         F.bool_and(F.is_valid_utf8(value)).alias("_valid"),
@@ -138,6 +147,45 @@ def _first_lines(lines: DataFrame) -> DataFrame:
     return map_batches(first, run, "file string, _first string")
 
 
+def numbered_lines(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
+    """file, n, value: every line with its number in its file, from 0.
+
+    One pass counts the lines of each split; a second adds to a line's place in its split the lines of the splits
+    before. Splits are cut alike in both, and no line is shuffled while there are few splits.
+    """
+    lines = _lines(spark, raw_dir, pattern)
+    splits = lines.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("file", "_block", (F.col("_first") - F.coalesce(before, F.lit(0))).alias("_from"))
+    placed = lines.join(broadcast_if_small(splits), ["file", "_block"])
+    return placed.select("file", (F.col("_id") - F.col("_from")).alias("n"), "value")
+
+
+def digest_tree(lines: DataFrame, fan: int = FAN, levels: int = LEVELS) -> DataFrame:
+    """file, tree_sha256: the root of a tree of SHA-256 digests over each file's lines (file, n, value).
+
+    A leaf is the digest of a line without its feed, in lowercase hex; a node that of the hex digests of its children, in
+    order: `fan` children in each of `levels` levels, the rest in the root. Only digests are shuffled, at most `fan`
+    meet in a node, and all tasks share the work on one file. A file without lines has no row.
+    """
+    nodes = lines.select("file", "n", F.sha2(F.col("value").cast("binary"), 256).alias("_digest"))
+    children = F.sort_array(F.collect_list(F.struct("n", "_digest")))
+    digest = F.sha2(F.array_join(F.transform(children, lambda c: c["_digest"]), "").cast("binary"), 256).alias("_digest")
+    for _ in range(levels):
+        nodes = nodes.groupBy("file", F.floor(F.col("n") / fan).alias("_parent")).agg(digest).withColumnRenamed("_parent", "n")
+    return nodes.groupBy("file").agg(digest.alias("tree_sha256"))
+
+
+def file_trees(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """file, tree_sha256 of each landing file, whatever its size.
+
+    With the size in bytes it stands for the content: a byte order mark and a last line feed, which the lines lack, change
+    the size, each by its own number of bytes.
+    """
+    csv, json = (digest_tree(numbered_lines(spark, raw_dir, p)) for p in (CSV_PATTERN, JSON_PATTERN))
+    return csv.unionByName(json)
+
+
 def json_problem(content: Column) -> Column:
     """Why the document is not `{items: [{id, snippet}, ...]}`; NULL when it is."""
     raw_items = F.from_json(content.cast("string"), "items array<string>").getField("items")
@@ -261,14 +309,23 @@ def require_sound(report: DataFrame) -> None:
         raise LandingError(shown + (f"; {number} files in all, see the audit report" if number > 20 else ""))
 
 
-def compare_manifest(report: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Files against a manifest (file, size_bytes, sha256): ok, size differs, hash differs, not hashed, missing, unlisted."""
-    listed = manifest.select("file", F.col("size_bytes").alias("_size"), F.col("sha256").alias("_hash"))
+def compare_manifest(report: DataFrame, manifest: DataFrame, trees: DataFrame | None = None) -> DataFrame:
+    """Files against a manifest (file, size_bytes, sha256, perhaps tree_sha256): ok, size differs, hash differs, not hashed, missing, unlisted.
+
+    Files that have both trees, found (`trees`) and listed, are compared by them; the others by the hash of the whole file.
+    """
+    nothing = F.lit(None).cast("string")
+    tree = F.col("tree_sha256") if "tree_sha256" in manifest.columns else nothing
+    listed = manifest.select("file", F.col("size_bytes").alias("_size"), F.col("sha256").alias("_hash"), tree.alias("_tree"))
     found = report.filter(F.col("size_bytes").isNotNull()).select("file", "size_bytes", "sha256")
+    found = found.withColumn("tree", nothing) if trees is None else found.join(trees.withColumnRenamed("tree_sha256", "tree"), "file", "left")
+    same_tree = F.col("tree") == F.col("_tree")  # NULL unless both are there
     result = (
         F.when(F.col("size_bytes").isNull(), "missing")
         .when(F.col("_size").isNull(), "unlisted")
         .when(F.col("size_bytes") != F.col("_size"), "size differs")
+        .when(same_tree, "ok")
+        .when(~same_tree, "hash differs")
         .when(F.col("sha256").isNull(), "not hashed")
         .when(~F.col("sha256").eqNullSafe(F.col("_hash")), "hash differs")
         .otherwise("ok")
@@ -277,8 +334,8 @@ def compare_manifest(report: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Flat (file, size_bytes, sha256) rows of a JSON manifest with a csv and a json entry per region."""
-    entry = "struct<name: string, sha256: string, size_bytes: bigint>"
+    """Flat (file, size_bytes, sha256, tree_sha256) rows of a JSON manifest with a csv and a json entry per region."""
+    entry = "struct<name: string, sha256: string, size_bytes: bigint, tree_sha256: string>"
     document = spark.read.schema(f"files array<struct<csv: {entry}, json: {entry}>>").json(path, multiLine=True)
     files = document.select(F.explode("files").alias("f")).select(F.explode(F.array("f.csv", "f.json")).alias("e"))
-    return files.select(F.col("e.name").alias("file"), F.col("e.size_bytes"), F.col("e.sha256"))
+    return files.select(F.col("e.name").alias("file"), F.col("e.size_bytes"), F.col("e.sha256"), F.col("e.tree_sha256"))

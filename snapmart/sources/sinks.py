@@ -33,6 +33,18 @@ def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.table(name)
 
 
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Replace a Parquet table dealt into `buckets` by `keys`, one sorted file a bucket, and return it as read back.
+
+    Aggregates by these keys, and joins by them with a table of as many buckets, need no shuffle. All rows of a key lie in
+    one bucket, so it suits keys with few rows each, such as items, which have a row a date after dedup.
+    """
+    writer = df.repartition(buckets, *keys).sortWithinPartitions(*keys).write.mode("overwrite").format("parquet")
+    writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def reload_regions(df: DataFrame, name: str) -> DataFrame:
     """Replace only the partitions present in `df` of an existing partitioned table."""
     spark = df.sparkSession

@@ -159,3 +159,46 @@ def test_many_failures_are_counted(spark):
     report = spark.createDataFrame([(f"f{i:02}", "missing", None, "fail") for i in range(30)], "file string, status string, problem string, verdict string")
     with pytest.raises(audit.LandingError, match="30 files in all"):
         audit.require_sound(report)
+
+
+def brute_tree(content: bytes, fan: int, levels: int = 2) -> str:
+    lines = content.split(b"\n")
+    digests = [hashlib.sha256(x).hexdigest() for x in (lines[:-1] if lines[-1] == b"" else lines)]
+    for _ in range(levels):
+        digests = [hashlib.sha256("".join(digests[i : i + fan]).encode()).hexdigest() for i in range(0, len(digests), fan)]
+    return hashlib.sha256("".join(digests).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("split_bytes", ["64", "1000", "1g"])
+def test_digest_trees_do_not_depend_on_splits(spark, tmp_path, split_bytes):
+    contents = {
+        "CAvideos.csv": "".join(f"row {i}, {'é' * (i % 37)}\r\n" for i in range(400)).encode(),
+        "USvideos-1.csv": b"one line",
+        "DEvideos.csv": b"\n\nx\xff\n" * 50 + b"open",
+    }
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    (tmp_path / "GBvideos.csv").write_bytes(b"")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        lines = audit.numbered_lines(spark, str(tmp_path), "*.csv")
+        got = {r.file: r.tree_sha256 for r in audit.digest_tree(lines, fan=4).collect()}
+        whole = {r.file: r.tree_sha256 for r in audit.file_trees(spark, str(tmp_path)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {n: brute_tree(c, 4) for n, c in contents.items()}  # a file without a line has no tree
+    assert whole == {n: brute_tree(c, audit.FAN) for n, c in contents.items()}
+
+
+def test_manifest_compares_trees(spark):
+    report = spark.createDataFrame([("a", 1, None), ("b", 1, None), ("c", 1, None), ("d", 1, "x"), ("e", 2, None)], "file string, size_bytes long, sha256 string")
+    trees = spark.createDataFrame([("a", "t"), ("b", "u"), ("d", "t"), ("e", "t")], "file string, tree_sha256 string")
+    listed = spark.createDataFrame(
+        [("a", 1, None, "t"), ("b", 1, None, "t"), ("c", 1, "x", "t"), ("d", 1, "x", None), ("e", 1, None, "t")],
+        "file string, size_bytes long, sha256 string, tree_sha256 string",
+    )
+    got = {r.file: r.result for r in audit.compare_manifest(report, listed, trees).collect()}
+    assert got == {"a": "ok", "b": "hash differs", "c": "not hashed", "d": "ok", "e": "size differs"}

@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapmart.operators import profile, quality, relational
-from snapmart.plans import enrich, fact, items, marts, staging
+from snapmart.plans import enrich, fact, items, lifecycle, marts, staging
 from snapmart.plans.dimensions import dim_category, dim_region
 from snapmart.schemas import REGION_SEED_ROWS
+from snapmart.sources import sinks
 from test_models import LANDED, categories
 
 ROWS, COPIES = 30000, 20000
@@ -91,3 +92,24 @@ def test_only_rows_of_repeated_keys_are_shuffled(spark):
     plan = relational.latest_of_repeated(df, ("k",), ("v", "t"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window ") == 1 and "Union" in plan
     assert relational.latest_of_repeated(df.limit(0), ("k",), ("v", "t")).count() == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, landed, tmp_path):
+    keys = ("region_code", "video_id")
+    cats, staged = categories(spark), staging.stg_observations(landed)
+    names = "region_code string, region_name string, locale string, language_code string"
+    regions = dim_region(spark.createDataFrame(list(REGION_SEED_ROWS), names))
+    rows = fact.fct_daily(enrich.int_enriched(staged, cats), regions, dim_category(cats))
+    life = sinks.write_bucketed(lifecycle.int_lifecycle(staged), "bucketed_life", keys, 3, f"{tmp_path}/life")
+    facts = sinks.write_bucketed(rows, "bucketed_fact", keys, 3, f"{tmp_path}/fact")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = marts.joined_items(life, facts)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, joined.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Inner" in plan and "Exchange" not in plan
+    want = marts.items_with_lifecycle(items.item_aggregate(staged)).select(*joined.columns)
+    assert got == sorted(map(tuple, want.collect()), key=repr)
