@@ -178,7 +178,7 @@ x AS (SELECT w.doc_id, len(w.w)::BIGINT AS n_words, length(regexp_replace(t, '[\
       FROM w LEFT JOIN r USING (k) LEFT JOIN u USING (k))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (100 * n10 > 20 * n_words OR beyond) AS kept
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (100 * n10 > 10 * n_words OR beyond) AS kept
 FROM x
 """
 

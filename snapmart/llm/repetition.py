@@ -25,8 +25,9 @@ from snapmart.llm.common import map_batches, with_text
 #: A repeat for the base rule, in words, and the percentage of words in such repeats that it allows.
 WINDOW, MOST_PERCENT = 5, 20
 LEAST_WORDS = 10
-#: The method's limits: percentage of words in repeats of `LONG` words or more, and the longest repeat in words.
-LONG, LONG_PERCENT, LONGEST = 10, 20, 50
+#: The method's limits: percentage of words in repeats of `LONG` words or more, and the longest repeat in words. Long repeats
+#: are twice as long as the base rule's windows and may cover half as much; at its share they would fail its rule first.
+LONG, LONG_PERCENT, LONGEST = 10, 10, 50
 #: Bytes of text sorted at a time, about.
 TOGETHER = 1 << 19
 _SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)

@@ -116,6 +116,25 @@ def test_measures(spark):
     assert repetition.measure(docs.limit(0)).count() == 0
 
 
+def test_each_rule_decides_alone(spark):
+    words = lambda n, c: [f"{c}{i}" for i in range(n)]
+    long = words(12, "a")
+    texts = {
+        1: words(150, "x"),  # clean
+        2: [*long, *words(126, "x"), *long],  # 24 of 150 words in long repeats, 16 %
+        3: [*long, *words(376, "x"), *long],  # 6 %
+        4: [*words(51, "b"), *words(1200, "x"), *words(51, "b")],  # 8 %, but one repeat of 51 words
+        5: [*words(6, "c"), *words(12, "x"), *words(6, "c"), *words(20, "y")],  # short repeats, 27 %
+    }
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "doc_id long, text string")
+    rows = repetition.measure(docs).withColumns({"failed": repetition.base_failed(), "rep": repetition.repetitive()}).collect()
+    got = {r.doc_id: (r.failed, 100 * r.long_repeat_words > repetition.LONG_PERCENT * r.n_words, r.longest_repeat > repetition.LONGEST, r.rep) for r in rows}
+    assert got == {
+        1: (False, False, False, False), 2: (False, True, False, True), 3: (False, False, False, False),
+        4: (False, False, True, True), 5: (True, False, False, False),
+    }
+
+
 # --- nearest neighbours ---
 
 
