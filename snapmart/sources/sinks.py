@@ -7,6 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
+def location_of(spark: SparkSession, database: str) -> str:
+    return spark.sql(f"DESCRIBE DATABASE EXTENDED {database}").filter("info_name = 'Location'").first()[1]
+
+
 def use_warehouse(spark: SparkSession, warehouse: str | None) -> None:
     """Write tables below `warehouse` from now on; None leaves the session's setting.
 
@@ -15,7 +20,7 @@ def use_warehouse(spark: SparkSession, warehouse: str | None) -> None:
     if warehouse:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS snapmart LOCATION '{warehouse}'")
         spark.catalog.setCurrentDatabase("snapmart")
-    place = spark.sql("DESCRIBE DATABASE EXTENDED " + spark.catalog.currentDatabase()).filter("info_name = 'Location'").first()[1]
+    place = location_of(spark, spark.catalog.currentDatabase())
     if place.startswith("file:") and not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"tables would go to {place}; give a warehouse that all machines share")
 
@@ -45,20 +50,6 @@ def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int,
     return df.sparkSession.table(name)
 
 
-def reload_regions(df: DataFrame, name: str) -> DataFrame:
-    """Replace only the partitions present in `df` of an existing partitioned table."""
-    spark = df.sparkSession
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    # under the static mode an overwrite would empty every other partition too
-    spark.conf.set(setting, "dynamic")
-    try:
-        df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(setting, before)
-    return spark.table(name)
-
-
 def create_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df

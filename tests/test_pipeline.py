@@ -8,7 +8,7 @@ from snapmart.operators import audit, profile, quality
 from snapmart.plans import build as pipeline
 from snapmart.plans.dimensions import dim_video
 from snapmart.plans.fact import fct_daily
-from snapmart.sources import categories, sinks
+from snapmart.sources import categories, sinks, versions
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +27,7 @@ def test_sizes(tables):
         "bronze_observations": 20, "rejects": 0, "bronze_categories": 311, "region_seed": 10, "stg_observations": 20,
         "stg_categories": 311, "dim_region": 10, "dim_category": 311, "dim_video": 20, "int_lifecycle": 20,
         "int_enriched": 20, "fct_daily": 20, "mart_video_lifecycle": 20, "mart_channel_performance": 10,
-        "mart_category_performance": 20, "mart_regional_trending": 20,
+        "mart_category_performance": 20, "mart_regional_trending": 20, "table_rows": 12,
     }
 
 
@@ -152,5 +152,80 @@ def test_a_failing_check_stops_the_build(spark, tables, tmp_path):
     (raw / "CAvideos.csv").write_text("\n".join(lines) + "\n")
     with pytest.raises(quality.CheckError, match="video_id"):
         pipeline.build(spark, str(raw), warehouse=str(tmp_path / "house"))
-    assert (tmp_path / "house" / "check_report_bronze").exists() and not (tmp_path / "house" / "fct_daily").exists()
+    assert list((tmp_path / "house").glob("versions/*/check_report_bronze")) and not list((tmp_path / "house").glob("versions/*/own_fct_daily"))
+    assert versions.published(spark) is None
+    spark.catalog.setCurrentDatabase("default")
+
+
+LAYERS = (
+    "stg_observations", "stg_categories", "dim_region", "dim_category", "dim_video", "int_items", "int_lifecycle", "fct_daily",
+    "mart_video_lifecycle", "mart_channel_performance", "mart_category_performance", "mart_regional_trending",
+)
+
+
+def contents(spark, name):
+    """The rows of a table without load times."""
+    df = spark.table(name)
+    rows = df.drop("_loaded_at").select(F.to_json(F.struct(*[c for c in df.columns if c != "_loaded_at"]))).collect()
+    return sorted(r[0] for r in rows)
+
+
+def test_a_build_that_dies_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    raw, house = write_landing(tmp_path / "raw"), str(tmp_path / "house")
+    spark.sql("DROP DATABASE IF EXISTS snapmart CASCADE")
+    pipeline.build(spark, str(raw), warehouse=house)
+    first, before = versions.published(spark), {n: contents(spark, n) for n in LAYERS}
+    (raw / "CAvideos.csv").write_text(csv_text(sample_rows("CA")[:1]))
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(pipeline.marts, "mart_category_performance", dies)
+        pipeline.build(spark, str(raw), warehouse=house)
+    spark.catalog.setCurrentDatabase("snapmart")  # as a new session finds it
+    versions.use_published(spark)
+    assert versions.published(spark) == first == spark.catalog.currentDatabase()
+    assert {n: contents(spark, n) for n in LAYERS} == before
+    died = [d.name for d in spark.catalog.listDatabases() if d.name > first and d.name.startswith("snapmart__v")]
+    assert len(died) == 1 and spark.catalog.tableExists(f"{died[0]}.own_fct_daily")
+    pipeline.build(spark, str(raw), warehouse=house)
+    assert spark.table("fct_daily").count() == len(before["fct_daily"]) - 1
+    assert {first, died[0]} <= set(versions.drop_versions(spark, keep=1))
+    assert spark.table("fct_daily").count() == len(before["fct_daily"]) - 1
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_reload_builds_only_its_regions_and_equals_a_full_build(spark, tmp_path):
+    raw, house = write_landing(tmp_path / "raw"), str(tmp_path / "house")
+    spark.sql("DROP DATABASE IF EXISTS snapmart CASCADE")
+    pipeline.build(spark, str(raw), warehouse=house)
+    first, made = versions.published(spark), []
+    for k, region in enumerate(["CA", "GB", "CA"]):  # the second reload of CA takes the place of the first
+        late = tmp_path / f"late-{k}"
+        write_landing(late, [region])
+        text = csv_text(sample_rows(region)[: 1 + (k == 2)])
+        (late / f"{region}videos.csv").write_text(text)
+        (raw / f"{region}videos.csv").write_text(text)
+        pipeline.reload(spark, str(late), warehouse=house)
+        made.append(versions.published(spark))
+        for name in ("stg_observations", "int_items", "fct_daily", "mart_regional_trending"):
+            assert {r[0] for r in spark.table(f"own_{name}").select("region_code").distinct().collect()} == {region}
+    owners = {r.version: r.regions for r in spark.table("owners").filter("table_name = 'fct_daily'").collect()}
+    assert owners[first] is None and owners[versions.published(spark)] == ["CA"] and len(owners) == 3  # not one a reload
+    # a region's rows come from the folders of the version that holds them
+    files = spark.table("fct_daily").filter("region_code = 'CA'").select(F.input_file_name()).distinct().collect()
+    assert all(versions.published(spark) in f[0] and "region_code=CA" in f[0] for f in files)
+    dropped = versions.drop_versions(spark, keep=1)
+    assert made[0] in dropped and not {first, *made[1:]} & set(dropped)  # nothing reads the first reload of CA any more
+    got = {n: contents(spark, n) for n in LAYERS}
+    pipeline.build(spark, str(raw), warehouse=house)
+    assert {n: contents(spark, n) for n in LAYERS} == got
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_reload_wants_a_build(spark, tmp_path):
+    spark.sql("DROP DATABASE IF EXISTS snapmart CASCADE")
+    with pytest.raises(audit.LandingError, match="nothing has been built"):
+        pipeline.reload(spark, str(write_landing(tmp_path / "raw", ["CA"])), warehouse=str(tmp_path / "house"))
     spark.catalog.setCurrentDatabase("default")
