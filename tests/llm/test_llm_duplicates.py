@@ -70,6 +70,48 @@ def test_same_components_as_all_pairs(spark, words, size):
     assert all(r.kept == (d == want[d]) for d, r in got.items())
 
 
+def test_family_below_the_threshold(spark, monkeypatch, tmp_path):
+    """A family that is alike, most of it below the threshold: more than two turns, exact lists, several cells, a hub."""
+    rng = random.Random(11)
+    base = rng.choices(VOCABULARY, k=70)
+    texts = [" ".join(edited(rng, base, 0.13)) for _ in range(45)]  # mostly unlike each other, with all frequent shingles in common
+    texts += [" ".join(edited(rng, base, 0.02)) for _ in range(45)]  # links around the base
+    texts += [f"{t} {rng.choice(VOCABULARY)}" for t in texts[:45:5]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(near_duplicates, "CELL", 16)
+    made, dealt = {}, []
+    staged, deal = near_duplicates.staged, near_duplicates._dealt
+
+    def noted(df, folder, name):
+        made[name] = staged(df, folder, name)
+        if name.startswith("pairs-"):
+            made[name, "n"] = made[name].count()
+        return made[name]
+
+    def noted_cells(pairs):
+        cells = deal(pairs)
+        dealt.append((pairs.count(), [r["count"] for r in cells.groupBy("cell").count().collect()]))
+        return cells
+
+    monkeypatch.setattr(near_duplicates, "staged", noted)
+    monkeypatch.setattr(near_duplicates, "_dealt", noted_cells)
+    got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs, words=2, k=32).collect()}
+    assert got == brute_components(list(enumerate(texts)), 2, 80)
+    assert "exact" in made and "pairs-2" in made
+    # every pair is still dealt once, and more pairs make more cells
+    assert all(sum(cells) == n for n, cells in dealt) and max(len(cells) for _, cells in dealt) > 1
+    # of about 1,000 pairs of the unlike half the prefixes leave few to confirm
+    assert sum(n for name, n in made.items() if isinstance(name, tuple) and name[0] >= "pairs-2") < 300
+
+
+def test_a_hub_is_spread_over_cells(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "CELL", 100)
+    star = spark.range(1, 10_001).selectExpr("0L AS a", "id AS b")  # one hub with all pairs: 10 by 10 cells
+    sizes = [r["count"] for r in near_duplicates._dealt(star).groupBy("cell").count().collect()]
+    assert sum(sizes) == 10_000 and len(sizes) == 100 and max(sizes) < 200
+    assert near_duplicates._dealt(star.limit(0)).count() == 0
+
+
 def test_odd_rows(spark):
     rows = [(1, "a b c"), (1, "a b c"), (1, "d e f"), (2, "d e f"), (None, "a b c"), (None, None), (3, None), (3, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
