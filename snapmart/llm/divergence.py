@@ -342,7 +342,8 @@ def _compare(rows: pa.Table, vocabulary: pa.Table, top: int) -> pa.Table:
     """What one tile of sources of one shard gives: sums of each pair once, and each source's first terms."""
     out: list[tuple] = []
     if rows.num_rows:
-        facts = rows.to_pylist()
+        # in one order for all shards, whatever order the shuffle left, so that each names a pair the same way
+        facts = sorted(rows.to_pylist(), key=lambda r: r["source"])
         size, v = facts[0]["size"], facts[0]["vocabulary"]
         count = [_unpacked(r["counts"], size) for r in facts]
         p = [shares(c, r["words"], v) for c, r in zip(count, facts, strict=True)]

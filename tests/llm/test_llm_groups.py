@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -202,6 +203,18 @@ def test_audit_is_that_of_plain_counts(spark, monkeypatch, shard_terms, tile, pa
     assert divergence.audit(docs.filter("lang = 'xx'")).count() == 2
 
 
+def test_comparison_does_not_depend_on_row_order():
+    def table(sources: list[str]) -> pa.Table:
+        return pa.Table.from_pylist([
+            {"lang": "en", "source": s, "tile": 0, "lo": 0, "hi": 0, "size": 2, "vocabulary": 2, "words": 3, "counts": divergence._packed(np.array([1, 2] if s == "a" else [3, 0]))}
+            for s in sources
+        ])
+
+    whole = pa.Table.from_pylist([{"counts": divergence._packed(np.array([4, 2])), "ends": np.array([1, 2], "<i8").tobytes(), "terms": b"xy", "words": 6}])
+    pairs = [[r for r in divergence._compare(table(s), whole, 3).to_pylist() if r["part"] == "pair"] for s in (["a", "b"], ["b", "a"])]
+    assert pairs[0] == pairs[1] and [(r["source"], r["item"]) for r in pairs[0]] == [("a", "b")]
+
+
 def test_perfect_hash_has_a_slot_for_each_term_and_none_for_others(monkeypatch):
     for levels in (24, 2):  # with two levels some terms are found by name
         monkeypatch.setattr(divergence, "LEVELS", levels)
