@@ -66,8 +66,9 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     others = [c for c in lines.columns if c != line]
     schema = ", ".join(f"{f.name} string" for f in _with_corrupt(OBSERVATION_FILE))
     options = {**_CSV_OPTIONS, **_ONE_RECORD}
-    parsed = lines.select(*others, F.from_csv(F.col(line), schema, options).alias("_row"))
-    return parsed.select(*others, "_row.*").withColumn(PARSE_STATUS, row_status(F.col(CORRUPT)))
+    # a generated row: a filter on its fields can't be moved below it, where it would parse the line again for each field
+    parsed = lines.select(*others, F.inline(F.array(F.from_csv(F.col(line), schema, options))))
+    return parsed.withColumn(PARSE_STATUS, row_status(F.col(CORRUPT)))
 
 
 def read_observation_files(spark: SparkSession, raw_dir: str, multi_line: bool = True) -> DataFrame:
