@@ -49,25 +49,6 @@ def ends_inside(line: str, inside: bool) -> bool:
     return state == _QUOTED
 
 
-def _walk(lines: list[str], inside: bool) -> tuple[list[str], int | None, bool]:
-    """The records that start and end here, the number of the first line outside the record open at the start
-    (None: there is none), and whether the last record is still open; an open record is the last in the list."""
-    records, first, here = [], None, 0
-    for number, line in enumerate(lines):
-        if not inside and first is None:
-            first = number
-        if not inside:
-            here = number
-        inside = ends_inside(line, inside)
-        if not inside and first is not None:
-            records.append(line if here == number else "\n".join(lines[here : number + 1]))
-    if inside and first is not None:
-        records.append("\n".join(lines[here:]))
-    if not inside and first is None:
-        first = len(lines)
-    return records, first, inside
-
-
 def _lines(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
     scan = spark.read.option("lineSep", "\n").option("pathGlobFilter", pattern).text(raw_dir)
     return scan.select(
@@ -78,19 +59,45 @@ def _lines(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
     )
 
 
-def _splits_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list, list[str]]]:
-    """The first `keys` columns of each split and its lines; a scan task yields a split's lines together, in order."""
-    now, lines = None, []
+class _Walk:
+    """The state of a walk through the lines of a split: only those of a record that is still open are held."""
+
+    def __init__(self, inside: bool):
+        self.inside = inside
+        #: whether the lines still belong to the record that was open at the start
+        self.before = inside
+        #: the lines of the record that is open here
+        self.open: list[str] = []
+
+    def records(self, lines: list[str]) -> Iterator[str]:
+        """The records that start in the split and end in these lines."""
+        for line in lines:
+            self.inside = ends_inside(line, self.inside)
+            if self.before:
+                self.before = self.inside
+            elif self.inside:
+                self.open.append(line)
+            elif self.open:
+                yield "\n".join([*self.open, line])
+                self.open = []
+            else:
+                yield line
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list, bool, list[str]]]:
+    """The first `keys` columns of a split, whether it starts here, and some of its lines, in order; a scan task yields a
+    split's lines together. The path is the first of these columns and the block's start the third."""
+    now = None
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        for row in zip(*columns, strict=True):
-            if list(row[:keys]) != now:
-                if now is not None:
-                    yield now, lines
-                now, lines = list(row[:keys]), []
-            lines.append(row[-1])
-    if now is not None:
-        yield now, lines
+        if not batch.num_rows:
+            continue
+        path, block = batch.column(0).dictionary_encode(), batch.column(2).to_numpy()
+        file = path.indices.to_numpy()
+        starts = [0, *(np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1).tolist()]
+        for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            split = [batch.column(k)[a].as_py() for k in range(keys)]
+            yield split, split != now, batch.column(keys).slice(a, b - a).to_pylist()
+            now = split
 
 
 def _effects(lines: DataFrame) -> DataFrame:
@@ -172,35 +179,55 @@ def _without_returns(record: str) -> str:
 
 def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The records that start and end in a split, without the header."""
-    for (_, name, block, inside, _, _, first_line), found in _splits_of(batches, 7):
-        records, _, open_ = _walk(found, inside)
-        records = records[:-1] if open_ and records else records
-        if block == 0 and not inside:
-            records = records[1:]  # the header
+    for (_, name, block, inside, _, _, first_line), new, lines in _runs(batches, 7):
+        if new:
+            walk, header = _Walk(inside), block == 0 and not inside
+        records = list(walk.records(lines))
+        if header and records:
+            records, header = records[1:], False
         if first_line.endswith("\r"):
             records = map(_without_returns, records)
         records = [r for r in records if r]
-        yield pa.RecordBatch.from_pydict({"_source_file": pa.array([name] * len(records), pa.string()), "line": pa.array(records, pa.string())})
+        if records:
+            yield pa.RecordBatch.from_pydict({"_source_file": pa.array([name] * len(records), pa.string()), "line": pa.array(records, pa.string())})
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pieces of a split that belong to records over its borders; those of an unclosed record line by line."""
-    for (path, name, block, inside, open_, lost, first_line), found in _splits_of(batches, 7):
-        records, first, ends_open = _walk(found, inside)
-        pieces = [(open_, "\n".join(found[:first]))] if inside else []
-        if ends_open and first is not None:
-            pieces.append((block, records[-1]))
+
+    def found(split: list, walk: _Walk, head: list[str]) -> pa.RecordBatch:
+        path, name, block, inside, open_, lost, first_line = split
+        pieces = [(open_, "\n".join(head))] if inside else []
+        if walk.open:
+            pieces.append((block, "\n".join(walk.open)))
         rows = []
         for record, text in pieces:
             text = _without_returns(text) if first_line.endswith("\r") else text
             rows += [(record, k, line, True) for k, line in enumerate(text.split("\n")) if line] if record == lost else [(record, -1, text, False)]
         of, number, text, unclosed = zip(*rows, strict=True) if rows else ((), (), (), ())
         same = lambda x, kind, n=len(rows): pa.array([x] * n, kind)
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [same(path, pa.string()), same(name, pa.string()), same(block, pa.int64()), pa.array(of, pa.int64()), pa.array(number, pa.int32()), pa.array(text, pa.string()), pa.array(unclosed, pa.bool_())],
             names=["_path", "_source_file", "_block", "_record", "_number", "piece", "_unclosed"],
         )
 
+    now, walk, head = None, None, []
+    for split, new, lines in _runs(batches, 7):
+        if new:
+            if now is not None:
+                yield found(now, walk, head)
+            now, walk, head = split, _Walk(split[3]), []
+        k = 0
+        while walk.before and k < len(lines):
+            head.append(lines[k])
+            for _ in walk.records(lines[k : k + 1]):
+                pass
+            k += 1
+        for _ in walk.records(lines[k:]):
+            pass
+    if now is not None:
+        yield found(now, walk, head)
+
 
 def read_records(spark: SparkSession, raw_dir: str, pattern: str, header: Sequence[str], max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """(_source_file, line, _unclosed): every record but the headers, as CSV text with LF for line breaks inside.
