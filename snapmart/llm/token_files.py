@@ -45,10 +45,8 @@ MAGIC, FOOTER = b"BPL1", struct.Struct("<6q")
 BLOCK = 1 << 16
 #: Bytes of text that one file should hold, about.
 FILE_BYTES = 32 << 20
-#: Remembered words of a worker, about 200 bytes each; beyond it they are all forgotten and learned again.
-REMEMBERED = 600_000
-# fixed: how byte-level vocabularies spell a blank
-_BLANK = "\u0120"
+#: Remembered words of a worker, about 200 bytes each; beyond it they are all forgotten and learned again. Longer ones never are.
+REMEMBERED, LONGEST = 600_000, 64
 #: Characters whose class every version of Unicode agrees on; other texts are split by the library alone.
 _COMMON = "\x00-ɏ‐-‧"
 
@@ -61,6 +59,13 @@ def _packed(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
+def _byte_chars() -> dict[int, str]:
+    """How byte-level vocabularies spell each byte: printable ones as themselves, the others by the characters from U+0100."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(0x100) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
 def _class(category: str) -> str:
     """The characters of _COMMON in a general category, as ranges."""
     codes = [c for lo, hi in ((0, 0x24F), (0x2010, 0x2027)) for c in range(lo, hi + 1) if unicodedata.category(chr(c))[0] == category]
@@ -68,6 +73,22 @@ def _class(category: str) -> str:
     return "".join(f"{chr(a)}-{chr(next(c for c in codes if c >= a and c + 1 not in codes))}" for a in starts)
 
 
+class Words(dict):
+    """The ids of words as little-endian bytes, asked of the library's model when a word is first met."""
+
+    def __init__(self, model):
+        super().__init__()
+        self._pieces, self._chars = model.tokenize, _byte_chars()
+
+    def __missing__(self, word: str) -> bytes:
+        ids = _packed([p.id for p in self._pieces(word.encode().decode("latin-1").translate(self._chars))])
+        if len(word) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class PieceEncoder:
     """Encodes with the tokenizers library. The ids of frequent words are remembered as little-endian bytes.
 
@@ -91,51 +112,16 @@ class PieceEncoder:
         pattern = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{blank}{letter}{number}]+|[{blank}]+(?![^{blank}])|[{blank}]+"
         self._split = re.compile(pattern).findall
         self._uncommon, self._special = re.compile(f"[^{_COMMON}]").search, special
-        size = self.library.get_vocab_size()
-        self._begins = np.array([(self.library.id_to_token(i) or "").startswith(_BLANK) for i in range(size)])
-        self.memo: dict[str, bytes] = {}
+        self.memo = Words(self.library.model)
 
     def _odd(self, text: str) -> bool:
         """Whether a text is left to the library."""
         return not self._by_word or any(t in text for t in self._special) or not text.isascii() and self._uncommon(text) is not None
 
-    def _learn(self, words: set[str]) -> None:
-        """Put the ids of new words into the memo.
-
-        Words of letters after one blank are put together into texts, which the library splits into the same words
-        again; the ids of a word start where a piece begins with a blank.
-        """
-        if len(self.memo) + len(words) > REMEMBERED:
-            self.memo.clear()
-        led = [w for w in words if w[0] == " " and w[1:2].isalpha()]  # the pattern lets nothing but letters follow
-        texts = list(chunks(led, 512))
-        for part, got in zip(texts, self.library.encode_batch_fast(["".join(p) for p in texts], add_special_tokens=False), strict=True):
-            ids = np.array(got.ids, "<u4")
-            starts = np.flatnonzero(self._begins[ids])
-            raw, ends = ids.tobytes(), (4 * np.append(starts[1:], len(ids))).tolist()
-            self.memo.update(zip(part, [raw[i:j] for i, j in zip((4 * starts).tolist(), ends, strict=True)], strict=True))
-        for part in chunks(words.difference(led), 4096):
-            for word, got in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.memo[word] = _packed(got.ids)
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        words = [None if self._odd(t) else self._split(t) for t in texts]
-        flat = list(chain.from_iterable(w for w in words if w))
-        found = list(map(self.memo.get, flat))
-        if missing := [k for k, x in enumerate(found) if x is None]:
-            new = {flat[k] for k in missing}
-            self._learn(new)
-            for k in missing:
-                found[k] = self.memo[flat[k]]
-        out, at = [], 0
-        for text, w in zip(texts, words, strict=True):
-            if w is None:
-                out.append(_packed(self.library.encode(text, add_special_tokens=False).ids))
-            else:
-                out.append(b"".join(found[at : at + len(w)]))
-                at += len(w)
-        return out
+        """Little-endian 32-bit ids of each text. A text's words go before the next text's are made."""
+        known, split = self.memo.__getitem__, self._split
+        return [_packed(self.library.encode(t, add_special_tokens=False).ids) if self._odd(t) else b"".join(map(known, split(t))) for t in texts]
 
 
 def encoder(path: str) -> PieceEncoder:

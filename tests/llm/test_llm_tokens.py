@@ -93,6 +93,15 @@ def test_words_give_what_whole_texts_give():
     assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == want
 
 
+def test_words_of_one_batch_stay_within_the_memory(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 50)
+    coder = token_files.PieceEncoder(BYTES)
+    texts = [f"one{i} two{i}xé three naïve{'long' * i} ¼½ it's\n {i}" for i in range(300)]
+    want = [x.ids for x in coder.library.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == want
+    assert len(coder.memo) <= 50 and max(map(len, coder.memo)) <= 64
+
+
 def test_files_follow_the_bytes_and_part_equal_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "FILE_BYTES", 4000)
     same = spark.createDataFrame([(1, "the same words " * 10)] * 200, "doc_id long, text string")
