@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from snapmart.llm import near_duplicates, suffix_dedup
+from snapmart.llm import common, near_duplicates, suffix_dedup
 from snapmart.llm.components import components
 
 WHITE = " \t\n\r\x0b\x0c"
@@ -42,6 +42,23 @@ def brute_components(rows, words, percent):
     return {d: find(d) for d in ids}
 
 
+def test_workers_keep_neither_words_nor_earlier_tables():
+    common.worker_table("earlier", None, dict)
+    common.release_tables()
+    near_duplicates.shingles(b"one two three four five six", 2)
+    assert not common._TABLES
+
+
+def test_empty_tables_are_not_made_of_python_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "x y z"), (4, None)], "doc_id long, text string")
+
+    def refuse(*_, **__):
+        raise AssertionError("rows of the driver's Python")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    assert {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs, words=2).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
 def edited(rng, words, share):
     return [rng.choice(VOCABULARY) if rng.random() < share else w for w in words]
 
