@@ -90,6 +90,7 @@ class PrefixTableEncoder:
         self._cut = re.compile(f"{before}{MARK}*[^{MARK}{hard}]+|{MARK}+" + (f"|{hard}+" if hard else ""))
         self._mark = pieces.get(MARK)
         self.memo = Memo(self._unit, REMEMBERED)
+        self._run = functools.lru_cache(maxsize=4096)(self._marks)  # its own: one of the class would hold every encoder for good
 
     def _stay_apart(self, a: int, b: int) -> bool:
         """Whether no merge joins pieces `a` and `b` before both are complete, nor after.
@@ -140,8 +141,7 @@ class PrefixTableEncoder:
         ids.reverse()
         return ids
 
-    @functools.lru_cache(maxsize=4096)  # noqa: B019  one encoder lives as long as its worker
-    def _run(self, n: int) -> tuple[int, ...]:
+    def _marks(self, n: int) -> tuple[int, ...]:
         """Ids of n white-space marks. Their pieces share one score, so the leftmost pair merges first."""
         size, after = [1] * n, [*range(1, n), None]
         before = [None, *range(n - 1)]

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmart.llm.common import chunks, col, map_batches, shared_folder, staged, text_table, with_text
+from snapmart.llm.common import chunks, col, map_batches, release_tables, shared_folder, staged, text_table, with_text
 
 LENGTH = 200
 #: Bytes of the strings whose smallest hash deals out longer ones.
@@ -212,6 +212,7 @@ def _hashes_of(docs: DataFrame, length: int) -> DataFrame:
     """key, hashes: the smallest hashes of each text's stretches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             for rows, texts in _texts(batch, 1):
                 owner, _, _, h, again = stretches(texts, length)

@@ -2,6 +2,7 @@
 
 import io
 import random
+import weakref
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from snapmart.llm import sentencepiece_bpe, token_files
+from snapmart.llm import common, sentencepiece_bpe, token_files
 
 MODEL, BYTES = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
 ROWS = [(1, "Hello  world.\n  Über ﬁ①漢字 ▁x"), (2, None), (3, ""), (4, " \t\n"), (3, ""), (None, "no id"), (5, "<|endoftext|> it's 3½ naïve"), (7, "word " * 60_000)]
@@ -39,6 +40,17 @@ def test_runs_of_blanks(encoder, n):
         assert encoder.encode(text) == encoder.library.encode(text)
 
 
+@pytest.mark.parametrize("ask", [common.release_tables, lambda: common.worker_table("another operator", None, dict)])
+def test_an_encoder_that_workers_drop_is_gone(ask):
+    common.release_tables()
+    dropped = sentencepiece_bpe.encoder(MODEL)
+    assert dropped.encode("two  words and    blanks") == dropped.library.encode("two  words and    blanks")
+    dropped = weakref.ref(dropped)
+    ask()
+    assert dropped() is None
+    common.release_tables()
+
+
 def test_documents(spark, encoder):
     # extra columns, one of which has a name of the result
     docs = spark.createDataFrame(ROWS, "doc_id long, text string").withColumn("ids", F.lit("x")).withColumn("decoded", F.lit(1))
