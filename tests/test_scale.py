@@ -13,7 +13,7 @@ from snapmart.operators import quality, relational
 from snapmart.plans import marts
 from snapmart.schemas import OBSERVATION_HEADER
 from snapmart.sources import files, observations, split_records
-from snapmart.sources.files import Kept, parts_for, settled, shared_root
+from snapmart.sources.files import Kept, parts_for, settled
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -29,14 +29,15 @@ def test_settled_rows_are_parquet(spark):
     assert sorted(kept.collect()) == sorted(df.collect()) and kept.columns == df.columns
 
 
-def folders(spark) -> set[str]:
-    """What is kept below the shared folder: models and parts of models."""
-    root = pathlib.Path(shared_root(spark))
-    return {"/".join(f.parent.relative_to(root).parts) for f in root.rglob("*.parquet")}
+@pytest.fixture
+def folders(tmp_path, monkeypatch):
+    """What is kept below a shared folder of the test's own: models and parts of models."""
+    root = tmp_path / "shared"
+    monkeypatch.setattr(files, "shared_root", lambda spark: str(root))
+    return lambda: {str(f.parent.relative_to(root)) for f in root.rglob("*.parquet")}
 
 
-def test_kept_models_go_part_by_part(spark):
-    before = folders(spark)
+def test_kept_models_go_part_by_part(spark, folders):
     df = spark.createDataFrame([(f"k{i % 50}" if i % 9 else None, i) for i in range(400)], "k string, n long")
     with Kept(spark, 4) as kept:
         rows = kept.split("a", df, "k")
@@ -45,7 +46,7 @@ def test_kept_models_go_part_by_part(spark):
         seen = []
 
         def counted(part):
-            seen.append({tuple(f.split("/")[1:]) for f in folders(spark) - before})
+            seen.append({tuple(f.split("/")[1:]) for f in folders()})
             return part.groupBy("k").agg(F.count("*").alias("c"))
 
         counts = kept.made("a", rows, "b", counted, last=True)
@@ -53,12 +54,12 @@ def test_kept_models_go_part_by_part(spark):
         assert sorted(counts.collect(), key=repr) == sorted(df.groupBy("k").agg(F.count("*")).collect(), key=repr)
         assert kept.made("b", counts, "c", lambda part: part).count() == counts.count() == 51
         kept.drop("c")
-        assert {f.split("/")[1] for f in folders(spark) - before} == {"b"}
-    assert folders(spark) == before
+        assert {f.split("/")[1] for f in folders()} == {"b"}
+    assert not folders()
     with pytest.raises(ZeroDivisionError), Kept(spark) as kept:
         assert kept.split("a", df, "k").count() == 400
         1 / 0  # noqa: B018
-    assert folders(spark) == before
+    assert not folders()
 
 
 def test_parts_follow_the_input(spark, tmp_path, monkeypatch):
@@ -89,7 +90,7 @@ def order_tables(spark, folder):
         spark.createDataFrame(values, adapter._COLUMNS[name]).repartition(3).write.parquet(adapter.path(folder, name))
 
 
-def test_the_full_report_keeps_few_models_at_once(spark, tmp_path, monkeypatch):
+def test_the_full_report_keeps_few_models_at_once(spark, folders, tmp_path, monkeypatch):
     """In parts it is the report of all checks at once, while the disk has a model of the rows and a part of the next."""
     order_tables(spark, str(tmp_path))
     t = registry.Tables(spark, str(tmp_path))
@@ -106,12 +107,12 @@ def test_the_full_report_keeps_few_models_at_once(spark, tmp_path, monkeypatch):
     want = sorted(quality.check_all({n: settled(df) for n, df in models.items()}, adapter.REGION_NAMES).collect())
     assert sum(r.n_failures for r in want) > 0
 
-    before, most, written = folders(spark), {}, set()
+    earlier, most, written = folders(), {}, set()
     keep = files.settled
 
     def watched(df, folder=None):
         kept = keep(df, folder)
-        here = {f for f in folders(spark) - before if not f.split("/")[1].startswith("report")} if folder else set()
+        here = {f for f in folders() - earlier if "/" in f}
         written.update(f.split("/", 1)[1] for f in here)
         for name in ("bronze_observations stg_observations", "stg_observations int_enriched", "int_enriched fct_daily", "bronze_observations stg_observations int_enriched fct_daily"):
             most[name] = max(most.get(name, 0), sum(f.split("/")[1] in name.split() for f in here))
@@ -125,7 +126,7 @@ def test_the_full_report_keeps_few_models_at_once(spark, tmp_path, monkeypatch):
     models_of_rows = ("bronze_observations", "stg_observations", "int_enriched", "fct_daily")
     assert {f"{n}/{k}" for n in models_of_rows for k in range(3)} <= written
     assert set(most.values()) == {4}  # three parts, and one of the next model
-    assert len(folders(spark) - before) == 1  # the report
+    assert len(folders() - earlier) == 1  # the report
 
 
 def test_checks_of_tables_shuffle_only_keys_that_may_repeat(spark):
